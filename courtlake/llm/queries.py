@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import ngram_join
+from courtlake.llm import ngram_join, packing, substring
 
 QUERIES = {}
 ORACLES = {}
@@ -39,3 +39,21 @@ r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM r JO
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.x = d.doc_id GROUP BY d.doc_id
 """
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+@_query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that an earlier document holds too, at a 5-word shingle similarity of 0.8."""
+    return substring.repeated_passages(_table(spark, sf_dir, "documents"), min_words=50, percent=80)
