@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import ngram_join, packing, substring
+from courtlake.llm import decontaminate, ngram_join, packing, sharding, substring, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -57,3 +57,55 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of at least 50 words that an earlier document holds too, at a 5-word shingle similarity of 0.8."""
     return substring.repeated_passages(_table(spark, sf_dir, "documents"), min_words=50, percent=80)
+
+
+@_query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of 10-word windows of benchmark items."""
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+
+
+_WORDS4 = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES["op4_benchmark_decontamination"] = f"""
+WITH
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS4} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, list_aggregate(x, 'string_agg', ' ') AS k, len(x) AS n FROM (
+    SELECT item, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i + 9])) AS x FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS4} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM win),
+p AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, sizes WHERE len(w) >= n),
+m AS (SELECT doc_id, i, p.n, item FROM p JOIN win ON win.k = list_aggregate(w[i:i + p.n - 1], 'string_agg', ' ') AND win.n = p.n),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal counts."""
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=40)
+
+
+#: Fixed values of the query's contract: host, path, verdict.
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of four rules on every page's url."""
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+_FITS = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
+_CASES = [(_FITS.format(h, p), h + p, v) for h, p, v in sorted(RULES, key=lambda r: (-r[0].count("."), -len(r[1])))]
+ORACLES["op3_url_filters"] = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+v AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+SELECT page_id, host, path, CASE {' '.join(f"WHEN {c} THEN '{r}'" for c, r, _ in _CASES)} END AS rule,
+    CASE {' '.join(f"WHEN {c} THEN '{v}'" for c, _, v in _CASES)} ELSE 'allow' END AS verdict
+FROM v
+"""
