@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import decontaminate, ngram_join, packing, sharding, substring, url_filter
+from courtlake.llm import decontaminate, ngram_join, packing, sharding, substring, toxicity, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -109,3 +109,11 @@ SELECT page_id, host, path, CASE {' '.join(f"WHEN {c} THEN '{r}'" for c, r, _ in
     CASE {' '.join(f"WHEN {c} THEN '{v}'" for c, _, v in _CASES)} ELSE 'allow' END AS verdict
 FROM v
 """
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, from a model fitted to the labels."""
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, toxicity.label_grades(_table(spark, sf_dir, "labels")))
+    return toxicity.severity(documents, model)
