@@ -173,7 +173,8 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     def near(n_a, rank_a, n_b, rank_b):
         sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
-        return sizes & (1 + F.least(rank_a, rank_b) + F.least(n_a - rank_a, n_b - rank_b) - 1 >= need(n_a, n_b))
+        # at the first n-gram that two sets share, what follows it bounds their overlap; similar sets pass there
+        return sizes & (F.least(n_a - rank_a, n_b - rank_b) >= need(n_a, n_b))
 
     salted = Window.partitionBy("gram", F.pmod(F.xxhash64("group"), F.lit(16))).orderBy("n", "group")
     with_last = tied.withColumn("last", F.lag(F.struct("n", "group", "rank")).over(salted))
