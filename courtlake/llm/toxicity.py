@@ -8,6 +8,7 @@ thresholds: ``P(grade > k) = sigmoid(w.x + b - theta_k)``.  It is fitted on a bo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm import words as w
-from courtlake.llm.common import broadcast_if_small, numbered
+from courtlake.llm.common import broadcast_if_small, numbered, stored
 
 HASH_BITS = 22
 BEGINNINGS = (4, 5)
@@ -25,9 +26,9 @@ BEGINNINGS = (4, 5)
 FIT_ROWS = 20_000
 #: Most feature columns of the model.
 COLUMNS = 2_000
-#: Likelihood-ratio statistic that a feature must reach (chi-squared with one degree, p about 0.002), and documents above the
-#: lowest grade that must hold it.
-LEAST_G2, LEAST_DOCUMENTS = 10.0, 3
+#: Documents above the lowest grade that must hold a feature.  Of m such features, one counts as telling if its
+#: likelihood-ratio statistic reaches 2 ln m, so that about one of all would by chance.
+LEAST_DOCUMENTS = 3
 _LETTER = np.zeros(256, np.uint8)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
@@ -104,17 +105,22 @@ def _g2(a: Column, b: Column, n_a: int, n_b: int) -> Column:
     return 2 * (cells - f(a + b) - f(total - a - b) - f(F.lit(float(n_a))) - f(F.lit(float(n_b))) + f(total))
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_columns: int, n_grades: int, l1: float = 5e-6, steps: int = 3000) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse weights and ordered thresholds of the cumulative-link model, by accelerated proximal gradient on all rows."""
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_columns: int, n_grades: int, l1: float = 2e-5, steps: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse weights and ordered thresholds of the cumulative-link model, by accelerated proximal gradient on all rows.
+
+    At each threshold, the rows above and below it weigh the same in total.
+    """
     sizes = np.array([len(r) for r in rows])
     n = len(rows)
     row = np.repeat(np.arange(n), sizes)
     column = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
     target = grades[:, None] > np.arange(n_grades - 1)[None, :]
+    above = target.sum(0)
+    balance = np.where(target, n / (2 * np.maximum(above, 1)), n / (2 * np.maximum(n - above, 1)))
     # power iteration for the largest curvature of the features and thresholds together
     v, u = np.ones(n_columns), 1.0
     for _ in range(30):
-        x = np.bincount(row, v[column], n) + u
+        x = (np.bincount(row, v[column], n) + u) * balance.max(1)
         v, u = np.bincount(column, x[row], n_columns) / n, x.mean()
         norm = float(np.sqrt((v * v).sum() + u * u))
         v, u = v / norm, u / norm
@@ -123,7 +129,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_columns: int, n_gr
     ahead_w, ahead_t, t = weights, theta, 1.0
     for _ in range(steps):
         score = np.bincount(row, ahead_w[column], n)
-        error = 1 / (1 + np.exp(np.clip(ahead_t[None, :] - score[:, None], -60, 60))) - target
+        error = (1 / (1 + np.exp(np.clip(ahead_t[None, :] - score[:, None], -60, 60))) - target) * balance
         new_w = ahead_w - rate * np.bincount(column, error.sum(1)[row], n_columns) / n
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - rate * l1, 0)
         new_t = np.maximum.accumulate(ahead_t + rate * error.sum(0) / n)
@@ -146,7 +152,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     high_n = F.coalesce(F.sum(F.when(F.col("grade") > low, F.col("n"))), F.lit(0))
     low_n = F.coalesce(F.sum(F.when(F.col("grade") == low, F.col("n"))), F.lit(0))
     telling = counts.groupBy("feature").agg(high_n.alias("high"), low_n.alias("low")).filter((F.col("high") >= LEAST_DOCUMENTS) & (F.col("high") * n_low > F.col("low") * n_high))
-    telling = telling.withColumn("g2", _g2(F.col("high"), F.col("low"), n_high, n_low)).filter(F.col("g2") >= LEAST_G2)
+    telling = stored(telling.withColumn("g2", _g2(F.col("high"), F.col("low"), n_high, n_low)))
+    telling = telling.filter(F.col("g2") >= 2 * math.log(max(telling.count(), 2)))
     features = np.array([r.feature for r in telling.orderBy(F.desc("g2"), "feature").limit(columns).collect()], np.int64)
     if not len(features):
         return None
@@ -181,8 +188,9 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model | None, threshold: f
             )
 
 
-def severity(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, bits: int = HASH_BITS) -> DataFrame:
-    """One row per row: doc_id, grade, expected_severity, p_toxic (P of a grade above the lowest), toxic.
+def severity(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.35, bits: int = HASH_BITS) -> DataFrame:
+    """One row per row: doc_id, grade, expected_severity, p_toxic (P of a grade above the lowest), toxic
+    (p_toxic reaches `threshold`).
 
     Null and empty texts have no features and get the model's answer for none, the lowest grade in practice.  Without a
     model (no labels, one grade only, or no telling feature) every document gets grade 0.  Repeated rows get equal answers;
