@@ -1,8 +1,79 @@
-"""The corpus pipeline: toxicity, near duplicates, repeated passages, benchmark leaks, packing."""
+"""The corpus pipeline over documents: toxicity, near duplicates, repeated passages, benchmark leaks, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept.  All but the last return the
+columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from courtlake.llm import decontaminate, ngram_join, packing, substring, toxicity
+from courtlake.llm.common import broadcast_if_small, stored
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model doesn't reject.  The model is fitted to the labels of the documents."""
+    model = toxicity.fit(docs, toxicity.label_grades(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return _without(docs, toxicity.severity(docs, model).filter("toxic"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each component of the n-gram join: five words, a similarity of 0.8.
+
+    Of rows that repeat an id one stays.
+    """
+    linked = stored(ngram_join.link_components(docs, size=5, percent=80))
+    kept = _without(docs, linked.filter("component_id <> doc_id"))
+    again = stored(linked.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"))
+    if again.isEmpty():
+        return kept
+    one = kept.join(broadcast_if_small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return _without(kept, again).unionByName(one)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay in the document of smallest id only; a document of nothing else goes."""
+    found = substring.repeated_passages(docs, min_words=50, percent=80)
+    cut = substring.cut_passages(docs, found)
+    touched = found.select(F.col("doc_id").alias("_cut")).distinct()
+    joined = cut.join(broadcast_if_small(touched), F.col("doc_id") == F.col("_cut"), "left")
+    joined = joined.filter(F.col("_cut").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return joined.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any 10-word window of a benchmark item."""
+    judged = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    return _without(docs, judged.filter("contaminated"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    ids = stored(rejected.select("doc_id").distinct())
+    return docs.join(broadcast_if_small(ids), "doc_id", "left_anti").select(docs.columns)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("substring_dedup", cut_repeated_passages),
+    ("benchmark_decontamination", drop_contaminated),
+    ("best_fit_packing", pack_sequences),
+]
+#: Tokenising and the model have no SQL; tests compare every stage with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

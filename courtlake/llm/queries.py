@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import decontaminate, ngram_join, packing, sharding, substring, toxicity, url_filter
+from courtlake.llm import decontaminate, html_extract, ngram_join, packing, quality, sharding, substring, token_counts, toxicity, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -117,3 +117,25 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, toxicity.label_grades(_table(spark, sf_dir, "labels")))
     return toxicity.severity(documents, model)
+
+
+@_query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the log-likelihood ratio of documents labelled good against all."""
+    documents = _table(spark, sf_dir, "documents")
+    good = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality.judge(documents, quality.fit_ratio(documents, good))
+
+
+@_query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token that crosses lines counts where it starts."""
+    import public_tokenizers
+
+    return token_counts.section_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="start")
