@@ -9,8 +9,8 @@ an n-gram among their first ``n - ceil(t * n) + 1``, their prefix.
    the prefixes are taken in that order.  N-grams of a single class are left out, as nobody shares them.
 3. Classes of equal size and prefix become one group.  Only groups are indexed.
 4. Groups that share a prefix n-gram are candidates if size and position bounds allow it.  The first round pairs each
-   group of a posting list with its first and its previous group only, which joins large families of copies
-   without all their pairs.  The second round takes every pair of classes that are not yet connected.
+   group of a posting list with its first and its previous group only.  First is the group with the fewest n-grams of its
+   own before the shared one: of a family of edited copies the one nearest to all.  That joins large families without all their pairs.  The second round takes every pair of classes that are not yet connected.
 5. Both rounds expand groups to their classes and verify classes on the whole sets of n-grams.
 
 Every link between classes of different components is found, so components are exact (64-bit hashes stand for n-grams).
@@ -167,7 +167,7 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     index = stored(entries.join(members.filter("group = rep"), "rep").select("gram", "rank", "n", "group"))
 
     # round 1: first and previous group of each list, and the first class of each group
-    lists = index.groupBy("gram").agg(F.min(F.struct("n", "group", "rank")).alias("head"), F.count(F.lit(1)).alias("entries")).filter("entries > 1")
+    lists = index.groupBy("gram").agg(F.min(F.struct("rank", "n", "group")).alias("head"), F.count(F.lit(1)).alias("entries")).filter("entries > 1")
     tied = index.join(lists.select("gram", "head"), "gram")
     need = lambda a, b: F.ceil((a + b) * percent / F.lit(100 + percent))
 
@@ -176,8 +176,8 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
         # at the first n-gram that two sets share, what follows it bounds their overlap; similar sets pass there
         return sizes & (F.least(n_a - rank_a, n_b - rank_b) >= need(n_a, n_b))
 
-    salted = Window.partitionBy("gram", F.pmod(F.xxhash64("group"), F.lit(16))).orderBy("n", "group")
-    with_last = tied.withColumn("last", F.lag(F.struct("n", "group", "rank")).over(salted))
+    salted = Window.partitionBy("gram", F.pmod(F.xxhash64("group"), F.lit(16))).orderBy("rank", "n", "group")
+    with_last = tied.withColumn("last", F.lag(F.struct("rank", "n", "group")).over(salted))
     one = with_last.select("n", "group", "rank", F.explode(F.array("head", "last")).alias("o")).filter("o is not null and o.group <> group")
     one = one.filter(near(F.col("n"), F.col("rank"), F.col("o.n"), F.col("o.rank")))
     pairs = one.select(F.least("group", "o.group").alias("u"), F.greatest("group", "o.group").alias("v"))
