@@ -1,15 +1,9 @@
-"""Registered queries of the catalogue library."""
+"""All registered queries of the catalogue library."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from courtlake.plans import judgments, listing
+from courtlake.plans.registry import ORACLES, QUERIES
 
-QUERIES = {}
-ORACLES = {}
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url")
-    code = F.upper(F.regexp_extract("url", r"/([a-z]{2})/\d+", 1))
-    return pages.groupBy(code.alias("court")).agg(F.count(F.lit(1)).alias("judgments")).orderBy(F.desc("judgments"), "court").limit(10)
+flagship = listing.flagship_courts
+__all__ = ["ORACLES", "QUERIES", "flagship", "judgments"]
