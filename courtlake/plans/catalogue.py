@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from courtlake.plans import judgments, listing
+from courtlake.plans import judgments, listing, operations
 from courtlake.plans.registry import ORACLES, QUERIES
 
 flagship = listing.flagship_courts
-__all__ = ["ORACLES", "QUERIES", "flagship", "judgments"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "judgments", "operations"]
