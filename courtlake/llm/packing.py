@@ -25,39 +25,46 @@ MAX_STEPS = 4000
 #: Ranges that each length is ranked in.
 SALTS = 64
 #: Distinct words that a task keeps with their ids.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 #: Texts of these characters alone need no normalisation beyond lower case, and split the same way everywhere.
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of whole texts as little-endian uint32 bytes; a bounded cache of words saves most of the merging."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        missing = [x for x in words if x not in self]
+        if len(self.known) > CACHE_WORDS:
+            self.known = {}
+        missing = list(words.difference(self.known))
         for a in range(0, len(missing), 2000):
             part = missing[a:a + 2000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, "<u4").tobytes()
+            # words joined by spaces are the same words again: one call for all, cut by their numbers
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            raw, sizes = np.array(found.ids, "<u4").tobytes(), np.bincount(found.word_ids, minlength=len(part))
+            if len(sizes) != len(part) or not sizes.all():
+                self.known.update((word, self.whole(word)) for word in part)
+                continue
+            ends = [0, *np.cumsum(4 * sizes).tolist()]
+            self.known.update((word, raw[x:y]) for word, x, y in zip(part, ends, ends[1:], strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_WORDS.findall(t.lower()) if _PLAIN.fullmatch(t) and not any(s in t for s in self.specials) else None for t in texts]
-        self.learn({x for words in split if words for x in words})
-        return [self.whole(t) if words is None else b"".join(map(self.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
+        self.learn(set().union(*(words for words in split if words)))
+        get = self.known.__getitem__
+        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
