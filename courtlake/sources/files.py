@@ -47,9 +47,9 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable rows, and (file_name, text) of the others for a quarantine folder."""
+    """Readable rows, and the others for a quarantine folder, with file_name and the text in _corrupt_record."""
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "file_name")
-    return good, df.filter(F.col(CORRUPT).isNotNull()).select("file_name", CORRUPT)
+    return good, df.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

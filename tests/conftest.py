@@ -1,6 +1,14 @@
+import os
+import sys
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])  # workers import the library too
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -9,9 +17,12 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     yield session
     session.stop()
