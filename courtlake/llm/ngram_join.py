@@ -201,9 +201,8 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     joined = components(links)
     labels = stored(classes.select(*same, "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component")))
-    for used in (classes, keyed, entries, index, members, found, mixed_entries):
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    result = stored(sets.select("doc_id", *same).join(labels, same, "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id")))
+    for used in (sets, classes, labels, keyed, entries, index, members, found, mixed_entries):
         drop_stored(used)
-    return (
-        sets.select("doc_id", *same).join(labels, same, "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    )
+    return result

@@ -90,7 +90,8 @@ def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray, bits: int)
             docs, own = text_features(data, offsets, bits)
             keep = index[own] >= 0
             lists = np.split(index[own][keep].astype(np.int32), np.searchsorted(docs[keep], np.arange(1, last - first)))
-            yield pa.RecordBatch.from_arrays([batch.column("grade").slice(first, last - first), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], ["grade", "columns"])
+            own_rows = [batch.column(c).slice(first, last - first) for c in ("doc_id", "grade")]
+            yield pa.RecordBatch.from_arrays([*own_rows, pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], ["doc_id", "grade", "columns"])
 
 
 def _g2(a: Column, b: Column, n_a: int, n_b: int) -> Column:
@@ -157,8 +158,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     features = np.array([r.feature for r in telling.orderBy(F.desc("g2"), "feature").limit(columns).collect()], np.int64)
     if not len(features):
         return None
-    sample = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit_rows)
-    table = sample.select("text", "grade").mapInArrow(lambda it: _chosen(it, features, bits), "grade int, columns array<int>").toArrow()
+    sparse = texts.mapInArrow(lambda it: _chosen(it, features, bits), "doc_id long, grade int, columns array<int>")
+    table = sparse.orderBy(F.xxhash64("doc_id"), "doc_id", "columns").limit(max_fit_rows).toArrow()
     index = {g: k for k, g in enumerate(grades)}
     rows = [np.array(x, np.int64) for x in table.column("columns").to_pylist()]
     y = np.array([index[g] for g in table.column("grade").to_pylist()])
