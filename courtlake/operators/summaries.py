@@ -99,14 +99,16 @@ def select_summary_input(judgments: DataFrame, fragments: DataFrame, max_chars:
     return g.select("judgment_id", F.when(F.col("all").isNull(), F.col("body")).otherwise(F.substring(F.array_join(parts, "\n\n"), 1, max_chars)).alias("input_text"))
 
 
-def clean_draft(draft: Column, limit: Column) -> Column:
-    """F22, F23, F24 and the limit (F26), in the order of the pipeline."""
-    return text.trim_to_complete(text.fix_artifacts(text.strip_commentary(text.strip_meta_prefix(draft))), limit)
+def clean_drafts(drafts: DataFrame, draft: str = "draft", fragments: str = "n_fragments", to: str = "summary") -> DataFrame:
+    """F22, F23, F24 and the limit (F26), in the order of the pipeline; one step per projection keeps expressions small."""
+    out = drafts.withColumn(to, text.strip_meta_prefix(F.col(draft))).withColumn(to, text.strip_commentary(F.col(to)))
+    out = out.withColumn(to, text.fix_artifacts(F.col(to)))
+    return out.withColumn(to, text.trim_to_complete(F.col(to), text.max_summary_chars(F.col(fragments))))
 
 
 def finish_summaries(drafts: DataFrame) -> DataFrame:
     """Q6: cleaned drafts (id, draft, n_fragments) with the verdict of the smell test."""
-    cleaned = drafts.withColumn("summary", clean_draft(F.col("draft"), text.max_summary_chars(F.col("n_fragments"))))
+    cleaned = clean_drafts(drafts)
     return cleaned.withColumn("smell", text.smell_test(F.col("summary"), F.col("n_fragments"))).select("id", "summary", "smell.passed", "smell.issues")
 
 
@@ -120,9 +122,9 @@ def audit(catalog: DataFrame, fix: bool = True, structural: tuple[str, ...] = ST
     """
     n = F.coalesce("fragment_count", F.lit(0))
     tested = catalog.filter(F.col("summary").isNotNull()).withColumn("issues", text.smell_test(F.col("summary"), n)["issues"]).filter(F.size("issues") > 0)
-    repaired = tested.withColumn("repaired", text.trim_trailing_incomplete(text.fix_artifacts(text.strip_commentary(F.col("summary")))))
-    changed = F.col("repaired") != F.col("summary")
-    passes = text.smell_test(F.col("repaired"), n)["passed"]
+    repaired = tested.withColumn("repaired", text.strip_commentary(F.col("summary"))).withColumn("repaired", text.fix_artifacts(F.col("repaired")))
+    repaired = repaired.withColumn("repaired", text.trim_trailing_incomplete(F.col("repaired"))).withColumn("passes", text.smell_test(F.col("repaired"), n)["passed"])
+    changed, passes = F.col("repaired") != F.col("summary"), F.col("passes")
     action = F.when(changed & passes, "fixed").when(F.arrays_overlap("issues", F.array(*(F.lit(s) for s in structural))), "nullified").otherwise("unfixed")
     return repaired.select("id", "issues", action.alias("action") if fix else F.lit("reported").alias("action"), F.when(changed & passes, F.col("repaired")).alias("repaired"))
 
