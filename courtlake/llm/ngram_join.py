@@ -5,7 +5,7 @@ threshold.  All sets are ordered by one total order (frequent n-grams last, then
 an n-gram among their first ``n - ceil(t * n) + 1``, their prefix.
 
 1. One pass hashes every text and keeps, per document, the set's size, a fingerprint and a probe: the smallest hashes.
-2. Equal sets become one class.  N-grams in the probes of more than `hot` classes move to the end of the order, and
+2. Equal sets become one class.  N-grams of more than `hot` classes move to the end of the order, by their counts, and
    the prefixes are taken in that order.  N-grams of a single class are left out, as nobody shares them.
 3. Classes of equal size and prefix become one group.  Only groups are indexed.
 4. Groups that share a prefix n-gram are candidates if size and position bounds allow it.  The first round pairs each
@@ -123,28 +123,48 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
 
 def _prefix_index(classes: DataFrame, docs: DataFrame, size: int, percent: int, hot: int) -> DataFrame:
-    """Entries (gram, rank, n, rep) of every class's prefix, without the n-grams that only one class has."""
+    """Entries (gram, rank, n, rep) of every class's prefix, without n-grams that only one class has in its probe.
+
+    The order of n-grams is: rare ones by hash, then frequent ones by count and hash.  Frequent are those in the probes of
+    more than `hot` classes, and those in the whole sets of more than `hot` classes that need whole sets.  A class needs
+    its whole set if its probe has too few rare n-grams; this can make more n-grams frequent, so both grow until no class is added.
+    """
     entries = classes.select("rep", "n", F.posexplode("probe").alias("rank", "gram"))
     counted = stored(entries.groupBy("gram").agg(F.count(F.lit(1)).alias("lists")).filter("lists > 1"))
-    listed = stored(entries.join(counted, "gram"))
-    frequent = counted.filter(F.col("lists") > hot).select("gram")
     prefix = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
-    # frequent n-grams of a probe move behind all others; the rest move up
-    moved = listed.filter(F.col("lists") > hot).groupBy("rep").agg(F.sort_array(F.collect_list("rank")).alias("moved"))
-    moved = stored(moved.join(classes.select("rep", "n", F.size("probe").alias("probed")), "rep").select("rep", "moved", (F.col("probed") - F.size("moved") < prefix).alias("short")))
-    cold = listed.filter(F.col("lists") <= hot).join(broadcast_if_small(moved), "rep", "left")
+    probed = F.least(F.col("n"), prefix + F.floor(prefix / 4) + 4)
+    late = stored(counted.filter(F.col("lists") > hot).select("gram", F.col("lists").alias("late")))
+    needed, whole = 0, None
+    while True:
+        moved = entries.join(broadcast_if_small(late), "gram").groupBy("rep", "n").agg(F.sort_array(F.collect_list("rank")).alias("moved"))
+        moved = stored(moved.select("rep", "moved", (probed - F.size("moved") < prefix).alias("short")))
+        short = moved.filter("short").select(F.col("rep").alias("doc_id"))
+        before, needed = needed, short.count()
+        if needed == before:
+            break
+        if whole is not None:
+            drop_stored(whole)
+        whole = stored(docs.join(broadcast_if_small(short), "doc_id", "left_semi").mapInArrow(lambda it: _all_grams(it, size), "rep long, gram long").distinct())
+        common = whole.groupBy("gram").agg(F.count(F.lit(1)).alias("late")).filter(F.col("late") > hot)
+        old, late = late, stored(late.unionByName(common).groupBy("gram").agg(F.max("late").alias("late")))
+        drop_stored(old)
+        drop_stored(moved)
+    known = counted.select("gram")
+    index = None
+    if whole is not None:
+        per_doc = Window.partitionBy("rep")
+        marked = whole.join(broadcast_if_small(late), "gram", "left")
+        ranked = marked.select("gram", (F.row_number().over(per_doc.orderBy(F.coalesce("late", F.lit(0)), "gram")) - 1).alias("rank"), F.count(F.lit(1)).over(per_doc).cast("int").alias("n"), "rep")
+        index = stored(ranked.filter(F.col("rank") < prefix))
+        known = known.unionByName(index.select("gram")).distinct()
+    cold = entries.join(known, "gram").join(broadcast_if_small(late.select("gram")), "gram", "left_anti").join(broadcast_if_small(moved), "rep", "left")
     rank = F.col("rank") - F.coalesce(F.size(F.filter("moved", lambda r: r < F.col("rank"))), F.lit(0))
     enough = cold.filter(~F.coalesce("short", F.lit(False))).select("gram", rank.alias("rank"), "n", "rep").filter(F.col("rank") < prefix)
-    # where a probe holds too few rare n-grams, the whole set is put in order
-    short = moved.filter("short").select(F.col("rep").alias("doc_id"))
-    whole = docs.join(broadcast_if_small(short), "doc_id", "left_semi").mapInArrow(lambda it: _all_grams(it, size), "rep long, gram long").distinct()
-    marked = whole.join(broadcast_if_small(frequent.withColumn("late", F.lit(1))), "gram", "left")
-    per_doc = Window.partitionBy("rep")
-    ranked = marked.select("gram", (F.row_number().over(per_doc.orderBy(F.coalesce("late", F.lit(0)), "gram")) - 1).alias("rank"), F.count(F.lit(1)).over(per_doc).cast("int").alias("n"), "rep")
-    index = stored(enough.unionByName(ranked.filter(F.col("rank") < prefix)))
-    for used in (counted, listed, moved):
-        drop_stored(used)
-    return index
+    result = stored(enough if index is None else enough.unionByName(index))
+    for used in (counted, late, moved, whole, index):
+        if used is not None:
+            drop_stored(used)
+    return result
 
 
 def link_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, hot: int = HOT) -> DataFrame:
