@@ -1,16 +1,17 @@
-"""Repeated passages: compact windows over min-hashed shingles, interval joins, verification on whole texts.
-
-The tokens of a text are its word shingles.  Under one hash function, a compact window (l, c, r) stands for all token
-ranges inside [l, r] that contain c: the hash of c is their minimum.  The windows of a text are the subtrees of the Cartesian
-tree over its hashes.  Near-duplicate passages of at least `min_words` words contain near-duplicate ranges of exactly that
-width, so windows are clipped to it: a window becomes the interval of starts whose range has its minimum at c.
-
-1. Per text and band of hash functions, intersect the start intervals of the functions of the band: ranges that share a
-   signature under all of them.  Equal signatures group ranges of all documents.
-2. Every document of a group meets the group's first document (smallest id).  Both whole texts are compared: a passage is
-   a union of ranges of which enough shingles occur in the other text.  Rows stay linear in the groups' sizes.
-3. Ranges that this leaves open, in groups where at least two documents have such, are matched word by word: equal
-   hashes of whole ranges, first document again.  So no verbatim passage is lost behind a group's first document.
+"""Repeated passages: lowest shingles of clipped ranges, interval entries, verification on whole texts.
+
+The tokens of a text are its word shingles, its ranges all runs of tokens of `min_words` words.  Near-duplicate passages of at
+least that length contain near-duplicate ranges of exactly that length.  Two ranges match if in each at most `m` tokens are
+missing from the other.  Under one order of all shingles they then share one of their m + 1 lowest distinct tokens (prefix
+filter): no match is left to chance.  An entry is a token with the interval of starts of the ranges that it is among the lowest of.
+
+1. Entries under the order of the hashes.  Every document of a token's group meets the group's first document (smallest id).
+   Both whole texts are compared: a passage is a union of ranges of which enough shingles occur in the other text.  Rows stay
+   linear in the groups' sizes.
+2. Ranges that this leaves open, in groups where at least two documents have such, get new entries: their shingles are
+   counted and ordered from rare to common, so that a common phrase brings ranges together only if they have little else.
+3. Open documents of a group meet its first 1, 2, 4, ... documents that are still open, until no group has two open documents
+   that were not compared.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from courtlake.llm import words as w
 from courtlake.llm.common import broadcast_if_small, drop_stored, numbered, stored
 
 SHINGLE = 5
-BANDS = ((0x1B873593CC9E2D51, 0x38B34AE5A1E38B93), (0x4CF5AD432745937F, 0x52DCE729E6546B64))
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -39,6 +39,12 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
+def window_maxima(values: np.ndarray, width: int) -> np.ndarray:
+    """Maximum of every `width` consecutive unsigned values."""
+    top = np.iinfo(values.dtype).max
+    return top - window_minima(top - values, width)
+
+
 def start_intervals(docs: np.ndarray, tokens: np.ndarray, width: int, seeds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal intervals of range starts that share their minima under all functions: first start, last start, signature."""
     n = len(tokens) - width + 1
@@ -64,19 +70,68 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return docs[at], at - (np.cumsum(counts) - counts)[docs[at]], tokens
 
 
-def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int, bands) -> Iterator[pa.RecordBatch]:
+def lowest_entries(docs: np.ndarray, values: np.ndarray, width: int, lowest: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens among the `lowest` distinct values of a range of one document: index, first and last start of such ranges.
+
+    With `wanted`, only ranges that start where it is true count.
+    """
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    counted = docs[:n] == docs[width - 1:]
+    if wanted is not None:
+        counted &= wanted[:n]
+    starts = np.flatnonzero(counted)
+    order = np.lexsort((np.arange(len(values)), values))
+    same = (values[order[1:]] == values[order[:-1]]) & (np.diff(order) < width)
+    repeated = np.zeros(len(values) + 1, np.int64)
+    again = order[1:][same]
+    np.add.at(repeated, np.maximum(again - width + 1, 0), 1)
+    np.add.at(repeated, order[:-1][same] + 1, -1)
+    repeated = np.cumsum(repeated)
+    limit = np.zeros(len(values), values.dtype)
+    usable = np.zeros(len(values), bool)
+    usable[starts] = True
+    ranges = np.lib.stride_tricks.sliding_window_view(values, width)
+    top, rank = np.iinfo(values.dtype).max, min(lowest, width) - 1
+    for a in range(0, len(starts), 1 << 14):
+        part = starts[a:a + (1 << 14)]
+        limit[part] = np.partition(ranges[part], rank, axis=1)[:, rank]
+        doubled = part[repeated[part] > 0]
+        if len(doubled):
+            own = np.sort(ranges[doubled], axis=1)
+            own[:, 1:][own[:, 1:] == own[:, :-1]] = top
+            limit[doubled] = np.sort(own, axis=1)[:, rank]
+    # the ranges that hold token i start at i - width + 1 ... i
+    padded = np.concatenate([np.zeros(width - 1, values.dtype), limit])
+    reach = window_maxima(padded, width)
+    at = np.flatnonzero(values <= reach)
+    first, last = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    keep = np.zeros(len(at), bool)
+    limits = np.lib.stride_tricks.sliding_window_view(padded, width)
+    uses = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.zeros(width - 1, bool), usable]), width)
+    for a in range(0, len(at), 1 << 14):
+        part = at[a:a + (1 << 14)]
+        holds = (limits[part] >= values[part, None]) & uses[part]
+        keep[a:a + len(part)] = holds.any(1)
+        first[a:a + len(part)] = part - width + 1 + holds.argmax(1)
+        last[a:a + len(part)] = part - holds[:, ::-1].argmax(1)
+    return at[keep], first[keep], last[keep]
+
+
+def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int, lowest: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for begin, _end, data, offsets in w.chunks(batch.column(1)):
             docs, place, tokens = _tokens(data, offsets, size)
-            for k, seeds in enumerate(bands):
-                first, last, key = start_intervals(docs, tokens, width, seeds)
-                columns = [w.signed(w.mix(key + np.uint64(k))), ids[begin + docs[first]], place[first].astype(np.int32), place[last].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "first", "last"])
+            at, first, last = lowest_entries(docs, tokens, width, lowest)
+            columns = [w.signed(tokens[at]), ids[begin + docs[at]], place[first].astype(np.int32), place[last].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "first", "last"])
 
 
-def passages(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> list[tuple[int, int]]:
-    """Token intervals [a, b) of `tokens`: unions of ranges of `width` with enough shingles in `other`, ends trimmed."""
+def passages(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> list[tuple[int, int, int, int]]:
+    """Unions of ranges of `width` tokens with enough shingles in `other`: interval [a, b) of `tokens`, ends trimmed, and the
+    first and last start of its ranges."""
     if len(tokens) < width:
         return []
     hit = np.isin(tokens, other)
@@ -88,7 +143,7 @@ def passages(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int
     found = []
     for part in np.split(good, cut):
         on = part[0] + np.flatnonzero(hit[part[0]:part[-1] + width])
-        found.append((int(on[0]), int(on[-1]) + 1))
+        found.append((int(on[0]), int(on[-1]) + 1, int(part[0]), int(part[-1])))
     return found
 
 
@@ -106,32 +161,78 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, width: int, hits_neede
         for a in range(0, batch.num_rows, 128):
             part = batch.slice(a, 128)
             for doc, source, x, y in zip(part.column("doc_id").to_pylist(), part.column("source").to_pylist(), _texts_tokens(part.column("text"), size), _texts_tokens(part.column("source_text"), size), strict=True):
-                rows += [(doc, b, e + size - 1, source) for b, e in passages(x, y, width, hits_needed)]
+                rows += [(doc, b, e + size - 1, source, first, last) for b, e, first, last in passages(x, y, width, hits_needed)]
         yield _spans(rows)
 
 
 def _spans(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start_word", "end_word", "source"])
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start_word", "end_word", "source", "lo", "hi"])
 
 
-def _exact_ranges(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Hash of every open range: the `width` tokens from each start of the document's open intervals."""
+def _open_texts(batch: pa.RecordBatch, size: int, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row, id, tokens and open starts (one flag per token) of each document."""
+    tokens = _texts_tokens(batch.column("text"), size)
+    for i, (doc, own) in enumerate(zip(batch.column("doc_id").to_pylist(), tokens, strict=True)):
+        flags = np.zeros(len(own), bool)
+        for r in batch.column("open")[i].as_py():
+            flags[r["first"]:r["last"] + 1] = True
+        for r in batch.column("known")[i].as_py() or []:
+            flags[r["lo"]:r["hi"] + 1] = False
+        yield i, doc, own, flags
+
+
+def _open_shingles(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The distinct shingles of each document's open ranges."""
     for batch in batches:
-        for begin, end, data, offsets in w.chunks(batch.column("text")):
-            docs, _place, tokens = _tokens(data, offsets, size)
-            cuts = np.searchsorted(docs, np.arange(end - begin + 1))
-            for i in range(end - begin):
-                own = tokens[cuts[i]:cuts[i + 1]]
-                starts = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in batch.column("open")[begin + i].as_py()]))
-                total = np.zeros(len(starts), np.uint64)
-                for k in range(width):
-                    total = w.mix(total * np.uint64(0x9E3779B97F4A7C15) + own[starts + k])
-                doc = batch.column("doc_id")[begin + i].as_py()
-                yield pa.RecordBatch.from_arrays([pa.array(w.signed(total)), pa.array(np.full(len(starts), doc)), pa.array(starts.astype(np.int64))], ["range", "doc_id", "start"])
-
-
-def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, percent: int = 80, size: int = SHINGLE, bands=BANDS) -> DataFrame:
+        for a in range(0, batch.num_rows, 128):
+            found, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for _i, doc, own, flags in _open_texts(batch.slice(a, 128), size, width):
+                near = np.append(0, np.cumsum(flags))
+                ends = np.arange(1, len(own) + 1)
+                part = np.unique(own[near[ends] > near[np.maximum(ends - width, 0)]])
+                found.append(part)
+                owners.append(np.full(len(part), doc))
+            yield pa.RecordBatch.from_arrays([pa.array(w.signed(np.concatenate(found))), pa.array(np.concatenate(owners))], ["key", "doc_id"])
+
+
+def _rare_entries(batches: Iterator[pa.RecordBatch], size: int, width: int, lowest: int) -> Iterator[pa.RecordBatch]:
+    """Entries of the open ranges, rare shingles first; shingles of one document count as lowest but make no entry."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 128):
+            part = batch.slice(a, 128)
+            rows = []
+            for i, doc, own, flags in _open_texts(part, size, width):
+                shared = part.column("shared")[i].values
+                keys, n = shared.field("key").to_numpy().view(np.uint64), shared.field("n").to_numpy()
+                order = np.argsort(keys)
+                keys, n = keys[order], n[order]
+                distinct, index = np.unique(own, return_inverse=True)
+                at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+                times = np.where(keys[at] == distinct, n[at], 1)
+                value = np.empty(len(distinct), np.uint64)
+                value[np.lexsort((distinct, times))] = np.arange(len(distinct), dtype=np.uint64)
+                place, first, last = lowest_entries(np.zeros(len(own), np.int64), value[index], width, lowest, flags)
+                used = times[index[place]] > 1
+                rows.append((w.signed(own[place[used]]), np.full(int(used.sum()), doc), first[used], last[used]))
+            columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds, strict=True)], ["key", "doc_id", "first", "last"])
+
+
+def _still_open(entries: DataFrame, spans: DataFrame) -> DataFrame:
+    """Entries of which no passage holds all ranges, in groups where two documents have such."""
+    known = stored(spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known")))
+    closed = F.exists("known", lambda s: (s["lo"] <= F.col("first")) & (s["hi"] >= F.col("last")))
+    left = stored(entries.join(broadcast_if_small(known), "doc_id", "left").filter(~F.coalesce(closed, F.lit(False))).select("key", "doc_id", "first", "last"))
+    doubt = left.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
+    out = stored(left.join(doubt, "key"))
+    for used in (known, left):
+        drop_stored(used)
+    return out
+
+
+def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, percent: int = 80, size: int = SHINGLE) -> DataFrame:
     """Passages of at least `min_words` words that occur in a document of smaller id: doc_id, start_word, end_word
     (exclusive), n_words, source_doc_id.  Overlapping passages of a document are one row with the smallest source.
 
@@ -142,35 +243,45 @@ def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: st
     """
     width = min_words - size + 1
     hits_needed = -(-2 * percent * width // (100 + percent))
+    lowest = width - hits_needed + 1
     docs = numbered(documents, id_col, text_col).filter("doc_id is not null")
-    entries = stored(docs.mapInArrow(lambda it: _entries(it, size, width, bands), "key long, doc_id long, first int, last int"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("doc_id", "source")).alias("doc_id")).distinct()
+        texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi")
+        both = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("source"), F.col("text").alias("source_text")), "source")
+        return stored(both.mapInArrow(lambda it: _verify(it, size, width, hits_needed), "doc_id long, start_word long, end_word long, source long, lo long, hi long"))
+
+    entries = stored(docs.mapInArrow(lambda it: _entries(it, size, width, lowest), "key long, doc_id long, first int, last int"))
     groups = entries.groupBy("key").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("other")).filter("source < other").select("key", "source")
     met = stored(entries.join(groups, "key").filter("doc_id <> source"))
     drop_stored(entries)
-
     pairs = stored(met.select("doc_id", "source").distinct())
-    wanted = pairs.select(F.explode(F.array("doc_id", "source")).alias("doc_id")).distinct()
-    texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi")
-    both = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("source"), F.col("text").alias("source_text")), "source")
-    spans = stored(both.mapInArrow(lambda it: _verify(it, size, width, hits_needed), "doc_id long, start_word long, end_word long, source long"))
-    drop_stored(pairs)
-
-    known = stored(spans.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("known")))
-    covered = F.exists(F.coalesce("known", F.array().cast("array<struct<start_word:long,end_word:long>>")), lambda s: (s["start_word"] <= F.col("first")) & (s["end_word"] >= F.col("last") + min_words))
-    left = met.join(broadcast_if_small(known), "doc_id", "left").filter(~covered).select("key", "doc_id", "first", "last")
-    left = stored(left)
-    doubt = left.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
-    opened = left.join(doubt, "key").groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("open"))
-    opened = stored(opened)
-    ranges = docs.join(broadcast_if_small(opened), "doc_id").select("doc_id", "text", "open")
-    ranges = stored(ranges.mapInArrow(lambda it: _exact_ranges(it, size, width), "range long, doc_id long, start long"))
-    firsts = ranges.groupBy("range").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("b")).filter("source < b").select("range", "source")
-    exact = ranges.join(firsts, "range").filter("doc_id <> source").select("doc_id", F.col("start").alias("start_word"), (F.col("start") + min_words).alias("end_word"), "source")
-    found = _merged(spans.unionByName(exact))
-    result = stored(found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), F.col("source").alias("source_doc_id")))
-    for used in (met, spans, known, left, opened, ranges):
+    spans = compared(pairs)
+
+    left = _still_open(met, spans)
+    drop_stored(met)
+    known = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known"))
+    opened = stored(left.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("open")).join(known, "doc_id", "left"))
+    texts = docs.join(broadcast_if_small(opened), "doc_id").select("doc_id", "text", "open", "known")
+    held = stored(texts.mapInArrow(lambda it: _open_shingles(it, size, width), "key long, doc_id long"))
+    common = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key", "n")
+    shared = stored(held.join(common, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "n")).alias("shared")))
+    rare = texts.join(shared, "doc_id").mapInArrow(lambda it: _rare_entries(it, size, width, lowest), "key long, doc_id long, first int, last int")
+    rare = stored(rare)
+    open_entries, leaders = _still_open(rare, spans), 1
+    for used in (left, held, shared, opened, rare):
         drop_stored(used)
-    return result
+    while not open_entries.isEmpty():
+        ranked = stored(open_entries.select("key", "doc_id").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))))
+        first = ranked.filter(F.col("rank") <= leaders).select("key", F.col("doc_id").alias("source"))
+        fresh = stored(ranked.join(first, "key").filter("source < doc_id").select("doc_id", "source").distinct().join(pairs, ["doc_id", "source"], "left_anti"))
+        more = compared(fresh)
+        pairs, spans = pairs.unionByName(fresh), spans.unionByName(more)
+        rest = open_entries.join(ranked.filter(F.col("rank") > leaders).select("key", "doc_id"), ["key", "doc_id"])
+        open_entries, leaders = _still_open(rest, more), 2 * leaders
+    found = _merged(spans)
+    return stored(found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), F.col("source").alias("source_doc_id")))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
