@@ -24,6 +24,12 @@ def held(spark, rows):
     return {(r.doc_id, r.source_doc_id) for r in found}
 
 
+def test_one_edited_word_in_fifty(spark):
+    rng = random.Random(5)
+    rows = near_copies(rng, 1, 150, lambda: ([f"y{rng.randrange(10**9)}" for _ in range(50)], rng.randrange(10, 40)))
+    assert held(spark, rows) == {(i + 1, i) for i in range(1, 301, 2)}
+
+
 def test_common_line_hides_no_near_copy(spark):
     """A 40-word line that 300 unrelated earlier documents hold, inside 56-word passages of pairs of later ones."""
     rng = random.Random(6)
