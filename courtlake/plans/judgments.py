@@ -159,3 +159,10 @@ def search_queries(spark, sf_dir):
     postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 40).alias("text"))
     return search.search_many(postings, lengths, asked, 10)
+
+
+@query()
+def search_whole_items(spark, sf_dir):
+    """All words of every benchmark item against all documents."""
+    postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return search.search_many(postings, lengths, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text"), 10)
