@@ -1,9 +1,9 @@
 """Toxicity severity by cumulative-link ordinal regression on sparse text features.
 
 Features are hashed words and hashed word beginnings: present or not, and there more than once or not.  Counts of every feature by grade cover all labelled
-documents; those that tell the grades apart best become the model's columns.  One weight vector is shared by all ordered
-thresholds: ``P(grade > k) = sigmoid(w.x + b - theta_k)``.  It is fitted on a bounded, documented sample of labelled rows
-(the smallest id hashes) and applied to every document in one pass.
+distinct texts; all that tell the grades apart become the model's columns.  One weight vector is shared by all ordered
+thresholds: ``P(grade > k) = sigmoid(w.x + b - theta_k)``.  It is fitted on a bounded, documented sample of labelled
+texts (the smallest id hashes) and applied to every document in one pass.
 """
 
 from __future__ import annotations
@@ -18,14 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm import words as w
-from courtlake.llm.common import broadcast_if_small, numbered, stored
+from courtlake.llm.common import broadcast_if_small, drop_stored, numbered, stored
 
 HASH_BITS = 22
 BEGINNINGS = (4, 5)
-#: Most labelled rows that the fit sees.
+#: Most distinct labelled texts that the fit sees.
 FIT_ROWS = 20_000
-#: Most feature columns of the model.
-COLUMNS = 2_000
 #: Documents above the lowest grade that must hold a feature.  Of m such features, one counts as telling if its
 #: likelihood-ratio statistic reaches 2 ln m, so that about one of all would by chance.
 LEAST_DOCUMENTS = 3
@@ -140,10 +138,27 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_columns: int, n_gr
     return weights, theta
 
 
-def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", grade_col: str = "grade", max_fit_rows: int = FIT_ROWS, columns: int = COLUMNS, bits: int = HASH_BITS) -> Model | None:
-    """The model, or None if the labels hold fewer than two grades.  Null ids and grades are left out."""
+def _distinct_texts(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """Each labelled text once: doc_id (the smallest), text, grade (the highest).  Only ids and hashes are shuffled."""
+    hashed = documents.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = stored(hashed.join(broadcast_if_small(known), "doc_id").select("doc_id", "hash", "grade"))
+    one = stored(rows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.max("grade").alias("grade")))
+    again = stored(rows.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "hash"))
+    drop_stored(rows)
+    texts = hashed.join(broadcast_if_small(one), ["doc_id", "hash"])
+    if not again.isEmpty():  # rows that repeat both id and text
+        repeated = broadcast_if_small(again)
+        texts = texts.join(repeated, ["doc_id", "hash"], "left_anti").unionByName(texts.join(repeated, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"]))
+    return texts.select("doc_id", "text", "grade")
+
+
+def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", grade_col: str = "grade", max_fit_rows: int = FIT_ROWS, bits: int = HASH_BITS) -> Model | None:
+    """The model, or None if the labels hold fewer than two grades.  Null ids and grades are left out.
+
+    Copies of one text count once, under the highest of their grades.
+    """
     known = labels.select(F.col(label_id_col).cast("long").alias("doc_id"), F.col(grade_col).cast("int").alias("grade")).dropna().groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    texts = numbered(documents, id_col, text_col).join(broadcast_if_small(known), "doc_id").select("doc_id", "text", "grade")
+    texts = _distinct_texts(numbered(documents, id_col, text_col), known)
     counts = texts.mapInArrow(lambda it: _counts(it, bits), "feature int, grade int, n long").groupBy("feature", "grade").agg(F.sum("n").alias("n"))
     totals = {r.grade: r.n for r in texts.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per grade
     grades = sorted(totals)
@@ -155,7 +170,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     telling = counts.groupBy("feature").agg(high_n.alias("high"), low_n.alias("low")).filter((F.col("high") >= LEAST_DOCUMENTS) & (F.col("high") * n_low > F.col("low") * n_high))
     telling = stored(telling.withColumn("g2", _g2(F.col("high"), F.col("low"), n_high, n_low)))
     telling = telling.filter(F.col("g2") >= 2 * math.log(max(telling.count(), 2)))
-    features = np.array([r.feature for r in telling.orderBy(F.desc("g2"), "feature").limit(columns).collect()], np.int64)
+    features = np.array([r.feature for r in telling.orderBy("feature").collect()], np.int64)
     if not len(features):
         return None
     sparse = texts.mapInArrow(lambda it: _chosen(it, features, bits), "doc_id long, grade int, columns array<int>")
