@@ -35,6 +35,8 @@ _TOKENS = re.compile(
     re.I | re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+#: Words that may stand beside them in a hyphenated name: "site-header" marks a header, "with-sidebar" marks nothing.
+PLACE_WORDS = frozenset("site page main top bottom left right upper lower list box bar area block container wrapper inner outer slot section item items group links link text primary secondary global sticky".split())
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -51,11 +53,15 @@ class Node:
 def _marked(name: str, attributes: str) -> bool:
     if name in ("html", "body", "article", "main"):
         return False
-    return any(word in ASIDE_WORDS for m in _NAMES.finditer(attributes) for word in _WORD.findall(m[1].lower()))
+    names = [_WORD.findall(name) for m in _NAMES.finditer(attributes) for name in m[1].lower().split()]
+    return any(any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLACE_WORDS for w in words) for words in names)
 
 
-def parse(html: str) -> Node:
-    """A tree of elements and text; unclosed, unopened and crossed tags are tolerated."""
+def parse(html: str, marks: bool = True) -> Node:
+    """A tree of elements and text; unclosed, unopened and crossed tags are tolerated.
+
+    A mark in class, id or role, or a form, silences nothing that holds an article or main; without `marks` none does.
+    """
     root = node = Node("html", None, False)
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> None:
@@ -82,7 +88,13 @@ def parse(html: str) -> Node:
                 close(("p",), _SCOPES)
             if name in CLOSES:
                 close(CLOSES[name], _SCOPES - set(CLOSES[name]))
-            child = Node(name, node, node.silent or name in ASIDE or _marked(name, m[4]))
+            marked = marks and name not in ASIDE and _marked(name, m[4])
+            child = Node(name, node, name in ASIDE or marked)
+            if name in ("article", "main"):
+                above = node
+                while above is not None:
+                    above.silent = above.silent and above.name in ASIDE and above.name != "form"
+                    above = above.parent
             node.children.append(child)
             if not m[4].endswith("/") or name in BLOCKS:
                 node = child
@@ -136,7 +148,10 @@ def main_text(html: str | None) -> str:
     """Blocks of the article joined by two newlines; empty if the page has none."""
     if not html:
         return ""
-    root = parse(html)
+    return _main_text(parse(html)) or _main_text(parse(html, marks=False))
+
+
+def _main_text(root: Node) -> str:
     nodes: list[Node] = []
     for block, text, linked in _blocks(root):
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
