@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
 Each block of text gives points for its length and its commas to its container, and falling shares of them to the ancestors.  A
-container's points are discounted by its share of link text.  The best container is kept with those siblings that score
-well beside it; what the page marks as menu, header, footer, sidebar, notice, advert, form or comment is left out before.
+container's points are discounted by its share of link text.  The best article is kept with those beside it that score
+well; without articles, the best container with all blocks around it, up to main or body, that are not mostly links.  What the page marks as menu, header, footer, sidebar, notice, advert, form or comment is left out before.
 """
 
 from __future__ import annotations
@@ -172,9 +172,18 @@ def _main_text(root: Node) -> str:
     articles = [n for n in nodes if n.name == "article"]
     best = max(articles or nodes, key=score)
     chosen = [best]
-    if best.parent is not None:
+    if not articles:
+        # what lies beside the best container and isn't mostly links belongs to the text, up to main or body
+        while best.name not in ("main", "body", "html") and best.parent is not None:
+            for c in best.parent.children:
+                if isinstance(c, Node) and c is not best and not c.silent and c.name in BLOCKS:
+                    found = [(len(text), linked) for _, text, linked in _blocks(c)]
+                    c.silent = 2 * sum(x for _, x in found) > sum(n for n, _ in found)
+            best = best.parent
+        chosen = [best]
+    elif best.parent is not None:
         level = 0.2 * score(best)
-        chosen = [c for c in best.parent.children if c is best or isinstance(c, Node) and not c.silent and c.name in BLOCKS and c.chars and score(c) >= max(level, 3) and (c.name == "article" or not articles)]
+        chosen = [c for c in best.parent.children if c is best or isinstance(c, Node) and not c.silent and c.name in BLOCKS and c.chars and score(c) >= max(level, 3) and c.name == "article"]
     return "\n\n".join(text for n in chosen for _, text, _ in _blocks(n))
 
 

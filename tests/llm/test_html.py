@@ -8,6 +8,14 @@ PARTS = [f"Paragraph {k}, with some words, and some more of them." for k in rang
 LONG = "".join(f"<p>{x}</p>" for x in PARTS)
 
 
+def test_text_blocks_beside_the_best_container():
+    whole = "\n\n".join(["T", *PARTS, "End"])
+    menu = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>"
+    assert main_text(f"<main><h1>T</h1><div>{LONG}</div><p>End</p></main>") == whole
+    assert main_text(f"<body>{menu}<h1>T</h1><div><div>{LONG}</div></div><section><p>End</p></section></body>") == whole
+    assert main_text(f"<main><pre>T</pre><div>{LONG}</div>End</main>") == whole
+
+
 @pytest.mark.parametrize("wrapper", ["class='content with-sidebar'", "id=page class=no-sidebar", "class='sidebar'", "class='has-comments search'"])
 def test_wrapper_of_an_article_stays(wrapper):
     want = "\n\n".join(PARTS)
