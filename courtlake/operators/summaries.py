@@ -34,8 +34,8 @@ def batch_texts(fragments: DataFrame, max_batches: int = 20, least: int = 10) ->
     return batched.groupBy("judgment_id", "batch").agg(F.array_join(parts, BREAK).alias("batch_text"), F.max("n").cast("int").alias("n_rendered"))
 
 
-def summary_inputs(catalog: DataFrame, fragments: DataFrame, ledger: DataFrame, now, k: int = 50, max_batches: int = 20) -> DataFrame:
-    """Q4: batches of the next k documents without summary, with model tier, limit and budget.
+def summary_inputs(catalog: DataFrame, fragments: DataFrame, ledger: DataFrame, now, k: int | None = None, max_batches: int = 20) -> DataFrame:
+    """Q4: batches of the next k documents without summary (None: of all), with model tier, limit and budget.
 
     Documents that failed often come first, those blocked are skipped.  Without usable fragments the body is the only batch,
     and without a body the row says so.
@@ -43,7 +43,8 @@ def summary_inputs(catalog: DataFrame, fragments: DataFrame, ledger: DataFrame,
     from courtlake.operators.ledger import with_tier
 
     chosen = with_tier(tables.summary_backlog(catalog), ledger, now).filter("tier <> 'blocked'")
-    chosen = tables.newest(chosen, k, F.desc("priority"))
+    if k is not None:
+        chosen = tables.newest(chosen, k, F.desc("priority"))
     batches = batch_texts(tables.fragments_of(chosen, fragments), max_batches).withColumnRenamed("judgment_id", "id")
     joined = chosen.select("id", "case_name", "citation", "content_text", "fragment_count", "tier").join(batches, "id", "left")
     usable = F.col("batch_text").isNotNull()

@@ -200,7 +200,7 @@ def _judgment_table(spark, sf_dir):
 def summary_inputs(spark, sf_dir):
     """Q4: P4, J4, J9, T2, J7, F19, W8, F17, F18, F21."""
     a = attempts(spark, sf_dir)
-    return summaries.summary_inputs(_judgment_table(spark, sf_dir), frags(spark, sf_dir), _failures(a), _now(a), k=50)
+    return summaries.summary_inputs(_judgment_table(spark, sf_dir), frags(spark, sf_dir), _failures(a), _now(a))
 
 
 @query()
