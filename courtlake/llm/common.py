@@ -2,42 +2,73 @@
 
 from __future__ import annotations
 
+import gc
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows of an id list that is broadcast; beyond it a shuffled join is used.
+#: Most rows and bytes of a table that is broadcast; beyond either a shuffled join is used.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only if a bounded count proves that the table has at most `limit` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """Size of a value in memory, from above."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            each = F.transform(value, lambda x: _bytes(x, kind.elementType))
+            return F.coalesce(F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0).cast("long")) + 24
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 24
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind), F.lit(16).cast("long"))
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8)
 
 
-def _folder(spark: SparkSession) -> str:
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark for broadcast only if a bounded count proves that the table has at most `rows` rows of `size` bytes in all."""
+    each = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(24).cast("long"))
+    found = df.select(each.alias("b")).limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if found.n <= rows and found.b <= size else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares.  A machine-local one serves only a session whose master is local."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if at is None:  # tests and single machines only: a cluster names its shared folder
-        at = "/tmp/checkpoints"
-    return at
+    if at is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        at = spark.sparkContext.getCheckpointDir()
+    return at.rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write once to the cluster's shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete a table made by stored() that no later result reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables made by stored() that no later result reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: its cleaner follows the driver's garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def lower_ascii(text: Column) -> Column:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 from courtlake.llm import substring
+from courtlake.llm import words as w
 
 
 def near_copies(rng, first_id, pairs, make):
@@ -40,19 +41,63 @@ def test_common_line_hides_no_near_copy(spark):
     assert held(spark, rows) == {(i + 1, i) for i in range(1001, 1121, 2)}
 
 
-def test_lowest_entries_against_brute_force():
-    rng = np.random.default_rng(2)
-    for top in (12, 60, 10**6):
-        docs, values = np.repeat([0, 1, 2], [200, 20, 180]), rng.integers(0, top, 400).astype(np.uint64)
-        wanted = rng.random(400) < 0.5
-        for flags in (None, wanted):
-            want = {}
-            for s in range(400 - 45):
-                if docs[s] == docs[s + 45] and (flags is None or flags[s]):
-                    low = sorted(set(values[s:s + 46].tolist()))[:6]
-                    for i in range(s, s + 46):
-                        if values[i] in low:
-                            a, b = want.get(i, (s, s))
-                            want[i] = (min(a, s), max(b, s))
-            got = substring.lowest_entries(docs, values, 46, 6, flags)
-            assert {i: (a, b) for i, a, b in zip(*(x.tolist() for x in got), strict=True)} == want
+def test_common_openings_recall(spark):
+    """Triples: the first document has only the opening of a 50-word passage that the other two share, with one word edited."""
+    rng = random.Random(8)
+    say = lambda n: [f"y{rng.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], set()
+    for k, opening in enumerate([30] * 80 + [40] * 80):
+        passage, at = say(50), rng.randrange(opening, 50)
+        rows.append((3 * k + 1, " ".join(say(20) + passage[:opening] + say(40))))
+        rows.append((3 * k + 2, " ".join(say(30) + passage + say(30))))
+        rows.append((3 * k + 3, " ".join(say(30) + [*passage[:at], "edited", *passage[at + 1:]] + say(30))))
+        want.add((3 * k + 3, 3 * k + 2))
+    found = held(spark, rows)
+    assert len(found & want) >= 0.95 * len(want) and found <= want
+
+
+def test_compact_windows_against_brute_force():
+    """Every subsequence of at least 46 tokens of one document is in exactly one window, that of its least hash."""
+    rng = np.random.default_rng(3)
+    for top in (12, 60, 2**63):
+        docs, values = np.repeat([0, 1, 2], [120, 30, 100]), w.mix(rng.integers(1, top, 250).astype(np.uint64))
+        of = {}
+        for c, left, right in zip(*substring.compact_windows(docs, values, 46), strict=True):
+            for i in range(c - left, c + 1):
+                for j in range(max(c, i + 45), c + right + 1):
+                    assert (i, j) not in of
+                    of[i, j] = c
+        spans = [(i, j) for i in range(250) for j in range(i + 45, 250) if docs[i] == docs[j]]
+        assert set(of) == set(spans) and all(values[of[i, j]] == values[i:j + 1].min() for i, j in spans)
+
+
+def test_joined_windows_against_brute_force():
+    """The ranges of a signature are those in which two functions have these two least hashes."""
+    rng = np.random.default_rng(4)
+    docs, tokens = np.repeat([0, 1], [150, 90]), rng.integers(1, 80, 240).astype(np.uint64)
+    hashes = [w.mix(tokens ^ substring._seed(k)) for k in range(substring.HASHES)]
+    parts = [substring.compact_windows(docs, h, 46) for h in hashes]
+    keys = np.concatenate([substring._keys(h[c], k) for k, (h, (c, _, _)) in enumerate(zip(hashes, parts, strict=True))])
+    c, left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
+    got = {}
+    for doc, sig, first, last in zip(*substring.joined_windows(docs[c], keys, c - left, c, c + right, 46), strict=True):
+        got.setdefault(sig, set()).update((doc, s) for s in range(first, last + 1))
+    want = {}
+    for s in range(240 - 45):
+        if docs[s] == docs[s + 45]:
+            low = [h[s:s + 46].min() for h in hashes]
+            for i in range(substring.HASHES):
+                for j in range(i + 1, substring.HASHES):
+                    want.setdefault((i, j, low[i], low[j]), set()).add((docs[s], s))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_long_texts_in_blocks(spark):
+    """A passage across the block boundary of two long texts, and copies of a text."""
+    rng = random.Random(9)
+    say = lambda n: [f"y{rng.randrange(10**9)}" for _ in range(n)]
+    passage = say(3000)
+    rows = [(1, " ".join(say(1900) + passage + say(900))), (2, " ".join(say(4050) + passage + say(10))), (3, None), (4, "short text")]
+    rows += [(5, rows[0][1]), (6, rows[1][1]), (7, "short text"), (None, rows[0][1])]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r)[:3] + (r.source_doc_id,) for r in found) == [(2, 4050, 7050, 1), (5, 0, 5800, 1), (6, 0, 7060, 2)]
