@@ -14,7 +14,7 @@ least as long as the shortest passage count: about 2 / 47 of the tokens for pass
 4. Ranges that this leaves open, in groups where at least two documents have such, are hashed anew with their shingles
    ordered from rare to common; shingles of one document don't count, nor do ranges in which too few are left.  A common
    phrase then brings ranges together only if they share little else.  Open documents of the new groups meet the first
-   1, 2, 4, ... that are still open, until no group has two open documents that were not compared.
+   8, 64, ... that are still open, until no group has two open documents that were not compared.
 
 Documents of one text are one document with copies throughout.
 """
@@ -35,6 +35,8 @@ from courtlake.llm.common import broadcast_if_small, drop_stored, free_shuffles,
 SHINGLE = 5
 #: Hash functions; at most 8, as a key's last three bits name its function.
 HASHES = 5
+#: Documents of a group that the others meet in the second round; as many times more in each round that follows.
+LEADERS = 8
 #: Tokens of a block: what is compared of a long text is the block that holds the window, with its surroundings.
 BLOCK = 2048
 NONE = np.uint64(2**64 - 1)
@@ -67,41 +69,47 @@ def nearest_lower(values: np.ndarray) -> np.ndarray:
     return before
 
 
-def compact_windows(docs: np.ndarray, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Slots:
+    """Places for the tokens of documents, one more before each document and after the last: edges that no window crosses."""
+
+    def __init__(self, docs: np.ndarray):
+        new = np.ones(len(docs), np.int64)
+        new[1:] = docs[1:] != docs[:-1]
+        self.slot = np.arange(len(docs)) + np.cumsum(new)
+        self.size = len(docs) + int(new.sum()) + 1
+        self.edge = np.ones(self.size, bool)
+        self.edge[self.slot] = False
+        self.edges = np.flatnonzero(self.edge)
+        self.scale = 2.0 ** self.size.bit_length()
+
+
+def compact_windows(slots: Slots, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Compact windows of at least `width` tokens of one document: centre (token index), tokens to its left and right.
 
-    `docs` has the document of every token, in order.  Of equal hashes the first counts as the smaller.  Tokens with the
-    hash NONE are the centre of no window.
+    Hashes are compared by as many leading bits as a double holds beside the place; of equal ones the first counts as the
+    smaller.  Tokens with the hash NONE are the centre of no window.
     """
-    n = len(hashes)
-    if n < width:
+    if len(hashes) < width:
         return (np.empty(0, np.int64),) * 3
-    # one slot of the least value before each document and after the last
-    new = np.ones(n, np.int64)
-    new[1:] = docs[1:] != docs[:-1]
-    slot = np.arange(n) + np.cumsum(new)
-    size = int(slot[-1]) + 2
-    low_bits = np.uint64(size.bit_length())
-    order = np.arange(size, dtype=np.uint64)
-    order[slot] |= np.maximum(hashes >> low_bits, np.uint64(1)) << low_bits
+    drop = np.uint64(11 + int(np.log2(slots.scale)))
+    order = np.arange(slots.size, dtype=np.float64)
+    order[slots.slot] += ((hashes >> drop).astype(np.float64) + 1) * slots.scale
     least = window_minima(order, width)
-    least = least[least >> low_bits > 0]
+    least = least[np.append(True, least[1:] != least[:-1])]
+    least = least[least >= slots.scale]
     if not len(least):
         return (np.empty(0, np.int64),) * 3
-    mask = (np.uint64(1) << low_bits) - np.uint64(1)
-    centres = (least[np.append(True, least[1:] != least[:-1])] & mask).astype(np.int64)
-    # the Cartesian tree of these tokens: the nearest smaller value of a window's centre is again a centre, or a document's end
-    edge = np.ones(size, bool)
-    edge[slot] = False
-    nodes = np.union1d(centres, np.flatnonzero(edge))
+    centres = np.mod(least, slots.scale).astype(np.int64)
+    # the Cartesian tree of these tokens: the nearest smaller value of a window's centre is again a centre, or an edge
+    nodes = np.sort(np.concatenate([centres, slots.edges]))
     own = order[nodes]
     before = nearest_lower(own)
     back = own[::-1].copy()
-    back[0] = 0
+    back[0] = -1
     after = len(nodes) - 1 - nearest_lower(back)[::-1]
-    inside = ~edge[nodes]
+    inside = ~slots.edge[nodes]
     left, at, right = nodes[before[inside]] + 1, nodes[inside], nodes[after[inside]] - 1
-    token = at - np.cumsum(edge)[at]
+    token = at - np.searchsorted(slots.edges, at)
     real = hashes[token] != NONE
     return token[real], (at - left)[real], (right - at)[real]
 
@@ -128,9 +136,10 @@ def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterat
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for begin, _end, data, offsets in w.chunks(batch.column(1)):
             docs, place, tokens = _tokens(data, offsets, size)
+            slots = Slots(docs)
             for k in range(HASHES):
                 hashes = w.mix(tokens ^ _seed(k))
-                at, left, right = compact_windows(docs, hashes, width)
+                at, left, right = compact_windows(slots, hashes, width)
                 c = place[at]
                 columns = [_keys(hashes[at], k), ids[begin + docs[at]], *((x).astype(np.int32) for x in (c - left, c, c + right))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc_id", "l", "c", "r"])
@@ -294,11 +303,11 @@ def _rare_signatures(batches: Iterator[pa.RecordBatch], size: int, width: int, h
                 if not flags.any():
                     continue
                 tier = np.floor(np.log2(times)).astype(np.uint64)
-                windows = []
+                windows, slots = [], Slots(np.zeros(len(own), np.int64))
                 for k in range(HASHES):
                     mixed = w.mix(own ^ _seed(k))
                     hashes = np.where(times > 1, (mixed >> np.uint64(6)) | (tier << np.uint64(58)), NONE)
-                    c, left, right = compact_windows(np.zeros(len(own), np.int64), hashes, width)
+                    c, left, right = compact_windows(slots, hashes, width)
                     windows.append((_keys(mixed[c], k), c - left, c, c + right))
                 key, left, c, right = (np.concatenate(x) for x in zip(*windows, strict=True))
                 docs, sig, first, last = joined_windows(np.zeros(len(key), np.int64), key, left, c, right, width)
@@ -309,14 +318,12 @@ def _rare_signatures(batches: Iterator[pa.RecordBatch], size: int, width: int, h
 
 def _still_open(entries: DataFrame, spans: DataFrame) -> DataFrame:
     """Entries of which no passage holds all ranges, in groups where two documents have such."""
-    known = stored(spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known")))
+    known = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known"))
     closed = F.exists("known", lambda s: (s["lo"] <= F.col("first")) & (s["hi"] >= F.col("last")))
-    left = entries.join(broadcast_if_small(known), "doc_id", "left").filter(~F.coalesce(closed, F.lit(False)))
+    left = entries.join(known, "doc_id", "left").filter(~F.coalesce(closed, F.lit(False)))
     left = stored(left.select("sig", "doc_id", "first", "last"))
     doubt = left.groupBy("sig").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("sig")
-    out = stored(left.join(doubt, "sig"))
-    drop_stored(known, left)
-    return out
+    return left.join(doubt, "sig")
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -349,10 +356,11 @@ def repeated_passages(
     unique = docs.join(broadcast_if_small(copies.select("doc_id", "print")), ["doc_id", "print"], "left_anti").select("doc_id", "text")
 
     def compared(pairs: DataFrame) -> DataFrame:
-        wanted = stored(pairs.select(F.explode(F.array(F.struct("doc_id", "block"), F.struct(F.col("source").alias("doc_id"), F.col("source_block").alias("block")))).alias("x")).select("x.*").distinct())
+        both_sides = F.array(F.struct("doc_id", "block"), F.struct(F.col("source").alias("doc_id"), F.col("source_block").alias("block")))
+        wanted = stored(pairs.select(F.explode(both_sides).alias("x")).select("x.*").distinct())
         texts = unique.join(broadcast_if_small(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
         blocks = texts.mapInArrow(lambda it: _blocks(it, size, width), "doc_id long, block int, at long, text string")
-        blocks = blocks.join(broadcast_if_small(wanted), ["doc_id", "block"], "left_semi")
+        blocks = blocks.join(wanted, ["doc_id", "block"], "left_semi")
         other = blocks.select(F.col("doc_id").alias("source"), F.col("block").alias("source_block"), F.col("text").alias("source_text"))
         both = pairs.join(blocks, ["doc_id", "block"]).join(other, ["source", "source_block"]).select("doc_id", "at", "source", "text", "source_text")
         out = stored(both.mapInArrow(lambda it: _verify(it, size, width, hits_needed), SPAN))
@@ -380,29 +388,31 @@ def repeated_passages(
     pairs = stored(met.select("doc_id", block("first").alias("block"), "source", "source_block").distinct())
     spans = compared(pairs)
 
-    left = _still_open(met, spans)
+    left = stored(_still_open(met, spans))
     drop_stored(met)
     closed = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known"))
     opened = stored(left.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("open")).join(closed, "doc_id", "left"))
     texts = unique.join(broadcast_if_small(opened), "doc_id").select("doc_id", "text", "open", "known")
     own = stored(texts.mapInArrow(lambda it: _open_shingles(it, size, width), "key long, doc_id long"))
     common = own.groupBy("key").agg(F.count_distinct("doc_id").alias("n")).filter("n > 1")
-    shared = stored(own.join(common, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "n")).alias("shared")))
-    rare = stored(texts.join(broadcast_if_small(shared), "doc_id").mapInArrow(lambda it: _rare_signatures(it, size, width, hits_needed), PAIR))
-    open_entries, leaders = _still_open(rare, spans), 1
-    drop_stored(left, own, shared, opened, rare)
+    shared = own.join(common, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "n")).alias("shared"))
+    rare = texts.join(shared, "doc_id").mapInArrow(lambda it: _rare_signatures(it, size, width, hits_needed), PAIR)
+    open_entries, leaders = stored(_still_open(rare, spans)), LEADERS
+    drop_stored(left, own, opened)
     while not open_entries.isEmpty():
         members = open_entries.groupBy("sig", "doc_id").agg(F.min("first").alias("first"))
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("doc_id"))
         heads = members.withColumn("rank", rank).filter(F.col("rank") <= leaders)
-        heads = stored(heads.select("sig", F.col("doc_id").alias("source"), block("first").alias("source_block")))
+        heads = heads.select("sig", F.col("doc_id").alias("source"), block("first").alias("source_block"))
         fresh = open_entries.join(heads, "sig").filter("source < doc_id").select("doc_id", block("first").alias("block"), "source", "source_block").distinct()
         fresh = stored(fresh.join(pairs, ["doc_id", "block", "source", "source_block"], "left_anti"))
-        more = compared(fresh)
-        pairs, spans = pairs.unionByName(fresh), spans.unionByName(more)
         rest = open_entries.join(heads.select("sig", F.col("source").alias("doc_id")), ["sig", "doc_id"], "left_anti")
-        before, open_entries, leaders = open_entries, _still_open(rest, more), 2 * leaders
-        drop_stored(before, heads)
+        if not fresh.isEmpty():
+            more = compared(fresh)
+            pairs, spans = pairs.unionByName(fresh), spans.unionByName(more)
+            rest = _still_open(rest, more)
+        before, open_entries, leaders = open_entries, stored(rest), LEADERS * leaders
+        drop_stored(before)
     drop_stored(open_entries)
     whole = docs.join(broadcast_if_small(copies), ["doc_id", "print"]).select("doc_id", "source", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n"))
     whole = whole.filter(F.col("n") >= min_words).select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"), "source")

@@ -62,7 +62,7 @@ def test_compact_windows_against_brute_force():
     for top in (12, 60, 2**63):
         docs, values = np.repeat([0, 1, 2], [120, 30, 100]), w.mix(rng.integers(1, top, 250).astype(np.uint64))
         of = {}
-        for c, left, right in zip(*substring.compact_windows(docs, values, 46), strict=True):
+        for c, left, right in zip(*substring.compact_windows(substring.Slots(docs), values, 46), strict=True):
             for i in range(c - left, c + 1):
                 for j in range(max(c, i + 45), c + right + 1):
                     assert (i, j) not in of
@@ -76,7 +76,8 @@ def test_joined_windows_against_brute_force():
     rng = np.random.default_rng(4)
     docs, tokens = np.repeat([0, 1], [150, 90]), rng.integers(1, 80, 240).astype(np.uint64)
     hashes = [w.mix(tokens ^ substring._seed(k)) for k in range(substring.HASHES)]
-    parts = [substring.compact_windows(docs, h, 46) for h in hashes]
+    slots = substring.Slots(docs)
+    parts = [substring.compact_windows(slots, h, 46) for h in hashes]
     keys = np.concatenate([substring._keys(h[c], k) for k, (h, (c, _, _)) in enumerate(zip(hashes, parts, strict=True))])
     c, left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
     got = {}
