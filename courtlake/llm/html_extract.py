@@ -1,8 +1,14 @@
 """Main text of web pages by tree scoring.
 
-Each block of text gives points for its length and its commas to its container, and falling shares of them to the ancestors.  A
-container's points are discounted by its share of link text.  The best article is kept with those beside it that score
-well; without articles, the best container with all blocks around it, up to main or body, that are not mostly links.  What the page marks as menu, header, footer, sidebar, notice, advert, form or comment is left out before.
+Each block of text gives points for its length and its commas to the container that holds it, and falling shares of them to
+the ancestors.  A container's score is its points, discounted by its share of link text; an article element counts a
+quarter more.  The container of the best score is kept, and on the way up from it, to an article, main or body, every
+sibling that isn't mostly links; an article beside it needs a fifth of its score.  Beside a best article, other articles
+with that score stay and nothing else.
+
+What the page marks as menu, header, footer, sidebar, notice, advert, form or comment (by element, class, id or role) is left
+out first, unless it wraps the page's text: nothing that holds main, an article with more points than lie outside all
+marks, or ten times as many points as lie outside.
 """
 
 from __future__ import annotations
@@ -15,11 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is no text of the page.
-SILENT = "script style noscript template svg math textarea select iframe title canvas object audio video".split()
+#: Elements whose content is raw text up to their end tag, and no text of the page.
+RAW = "script style title textarea iframe noscript".split()
+#: Other elements without text of the page.
+SILENT = frozenset("head template svg select canvas object audio video".split())
 #: Elements that belong to the page and not to its article.
-ASIDE = frozenset("head nav footer aside form header menu dialog button fieldset".split())
-BLOCKS = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address hr details summary center".split())
+ASIDE = frozenset("nav footer aside form header menu dialog button fieldset".split())
+BLOCKS = frozenset(
+    "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption"
+    " blockquote pre figure figcaption address hr details summary center nav footer aside form header dialog fieldset".split()
+)
+#: Blocks that hold other blocks; the points of all others go to the nearest of these.
+CONTAINERS = frozenset("html body main article section div td blockquote ul ol dl table tbody center details form header footer aside nav fieldset figure".split())
+#: Share of the best score that an article beside it needs.
+LEVEL = 0.2
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Start tags that end an open element of these names.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -31,9 +46,11 @@ ASIDE_WORDS = frozenset(
     " subscribe signup login pagination pager toolbar widget search skip".split()
 )
 _TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(SILENT) + r")\b.*?(?:</\1\s*>|\Z)|</([a-z][^\s>/]*)[^>]*>|<([a-z][^\s>/]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(RAW) + r")(?:\s[^<>]*)?/>|<(" + "|".join(RAW) + r")(?=[\s/>]).*?(?:</\1\s*>|\Z)|</([a-z][^\s>/]*)[^>]*>"
+    r"|<([a-z][^\s>/]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
     re.I | re.S,
 )
+_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 #: Words that may stand beside them in a hyphenated name: "site-header" marks a header, "with-sidebar" marks nothing.
 PLACE_WORDS = frozenset("site page main top bottom left right upper lower list box bar area block container wrapper inner outer slot section item items group links link text primary secondary global sticky".split())
@@ -41,14 +58,21 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "silent", "points", "chars", "linked")
+    __slots__ = ("name", "parent", "children", "silent", "marked", "points", "chars", "linked")
 
-    def __init__(self, name: str, parent: Node | None, silent: bool):
-        self.name, self.parent, self.silent = name, parent, silent
+    def __init__(self, name: str, parent: Node | None, silent: bool, marked: bool = False):
+        self.name, self.parent, self.silent, self.marked = name, parent, silent, marked
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = self.linked = 0
 
+    def score(self) -> float:
+        bonus = 1.25 if self.name == "article" else 1.0
+        return bonus * self.points * (1 - self.linked / self.chars) if self.chars else 0.0
+
+    def link_list(self) -> bool:
+        return 2 * self.linked > self.chars
+
 
 def _marked(name: str, attributes: str) -> bool:
     if name in ("html", "body", "article", "main"):
@@ -57,22 +81,22 @@ def _marked(name: str, attributes: str) -> bool:
     return any(any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLACE_WORDS for w in words) for words in names)
 
 
-def parse(html: str, marks: bool = True) -> Node:
-    """A tree of elements and text; unclosed, unopened and crossed tags are tolerated.
-
-    A mark in class, id or role, or a form, silences nothing that holds an article or main; without `marks` none does.
-    """
+def parse(html: str) -> list[Node]:
+    """The elements of a page, parents before children, the root first; unclosed, unopened and crossed tags are tolerated."""
     root = node = Node("html", None, False)
+    nodes, articles = [root], 0
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> None:
-        nonlocal node
+        nonlocal node, articles
         at = node
         while at is not root and at.name not in names:
             if at.name in scopes:
                 return
             at = at.parent
         if at is not root:
-            node = at.parent
+            while node is not at.parent:
+                articles -= node.name in ("article", "main")
+                node = node.parent
 
     place = 0
     for m in _TOKENS.finditer(html):
@@ -80,33 +104,32 @@ def parse(html: str, marks: bool = True) -> Node:
             node.children.append(html[place:m.start()])
         place = m.end()
         if m[3]:
-            name = m[3].lower()
+            name, closed = m[3].lower(), _CLOSED.search(m[4])
             if name in VOID:
-                node.children.append("\n" if name == "br" else Node(name, node, False) if name == "hr" else "")
+                if name in ("br", "hr"):
+                    node.children.append("\n" if name == "br" else Node(name, node, False))
                 continue
             if name in BLOCKS:
                 close(("p",), _SCOPES)
             if name in CLOSES:
                 close(CLOSES[name], _SCOPES - set(CLOSES[name]))
-            marked = marks and name not in ASIDE and _marked(name, m[4])
-            child = Node(name, node, name in ASIDE or marked)
-            if name in ("article", "main"):
-                above = node
-                while above is not None:
-                    above.silent = above.silent and above.name in ASIDE and above.name != "form"
-                    above = above.parent
+            # an article's own header has its title
+            aside = name in ASIDE and not (name == "header" and articles)
+            child = Node(name, node, name in SILENT, aside or _marked(name, m[4]))
             node.children.append(child)
-            if not m[4].endswith("/") or name in BLOCKS:
+            nodes.append(child)
+            if not closed or name in BLOCKS:
                 node = child
+                articles += name in ("article", "main")
         elif m[2]:
             close((m[2].lower(),), frozenset())
     if place < len(html):
         node.children.append(html[place:])
-    return root
+    return nodes
 
 
 def _blocks(top: Node) -> Iterator[tuple[Node, str, int]]:
-    """Container, text and link characters of each block below a node, in page order."""
+    """Innermost block element, text and link characters of each block of text below a node, in page order."""
     own: list[str] = []
     linked = 0
     holder = top
@@ -136,7 +159,7 @@ def _blocks(top: Node) -> Iterator[tuple[Node, str, int]]:
                 stack.append((node, at, in_link, block))
                 stack.append((child, 0, in_link or child.name == "a", child if child.name in BLOCKS else block))
                 break
-            elif child.name not in ("button", "menu"):
+            elif child.name in BLOCKS:
                 yield from flush()
         else:
             if node.name in BLOCKS:
@@ -144,47 +167,101 @@ def _blocks(top: Node) -> Iterator[tuple[Node, str, int]]:
     yield from flush()
 
 
+def points(text: str, linked: int) -> float:
+    """What a block of text is worth: one, its commas, its length up to three hundred characters, less its share of links."""
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+
+
+def _drop_marked(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
+    """Silence the marked elements, but not those that wrap the page's text."""
+    root = nodes[0]
+    # nearest mark of every element, and whether an article lies between
+    mark: dict[Node, Node] = {root: root}
+    article: dict[Node, bool] = {root: False}
+    for node in nodes[1:]:
+        mark[node] = node if node.marked else mark[node.parent]
+        article[node] = not node.marked and (node.name == "article" or article[node.parent])
+    own: dict[Node, float] = {}
+    in_article: dict[Node, float] = {}
+    for holder, text, linked in found:
+        worth, at = points(text, linked), mark[holder]
+        own[at] = own.get(at, 0.0) + worth
+        if article[holder]:
+            in_article[at] = in_article.get(at, 0.0) + worth
+    inside, mains = dict(own), set()
+    for node in reversed(nodes):
+        if node.name == "main" or node in mains:
+            mains.add(node.parent)
+        if node.marked:
+            above = mark[node.parent]
+            inside[above] = inside.get(above, 0.0) + inside.get(node, 0.0)
+            held = inside.get(node, 0.0) if article[node.parent] else in_article.get(node, 0.0)
+            in_article[above] = in_article.get(above, 0.0) + held
+    # an outer wrapper is opened before what it holds is judged
+    outside = own.get(root, 0.0)
+    for node in nodes:
+        if node.marked and not mark[node.parent].silent:
+            if node in mains or in_article.get(node, 0.0) > outside or inside.get(node, 0.0) > 10 * outside:
+                outside += own.get(node, 0.0)
+            else:
+                node.silent = True
+        elif node.marked:
+            node.silent = True
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article joined by two newlines; empty if the page has none."""
     if not html:
         return ""
-    return _main_text(parse(html)) or _main_text(parse(html, marks=False))
-
-
-def _main_text(root: Node) -> str:
-    nodes: list[Node] = []
-    for block, text, linked in _blocks(root):
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        # a paragraph counts for what holds it; loose text for the element it is in
-        node = block.parent if block.name not in ("div", "article", "section", "main", "body", "td", "html") and block.parent else block
-        share = 1.0
-        while node is not None:
-            if not node.chars:
-                nodes.append(node)
-            node.points += points * share
-            node.chars += len(text)
-            node.linked += linked
+    nodes = parse(html)
+    _drop_marked(nodes, list(_blocks(nodes[0])))
+    best = best_container(nodes)
+    if best is None:
+        return ""
+    return "\n\n".join(text for _, text, _ in _chosen(best))
+
+
+def best_container(nodes: list[Node]) -> Node | None:
+    """The container of the best score; fills in points, characters and link characters of all elements."""
+    direct: list[Node] = []
+    for holder, text, linked in _blocks(nodes[0]):
+        node = holder
+        while node.name not in CONTAINERS and node.parent is not None:
+            node = node.parent
+        holder.chars += len(text)
+        holder.linked += linked
+        worth, share = points(text, linked), 1.0
+        while node is not None and share > 0.01:
+            node.points += worth * share
             share = share / 2 if share == 1 else share * 2 / 3
             node = node.parent
-    if not nodes:
-        return ""
-    score = lambda n: n.points * (1 - n.linked / n.chars) if n.chars else 0.0
-    articles = [n for n in nodes if n.name == "article"]
-    best = max(articles or nodes, key=score)
-    chosen = [best]
-    if not articles:
-        # what lies beside the best container and isn't mostly links belongs to the text, up to main or body
-        while best.name not in ("main", "body", "html") and best.parent is not None:
-            for c in best.parent.children:
-                if isinstance(c, Node) and c is not best and not c.silent and c.name in BLOCKS:
-                    found = [(len(text), linked) for _, text, linked in _blocks(c)]
-                    c.silent = 2 * sum(x for _, x in found) > sum(n for n, _ in found)
-            best = best.parent
-        chosen = [best]
-    elif best.parent is not None:
-        level = 0.2 * score(best)
-        chosen = [c for c in best.parent.children if c is best or isinstance(c, Node) and not c.silent and c.name in BLOCKS and c.chars and score(c) >= max(level, 3) and c.name == "article"]
-    return "\n\n".join(text for n in chosen for _, text, _ in _blocks(n))
+        direct.append(holder)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+    return max((n for n in nodes if n.chars and n.name in CONTAINERS), key=Node.score, default=None)
+
+
+def _chosen(best: Node) -> Iterator[tuple[Node, str, int]]:
+    """The blocks of the best container and of what belongs to it around it."""
+    top = best
+    if best.name in ("main", "body", "html"):
+        for child in best.children:
+            if isinstance(child, Node) and child.name in CONTAINERS:
+                child.silent = child.silent or child.link_list()
+    while top.name not in ("article", "main", "body", "html") and top.parent is not None:
+        for child in top.parent.children:
+            if isinstance(child, Node) and child is not top and child.name in BLOCKS:
+                teaser = child.name == "article" and child.score() < LEVEL * top.score()
+                child.silent = child.silent or child.link_list() or teaser
+        top = top.parent
+    if top.name != "article":
+        yield from _blocks(top)
+        return
+    for child in top.parent.children:
+        if child is top or isinstance(child, Node) and child.name == "article" and not child.silent and child.score() >= LEVEL * top.score():
+            yield from _blocks(child)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

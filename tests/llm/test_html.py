@@ -1,7 +1,10 @@
 """Pages without an article element, and marks on wrappers."""
 
+import random
+
 import pytest
 
+from courtlake.llm import html_extract as h
 from courtlake.llm.html_extract import main_text
 
 PARTS = [f"Paragraph {k}, with some words, and some more of them." for k in range(10)]
@@ -25,3 +28,83 @@ def test_wrapper_of_an_article_stays(wrapper):
 
 def test_form_around_a_page():
     assert main_text(f"<form><div class=menu>Menu</div><main>{LONG}</main></form>") == "\n\n".join(PARTS)
+
+
+WHOLE = "\n\n".join(PARTS)
+
+
+def test_wrappers_by_share_of_text():
+    comments = "<div class=comments>" + "<p>I, too, disagree, and say so at length.</p>" * 30 + "</div>"
+    assert main_text(f"<form id=f><div class=menu>Menu</div><div>{LONG}</div>{comments}</form>") == WHOLE
+    assert main_text(f'<div class="page has-sidebar"><div>{LONG}</div><div class=sidebar><p>Side, by side.</p></div></div>') == WHOLE
+    assert main_text(f"<body><article>{LONG}</article>{comments}</body>") == WHOLE
+    assert main_text(f"<body><div>{LONG}</div><div class=related><article><p>Teaser, only.</p></article></div></body>") == WHOLE
+
+
+def test_short_article_beside_long_container():
+    assert main_text(f"<body><article><p>Teaser.</p></article><div>{LONG}</div></body>") == WHOLE
+    assert main_text(f"<body><article>{LONG}</article><article><p>Teaser.</p></article></body>") == WHOLE
+    assert main_text(f"<body><article>{LONG}</article><article>{LONG}</article></body>") == WHOLE + "\n\n" + WHOLE
+
+
+def test_sections_and_heads_of_an_article():
+    first, second = "".join(f"<p>{x}</p>" for x in PARTS[:8]), "".join(f"<p>{x}</p>" for x in PARTS[8:])
+    assert main_text(f"<article><section>{first}</section><section>{second}</section></article>") == WHOLE
+    assert main_text(f"<div><section>{first}</section><section>{second}</section></div>") == WHOLE
+    assert main_text(f"<header>Site</header><article><header><h1>T</h1></header><p class=search-term>S</p>{LONG}</article>") == f"T\n\nS\n\n{WHOLE}"
+
+
+@pytest.mark.parametrize("odd", ["<svg/>", "<svg viewBox='0 0 1 1' />", "<svg><path d=x></svg>", "<select-box></select-box>", "<svg-icon name=x></svg-icon>", "<script src=x />", "<iframe src=x></iframe>", "<button>Go</button>"])
+def test_odd_elements_end(odd):
+    assert main_text(f"<article>{odd}{LONG}</article>") == WHOLE
+
+
+def test_formula_stays():
+    assert main_text("<article><p>Let <math><mi>x</mi></math> be, say, one.</p></article>") == "Let x be, say, one."
+
+
+def test_deep_page():
+    assert main_text("<div>" * 10_000 + "<span>" * 5_000 + "deep, down" + "</span>" * 5_000 + LONG) == "deep, down\n\n" + WHOLE
+
+
+def generated(rng: random.Random, depth: int = 0) -> str:
+    out = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.choice(["p", "p", "p", "div", "section", "ul", "a"]) if depth < 4 else "p"
+        text = ", ".join(f"w{rng.randrange(99)} words" for _ in range(rng.randint(1, 40)))
+        if kind in ("div", "section"):
+            out.append(f"<{kind}>{generated(rng, depth + 1)}</{kind}>")
+        elif kind == "ul":
+            out.append("<ul>" + "".join(f"<li><a href=x>link {k}</a></li>" for k in range(rng.randint(1, 9))) + "</ul>")
+        else:
+            out.append(f"<p>{text}</p>" if kind == "p" else f"<p><a href=x>{text}</a></p>")
+    return "".join(out)
+
+
+def brute_score(node) -> tuple[float, int, int]:
+    """Points, characters and link characters below an element, each block walked anew for each ancestor."""
+    total = chars = linked = 0
+    for holder, text, link in h._blocks(node):
+        at, share = holder, 1.0
+        while at.name not in h.CONTAINERS:
+            at = at.parent
+        steps = 0
+        while at is not node and at.parent is not None:
+            at, steps = at.parent, steps + 1
+        share = 1.0 if not steps else 0.5 * (2 / 3) ** (steps - 1)
+        total += (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - link / len(text)) * share
+        chars, linked = chars + len(text), linked + link
+    return total, chars, linked
+
+
+def test_best_container_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(150):
+        nodes = h.parse(f"<body>{generated(rng)}</body>")
+        best = h.best_container(nodes)
+        scores = {}
+        for node in nodes:
+            if node.name in h.CONTAINERS:
+                total, chars, linked = brute_score(node)
+                scores[node] = total * (1 - linked / chars) if chars else 0.0
+        assert scores[best] == pytest.approx(max(scores.values()))
