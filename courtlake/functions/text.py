@@ -5,6 +5,8 @@ Patterns, limits and class lists are arguments; the defaults are fixed values of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,8 +35,9 @@ TRAILING_MARKER = r"(?:^|\n)\s*(?:\d+\.\s*\*{0,2}|\*\*\d+\.|\(\w+\)|[•\-*])\s*
 DISPOSITIVE, ANALYSIS = "conclusion|decision|holding|disposition|order", "issue|analysis|reasoning"
 
 
-def _text(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def strip(value: Column) -> Column:
@@ -207,12 +210,15 @@ def strip_meta_prefix(value: Column) -> Column:
 
 def strip_commentary(value: Column, longest: int = 500) -> Column:
     """drop a short, unmarked preface before the first heading line."""
-    line = "(?imdU)" + HEADING_LINE
-    before = F.regexp_extract(value, r"(?imdsU)\A(.*?)" + HEADING_LINE, 1)
-    found = value.rlike(line) & ~value.rlike(r"(?iU)\A" + HEADING_LINE[1:])
-    prefix = strip(before)
-    cut = F.regexp_replace(value, r"(?imdsU)\A.*?(" + HEADING_LINE + ")", "$1")
-    return F.when(found & (F.length(before) > 0) & (F.length(prefix) < longest) & ~prefix.startswith("**"), lstrip(cut)).otherwise(value)
+
+    def cut(found: Column) -> Column:
+        at, given = found["at"], found["value"]
+        prefix = strip(F.substring(given, F.lit(1), at - 1))
+        short = (F.length(prefix) < longest) & ~prefix.startswith("**")
+        return F.when((at > 1) & short, lstrip(F.substring(given, at, F.length(given)))).otherwise(given)
+
+    place = lambda v: F.struct(v.alias("value"), F.regexp_instr(v, F.lit("(?imdU)" + HEADING_LINE)).alias("at"))
+    return let(value, lambda v: let(place(v), cut))
 
 
 def fix_artifacts(value: Column) -> Column:
@@ -227,14 +233,18 @@ def fix_artifacts(value: Column) -> Column:
 
 
 def _ended(value: Column) -> Column:
-    return F.when((value != "") & ~value.rlike(r"[.:!?]\z"), F.concat(value, F.lit("."))).otherwise(value)
+    return let(value, lambda v: F.when((v != "") & ~v.rlike(r"[.:!?]\z"), F.concat(v, F.lit("."))).otherwise(v))
 
 
 def _without_marker(value: Column) -> Column:
     """Text without a trailing list marker, closed by a period; null if there is no marker or nothing else."""
-    base = rstrip(value)
-    cut = _ended(rstrip(F.regexp_replace(base, "(?U)" + TRAILING_MARKER, "")))
-    return F.when(base.rlike("(?U)" + TRAILING_MARKER) & (cut != "") & (F.length(cut) < F.length(base)), cut)
+    marker = "(?U)" + TRAILING_MARKER
+
+    def cut(base: Column) -> Column:
+        shorter = lambda c: F.when((c != "") & (F.length(c) < F.length(base)), c)
+        return F.when(base.rlike(marker), let(_ended(rstrip(F.regexp_replace(base, marker, ""))), shorter))
+
+    return let(rstrip(value), cut)
 
 
 def trim_trailing_incomplete(value: Column) -> Column:
@@ -244,14 +254,17 @@ def trim_trailing_incomplete(value: Column) -> Column:
 
 def trim_to_complete(value: Column, limit: Column) -> Column:
     """within the limit as F25; else cut there, at a complete item or sentence."""
-    chunk = F.substring(value, F.lit(1), limit)
-    half = limit * F.lit(0.5)
-    sentence = last_index(chunk, ". ")
-    cut = F.coalesce(_without_marker(chunk), F.when(sentence > half, F.concat(F.substring(chunk, F.lit(1), sentence), F.lit("."))))
-    for mark in ("\n\n", "\n", ". ", ".\n"):
-        at = last_index(chunk, mark)
-        cut = F.coalesce(cut, F.when(at > half, _ended(rstrip(F.substring(chunk, F.lit(1), at)))))
-    return F.when(F.length(value) <= limit, trim_trailing_incomplete(value)).otherwise(F.coalesce(cut, F.concat(rstrip(chunk), F.lit("."))))
+
+    def cut(chunk: Column) -> Column:
+        half = limit * F.lit(0.5)
+        upto = lambda at, end: F.when(at > half, end(F.substring(chunk, F.lit(1), at)))
+        tries = [_without_marker(chunk), let(last_index(chunk, ". "), lambda at: upto(at, lambda t: F.concat(t, F.lit("."))))]
+        for mark in ("\n\n", "\n", ". ", ".\n"):
+            tries.append(let(last_index(chunk, mark), lambda at: upto(at, lambda t: _ended(rstrip(t)))))
+        return F.coalesce(*tries, F.concat(rstrip(chunk), F.lit(".")))
+
+    whole = lambda v: F.when(F.length(v) <= limit, trim_trailing_incomplete(v)).otherwise(let(F.substring(v, F.lit(1), limit), cut))
+    return let(value, whole)
 
 
 def min_words(fragments: Column) -> Column:
@@ -260,25 +273,30 @@ def min_words(fragments: Column) -> Column:
 
 
 def word_count(value: Column) -> Column:
-    s = strip(value)
-    return F.when(s == "", 0).otherwise(F.size(F.split(s, r"(?U)\s+")))
+    return let(strip(value), lambda s: F.when(s == "", 0).otherwise(F.regexp_count(s, F.lit(r"(?U)\s+")) + 1))
 
 
 def smell_test(summary: Column, fragments: Column) -> Column:
     """struct of passed, issues (names of failed checks in a fixed order), severity."""
-    s = strip(F.coalesce(summary, F.lit("")))
-    checks = {
-        "too short": word_count(s) < min_words(fragments),
-        "no structural heading": ~s.rlike("(?imdU)" + HEADING_LINE),
-        "commentary leak": F.substring(s, 1, 500).rlike("(?imdU)" + COMMENTARY),
-        "no terminal punctuation": ~s.rlike(r"""[.!?:)\]"'`]\z"""),
-        "trailing list marker": s.rlike("(?U)" + TRAILING_MARKER),
-        "HTML entity": s.rlike(ENTITY),
-        "underscore in name": s.rlike("[A-Za-z]_[A-Za-z]"),
-    }
-    found = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in checks.items())), lambda x: x.isNotNull())
-    issues = F.when(s == "", F.array(F.lit("empty summary"))).otherwise(found)
-    return F.struct((F.size(issues) == 0).alias("passed"), issues.alias("issues"), F.when(F.size(issues) == 0, "pass").otherwise("fail").alias("severity"))
+
+    def issues(s: Column) -> Column:
+        checks = {
+            "too short": word_count(s) < min_words(fragments),
+            "no structural heading": ~s.rlike("(?imdU)" + HEADING_LINE),
+            "commentary leak": F.substring(s, 1, 500).rlike("(?imdU)" + COMMENTARY),
+            "no terminal punctuation": ~s.rlike(r"""[.!?:)\]"'`]\z"""),
+            "trailing list marker": s.rlike("(?U)" + TRAILING_MARKER),
+            "HTML entity": s.rlike(ENTITY),
+            "underscore in name": s.rlike("[A-Za-z]_[A-Za-z]"),
+        }
+        found = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in checks.items())), lambda x: x.isNotNull())
+        return F.when(s == "", F.array(F.lit("empty summary"))).otherwise(found)
+
+    def verdict(found: Column) -> Column:
+        passed = F.size(found) == 0
+        return F.struct(passed.alias("passed"), found.alias("issues"), F.when(passed, "pass").otherwise("fail").alias("severity"))
+
+    return let(let(strip(F.coalesce(summary, F.lit(""))), issues), verdict)
 
 
 def age_seconds(last_attempt: Column, now: Column) -> Column:

@@ -101,33 +101,46 @@ def select_summary_input(judgments: DataFrame, fragments: DataFrame, max_chars:
 
 
 def clean_drafts(drafts: DataFrame, draft: str = "draft", fragments: str = "n_fragments", to: str = "summary") -> DataFrame:
-    """F22, F23, F24 and the limit (F26), in the order of the pipeline; one step per projection keeps expressions small."""
-    out = drafts.withColumn(to, text.strip_meta_prefix(F.col(draft))).withColumn(to, text.strip_commentary(F.col(to)))
-    out = out.withColumn(to, text.fix_artifacts(F.col(to)))
-    return out.withColumn(to, text.trim_to_complete(F.col(to), text.max_summary_chars(F.col(fragments))))
+    """F22, F23, F24 and the limit (F26), in the order of the pipeline."""
+    limit = text.max_summary_chars(F.col(fragments))
+    bare = text.fix_artifacts(text.strip_commentary(text.strip_meta_prefix(F.col(draft))))
+    return drafts.withColumn(to, text.trim_to_complete(bare, limit))
 
 
 def finish_summaries(drafts: DataFrame) -> DataFrame:
     """Q6: cleaned drafts (id, draft, n_fragments) with the verdict of the smell test."""
-    cleaned = clean_drafts(drafts)
-    return cleaned.withColumn("smell", text.smell_test(F.col("summary"), F.col("n_fragments"))).select("id", "summary", "smell.passed", "smell.issues")
 
+    def judged(summary: Column) -> Column:
+        return F.struct(summary.alias("summary"), text.smell_test(summary, F.col("n_fragments")).alias("smell"))
 
-STRUCTURAL = ("empty summary", "too short", "no structural heading")
+    cleaned = clean_drafts(drafts, to="_summary").select("id", text.let(F.col("_summary"), judged).alias("r"))
+    return cleaned.select("id", "r.summary", "r.smell.passed", "r.smell.issues")
+
+
+#: Issues of the published audit that no repair can mend.
+STRUCTURAL = ("too short", "no structural heading", "no terminal punctuation")
 
 
 def audit(catalog: DataFrame, fix: bool = True, structural: tuple[str, ...] = STRUCTURAL) -> DataFrame:
-    """Q7: every summary with its issues, the repaired text, and the action.
+    """Q7: every summary with issues, the repaired text, and the action.
 
     Changed and then clean: fixed.  Else with a structural issue before the repair: nullified.  Else unfixed.
     """
     n = F.coalesce("fragment_count", F.lit(0))
-    tested = catalog.filter(F.col("summary").isNotNull()).withColumn("issues", text.smell_test(F.col("summary"), n)["issues"]).filter(F.size("issues") > 0)
-    repaired = tested.withColumn("repaired", text.strip_commentary(F.col("summary"))).withColumn("repaired", text.fix_artifacts(F.col("repaired")))
-    repaired = repaired.withColumn("repaired", text.trim_trailing_incomplete(F.col("repaired"))).withColumn("passes", text.smell_test(F.col("repaired"), n)["passed"])
-    changed, passes = F.col("repaired") != F.col("summary"), F.col("passes")
-    action = F.when(changed & passes, "fixed").when(F.arrays_overlap("issues", F.array(*(F.lit(s) for s in structural))), "nullified").otherwise("unfixed")
-    return repaired.select("id", "issues", action.alias("action") if fix else F.lit("reported").alias("action"), F.when(changed & passes, F.col("repaired")).alias("repaired"))
+
+    def repair(summary: Column) -> Column:
+        mended = text.trim_trailing_incomplete(text.fix_artifacts(text.strip_commentary(summary)))
+        clean = lambda m: F.when((m != summary) & text.smell_test(m, n)["passed"], m)
+        return text.let(mended, clean)
+
+    def judged(issues: Column) -> Column:
+        return F.struct(issues.alias("issues"), F.when(F.size(issues) > 0, repair(F.col("summary"))).alias("repaired"))
+
+    found = catalog.filter(F.col("summary").isNotNull())
+    found = found.select("id", text.let(text.smell_test(F.col("summary"), n)["issues"], judged).alias("r")).filter(F.size("r.issues") > 0)
+    hopeless = F.arrays_overlap("r.issues", F.array(*(F.lit(s) for s in structural)))
+    action = F.when(F.col("r.repaired").isNotNull(), "fixed").when(hopeless, "nullified").otherwise("unfixed")
+    return found.select("id", "r.issues", (action if fix else F.lit("reported")).alias("action"), "r.repaired")
 
 
 def audit_totals(audited: DataFrame) -> DataFrame:

@@ -125,31 +125,90 @@ def strip_meta_prefix(spark, sf_dir):
 
 
 _US = "regexp_replace(regexp_replace({0}, '([A-Za-z])_([A-Za-z])', '\\1\\2', 'g'), '([A-Za-z])_([A-Za-z])', '\\1\\2', 'g')"
-_FIXED = f"replace(replace(replace(replace(regexp_replace({_US.format('draft')}, '([a-zA-Z''\\s])\\$Charter\\b', '\\1Charter', 'gi'), '&lt;', '<'), '&amp;', '&'), 'Khoont', 'Khoon'), 'Emplain', 'Claim')"
 
 
-@query(f"WITH {_BODY} SELECT id, {_FIXED} AS repaired FROM drafts")
+def _fixed(column):
+    plain = f"regexp_replace({_US.format(column)}, '([a-zA-Z''\\s])\\$Charter\\b', '\\1Charter', 'gi')"
+    return f"replace(replace(replace(replace({plain}, '&lt;', '<'), '&amp;', '&'), 'Khoont', 'Khoon'), 'Emplain', 'Claim')"
+
+
+@query(f"WITH {_BODY} SELECT id, {_fixed('draft')} AS repaired FROM drafts")
 def fix_artifacts(spark, sf_dir):
     """F24."""
     return _drafts(spark, sf_dir).select("id", text.fix_artifacts(F.col("draft")).alias("repaired"))
 
 
-_WORDS = "len(regexp_extract_all(draft, '\\S+'))"
-_HEAD = "regexp_matches(draft, '(?im)^\\s*\\*{0,2}\\s*(Facts|Factual\\s+Background|Background|Holding|Decision|Reasons|Analysis)\\b')"
-_S = "regexp_replace(draft, '\\s+$', '')"
-_ISSUES = f"""list_filter([CASE WHEN {_WORDS} < CASE WHEN n_fragments <= 20 THEN 20 ELSE greatest(50, least(n_fragments // 5, 200)) END THEN 'too short' END, CASE WHEN NOT {_HEAD} THEN 'no structural heading' END,
-    CASE WHEN NOT regexp_matches({_S}, '[.!?:)\\]"''`]$') THEN 'no terminal punctuation' END, CASE WHEN regexp_matches({_S}, '(^|\\n)\\s*([0-9]+\\.\\s*\\*{{0,2}}|\\*\\*[0-9]+\\.|\\(\\w+\\)|[•\\-*])\\s*$') THEN 'trailing list marker' END,
-    CASE WHEN regexp_matches(draft, '&(amp|lt|gt|ge|le|ne|quot|apos|nbsp|#[0-9]+);') THEN 'HTML entity' END, CASE WHEN regexp_matches(draft, '[A-Za-z]_[A-Za-z]') THEN 'underscore in name' END], lambda x: x IS NOT NULL)"""
+_HEADING = "\\s*\\*{0,2}\\s*(Facts|Factual\\s+Background|Background|Holding|Decision|Reasons|Analysis)\\b"
+_MARKER = "(^|\\n)\\s*([0-9]+\\.\\s*\\*{0,2}|\\*\\*[0-9]+\\.|\\(\\w+\\)|[•\\-*])\\s*$"
+
+
+def _rstrip(column):
+    return f"regexp_replace({column}, '\\s+$', '')"
 
 
-@query(f"WITH {_BODY} SELECT id, array_to_string({_ISSUES}, ',') AS issues, len({_ISSUES}) = 0 AS passed FROM drafts")
+def _issues(column, n="n_fragments"):
+    words = f"len(regexp_extract_all({column}, '\\S+'))"
+    least = f"CASE WHEN {n} <= 20 THEN 20 ELSE greatest(50, least({n} // 5, 200)) END"
+    checks = f"""CASE WHEN {words} < {least} THEN 'too short' END, CASE WHEN NOT regexp_matches({column}, '(?im)^{_HEADING}') THEN 'no structural heading' END,
+    CASE WHEN NOT regexp_matches({_rstrip(column)}, '[.!?:)\\]"''`]$') THEN 'no terminal punctuation' END, CASE WHEN regexp_matches({_rstrip(column)}, '{_MARKER}') THEN 'trailing list marker' END,
+    CASE WHEN regexp_matches({column}, '&(amp|lt|gt|ge|le|ne|quot|apos|nbsp|#[0-9]+);') THEN 'HTML entity' END, CASE WHEN regexp_matches({column}, '[A-Za-z]_[A-Za-z]') THEN 'underscore in name' END"""
+    return f"list_filter([{checks}], lambda x: x IS NOT NULL)"
+
+
+@query(f"WITH {_BODY} SELECT id, array_to_string({_issues('draft')}, ',') AS issues, len({_issues('draft')}) = 0 AS passed FROM drafts")
 def smell_test(spark, sf_dir):
     """F27."""
     s = text.smell_test(F.col("draft"), F.col("n_fragments"))
     return _drafts(spark, sf_dir).select("id", F.array_join(s["issues"], ",").alias("issues"), s["passed"].alias("passed"))
 
 
-@query()
+def _headed(source, column):
+    """CTE bare: rows of a source with `bare`, its column without a preface."""
+    return f"""b0 AS (SELECT *, regexp_extract({column}, '(?ims)\\A(.*?)^{_HEADING}', 1) AS pre, regexp_matches({column}, '(?im)^{_HEADING}') AS has FROM {source}),
+bare AS (SELECT *, CASE WHEN has AND pre <> '' AND length(trim(pre, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) < 500 AND NOT regexp_matches(pre, '^\\s*\\*\\*')
+    THEN regexp_replace(substr({column}, length(pre) + 1), '^\\s+', '') ELSE {column} END AS bare FROM b0)"""
+
+
+def _ended(column):
+    return f"CASE WHEN {column} <> '' AND NOT regexp_matches({column}, '[.:!?]$') THEN {column} || '.' ELSE {column} END"
+
+
+def _unmarked(name, source, column):
+    """CTE `name`: rows of a source with `unmarked`, its column without a trailing marker, or null."""
+    return f"""{name}0 AS (SELECT *, {_rstrip(column)} AS base, {_rstrip(f"regexp_replace({_rstrip(column)}, '{_MARKER}', '')")} AS cut FROM {source}),
+{name} AS (SELECT * EXCLUDE (base, cut), CASE WHEN regexp_matches(base, '{_MARKER}') AND cut <> '' AND length({_ended('cut')}) < length(base) THEN {_ended('cut')} END AS unmarked FROM {name}0)"""
+
+
+_BARE = f"""{_BODY}, m AS (SELECT *, regexp_replace(draft, '(?i)^\\s*(Updated summary|Summary so far|Draft summary|Summary\\s*\\(Facts[^)]*\\))\\s*:?\\s*', '') AS plain FROM drafts), {_headed('m', 'plain')}"""
+
+
+@query(f"WITH {_BODY}, {_headed('drafts', 'draft')} SELECT id, bare AS summary FROM bare")
+def strip_commentary(spark, sf_dir):
+    """F23."""
+    return _drafts(spark, sf_dir).select("id", text.strip_commentary(F.col("draft")).alias("summary"))
+
+
+@query(f"WITH {_BODY}, {_unmarked('u', 'drafts', 'draft')} SELECT id, coalesce(unmarked, draft) AS summary FROM u")
+def trim_trailing_incomplete(spark, sf_dir):
+    """F25."""
+    return _drafts(spark, sf_dir).select("id", text.trim_trailing_incomplete(F.col("draft")).alias("summary"))
+
+
+_AT = "CASE WHEN strpos(chunk, {0}) > 0 THEN length(chunk) - strpos(reverse(chunk), reverse({0})) + 1 - length({0}) ELSE -1 END"
+_TRIES = [f"CASE WHEN {_AT.format(m)} > half THEN {_ended(_rstrip(f'substr(chunk, 1, {_AT.format(m)})'))} END" for m in ("chr(10) || chr(10)", "chr(10)", "'. '", "'.' || chr(10)")]
+_TRIMMED = f"""c0 AS (SELECT *, {_fixed('bare')} AS whole, 4000 + greatest(0, (n_fragments - 100) // 100) * 1000 AS lim FROM bare),
+c1 AS (SELECT *, substr(whole, 1, CAST(lim AS BIGINT)) AS chunk, lim * 0.5 AS half FROM c0), {_unmarked('c2', 'c1', 'chunk')},
+done AS (SELECT id, n_fragments, CASE WHEN length(whole) <= lim THEN coalesce(unmarked, whole) ELSE coalesce(unmarked, CASE WHEN {_AT.format("'. '")} > half THEN substr(chunk, 1, {_AT.format("'. '")}) || '.' END,
+    {', '.join(_TRIES)}, {_rstrip('chunk')} || '.') END AS summary FROM c2)"""
+
+
+@query(f"WITH {_BARE}, {_TRIMMED} SELECT id, summary FROM done")
+def trim_to_complete(spark, sf_dir):
+    """F22-F24, F26."""
+    return summaries.clean_drafts(_drafts(spark, sf_dir)).select("id", "summary")
+
+
+@query(f"WITH {_BARE}, {_TRIMMED} SELECT id, summary, array_to_string({_issues('summary')}, ',') AS issues, len({_issues('summary')}) = 0 AS passed FROM done")
 def finish_summaries(spark, sf_dir):
     """Q6: F22-F24, F26, F27."""
     return summaries.finish_summaries(_drafts(spark, sf_dir)).withColumn("issues", F.array_join("issues", ","))
@@ -160,16 +219,22 @@ def _audited(spark, sf_dir):
     return summaries.audit(d)
 
 
-@query()
+_AUDIT = f"""{_BODY}, {_headed('drafts', 'draft')}, a0 AS (SELECT id, draft, n_fragments, {_fixed('bare')} AS mended FROM bare), {_unmarked('a1', 'a0', 'mended')},
+a2 AS (SELECT id, draft, n_fragments, {_issues('draft')} AS l, coalesce(unmarked, mended) AS mended FROM a1), a3 AS (SELECT *, mended <> draft AND len({_issues('mended')}) = 0 AS fixed FROM a2 WHERE len(l) > 0),
+audited AS (SELECT id, l, CASE WHEN fixed THEN 'fixed' WHEN list_has_any(l, ['too short', 'no structural heading', 'no terminal punctuation']) THEN 'nullified' ELSE 'unfixed' END AS action, CASE WHEN fixed THEN mended END AS repaired FROM a3)"""
+
+
+@query(f"WITH {_AUDIT} SELECT id, array_to_string(l, ',') AS issues, action, repaired FROM audited")
 def audit(spark, sf_dir):
     """Q7: F23-F25, F27."""
     return _audited(spark, sf_dir).withColumn("issues", F.array_join("issues", ","))
 
 
-@query(f"WITH {_BODY}, i AS (SELECT {_ISSUES} AS l FROM drafts) SELECT 'issue' AS kind, name, count(*) AS n FROM (SELECT unnest(l) AS name FROM i) GROUP BY ALL")
+@query(f"""WITH {_AUDIT} SELECT 'issue' AS kind, name, count(*) AS n FROM (SELECT unnest(l) AS name FROM audited) GROUP BY ALL
+UNION ALL SELECT 'action', action, count(*) FROM audited GROUP BY ALL""")
 def audit_issue_histogram(spark, sf_dir):
     """A12."""
-    return summaries.audit_totals(_audited(spark, sf_dir)).filter("kind = 'issue'")
+    return summaries.audit_totals(_audited(spark, sf_dir))
 
 
 def _first_words(summary: str, part: str, limit: int) -> str:
