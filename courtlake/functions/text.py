@@ -40,17 +40,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: All white space of Unicode.
+SPACES = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(value: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(value, F.lit(SPACES))
 
 
 def rstrip(value: Column) -> Column:
-    return F.regexp_replace(value, r"(?U)\s+\z", "")
+    return F.rtrim(value, F.lit(SPACES))
 
 
 def lstrip(value: Column) -> Column:
-    return F.regexp_replace(value, r"(?U)^\s+", "")
+    return F.ltrim(value, F.lit(SPACES))
 
 
 def blank(value: Column) -> Column:
@@ -249,7 +253,7 @@ def _without_marker(value: Column) -> Column:
 
 def trim_trailing_incomplete(value: Column) -> Column:
     """F25."""
-    return F.coalesce(_without_marker(value), value)
+    return let(value, lambda v: F.coalesce(_without_marker(v), v))
 
 
 def trim_to_complete(value: Column, limit: Column) -> Column:
@@ -272,8 +276,9 @@ def min_words(fragments: Column) -> Column:
     return F.when(fragments <= 20, 20).otherwise(F.greatest(F.lit(50), F.least(F.floor(fragments / 5), F.lit(200)))).cast("int")
 
 
-def word_count(value: Column) -> Column:
-    return let(strip(value), lambda s: F.when(s == "", 0).otherwise(F.regexp_count(s, F.lit(r"(?U)\s+")) + 1))
+def fewer_words(value: Column, least: Column, most: int = 200) -> Column:
+    """Whether a text has fewer than `least` words; `least` is at most `most`, so no more words are cut off."""
+    return let(strip(value), lambda s: F.when(s == "", 0).otherwise(F.size(F.split(s, r"(?U)\s+", most + 1)))) < least
 
 
 def smell_test(summary: Column, fragments: Column) -> Column:
@@ -281,7 +286,7 @@ def smell_test(summary: Column, fragments: Column) -> Column:
 
     def issues(s: Column) -> Column:
         checks = {
-            "too short": word_count(s) < min_words(fragments),
+            "too short": fewer_words(s, min_words(fragments)),
             "no structural heading": ~s.rlike("(?imdU)" + HEADING_LINE),
             "commentary leak": F.substring(s, 1, 500).rlike("(?imdU)" + COMMENTARY),
             "no terminal punctuation": ~s.rlike(r"""[.!?:)\]"'`]\z"""),

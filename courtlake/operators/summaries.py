@@ -113,8 +113,8 @@ def finish_summaries(drafts: DataFrame) -> DataFrame:
     def judged(summary: Column) -> Column:
         return F.struct(summary.alias("summary"), text.smell_test(summary, F.col("n_fragments")).alias("smell"))
 
-    cleaned = clean_drafts(drafts, to="_summary").select("id", text.let(F.col("_summary"), judged).alias("r"))
-    return cleaned.select("id", "r.summary", "r.smell.passed", "r.smell.issues")
+    cleaned = clean_drafts(drafts, to="_summary").select("id", F.inline(F.transform(F.array("_summary"), judged)))
+    return cleaned.select("id", "summary", "smell.passed", "smell.issues")
 
 
 #: Issues of the published audit that no repair can mend.
@@ -136,18 +136,19 @@ def audit(catalog: DataFrame, fix: bool = True, structural: tuple[str, ...] = ST
     def judged(issues: Column) -> Column:
         return F.struct(issues.alias("issues"), F.when(F.size(issues) > 0, repair(F.col("summary"))).alias("repaired"))
 
-    found = catalog.filter(F.col("summary").isNotNull())
-    found = found.select("id", text.let(text.smell_test(F.col("summary"), n)["issues"], judged).alias("r")).filter(F.size("r.issues") > 0)
-    hopeless = F.arrays_overlap("r.issues", F.array(*(F.lit(s) for s in structural)))
-    action = F.when(F.col("r.repaired").isNotNull(), "fixed").when(hopeless, "nullified").otherwise("unfixed")
-    return found.select("id", "r.issues", (action if fix else F.lit("reported")).alias("action"), "r.repaired")
+    # a generator of no row or one: as a filter the test would be computed twice
+    tested = F.transform(F.array(text.smell_test(F.col("summary"), n)["issues"]), judged)
+    found = catalog.filter(F.col("summary").isNotNull()).select("id", F.inline(F.filter(tested, lambda r: F.size(r["issues"]) > 0)))
+    hopeless = F.arrays_overlap("issues", F.array(*(F.lit(s) for s in structural)))
+    action = F.when(F.col("repaired").isNotNull(), "fixed").when(hopeless, "nullified").otherwise("unfixed")
+    return found.select("id", "issues", (action if fix else F.lit("reported")).alias("action"), "repaired")
 
 
 def audit_totals(audited: DataFrame) -> DataFrame:
     """(kind, name, n): actions and a histogram of issues."""
-    actions = audited.groupBy(F.lit("action").alias("kind"), F.col("action").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    issues = audited.select(F.explode("issues").alias("name")).groupBy(F.lit("issue").alias("kind"), "name").agg(F.count(F.lit(1)).alias("n"))
-    return actions.unionByName(issues)
+    pair = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    both = F.concat(F.array(pair("action", F.col("action"))), F.transform("issues", lambda i: pair("issue", i)))
+    return audited.select(F.inline(both)).groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rolling_fold(batches: DataFrame, model: Callable[[str, str, int], str], condense: Callable[[str, int], str] | None = None) -> DataFrame:
