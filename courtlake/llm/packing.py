@@ -1,10 +1,18 @@
 """Packing token sequences into fixed contexts by bin completion over the histogram of lengths.
 
 Pieces of equal length are interchangeable, so a packing is a list of patterns (multisets of lengths) with counts.  The
-histogram has at most `capacity` rows whatever the size of the corpus; the search over it is bin completion: around the
-largest length that is left, enumerate fillings of the rest, skip dominated ones, prune by the waste they leave, and keep
-the best-fit filling as incumbent.  The chosen pattern is used as often as the counts allow.  Spark then ranks the pieces
-of each length (salted, so that a common length is many tasks) and looks each rank up in the pattern table.
+histogram has at most `capacity` rows whatever the size of the corpus.
+
+1. Incumbents.  Around the largest length left, the filling of the greatest sum (exact, by subset sums over a bit set, longest
+   pieces first) is used as often as the counts allow.  Best-fit decreasing gives another solution; the better one stays.
+2. Bound.  No packing has fewer sequences than the tokens fill, nor than pieces of more than half a context need.
+3. If the incumbent is above the bound, bin completion: branch over the undominated fillings around the largest piece, best
+   fit first, and prune when the waste so far exceeds what a better solution may waste.  It takes the last pieces of the
+   incumbent, more of them each time, as the first patterns of a large corpus hardly waste anything.  A small corpus is
+   searched whole, so its packing is optimal.
+
+Spark then ranks the pieces of each length (salted, so that a common length is many tasks) and looks each rank up in the
+pattern table.
 """
 
 from __future__ import annotations
@@ -20,8 +28,10 @@ from pyspark.sql import functions as F
 
 from courtlake.llm.common import drop_stored, numbered, stored
 
-#: Search steps for one pattern; at the end of them the best filling found so far is used.
-MAX_STEPS = 4000
+#: Nodes of one search; a search that ends there leaves the incumbent, whose distance to the bound is in the result.
+NODES = 20_000
+#: Last pieces of the incumbent that are searched anew, one after the other.
+TAILS = (24, 48, 96)
 #: Ranges that each length is ranked in.
 SALTS = 64
 #: Distinct words that a task keeps with their ids.
@@ -87,55 +97,211 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)][: 5 + with_ids], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
 
 
-def best_filling(room: int, lengths: list[int], counts: dict[int, int], max_steps: int = MAX_STEPS) -> list[tuple[int, int]]:
-    """The multiset of available lengths that fills `room` best: [(length, times)], longest first.
-
-    Depth-first over falling lengths, most copies first, so that fillings of fewer and longer pieces are met before those
-    they dominate (the same sum from shorter pieces).  A branch ends when all that is left cannot beat the incumbent.
-    """
-    best: list[tuple[int, int]] = []
-    best_sum, steps = 0, 0
-    left = [0] * (len(lengths) + 1)
+Filling = list[tuple[int, int]]
+
+
+def reachable(room: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
+    """Bit sets of the sums, up to `room`, of the first 0, 1, 2, ... of these lengths."""
+    mask, sums = (2 << room) - 1, [1]
+    for x in lengths:
+        now, left, step = sums[-1], min(counts[x], room // x), 1
+        while left > 0:
+            step = min(step, left)
+            now |= now << step * x & mask
+            left, step = left - step, 2 * step
+        sums.append(now)
+    return sums
+
+
+def best_filling(room: int, counts: dict[int, int]) -> Filling:
+    """The multiset of available lengths with the greatest sum up to `room`: [(length, times)], longest first."""
+    if counts.get(room, 0):
+        return [(room, 1)]
+    lengths = sorted(x for x, n in counts.items() if n and x <= room)
+    for x in reversed(lengths):
+        if 2 * x < room:
+            break
+        if counts.get(room - x, 0) > (2 * x == room):
+            return [(x, 2)] if 2 * x == room else [(x, 1), (room - x, 1)]
+    sums = reachable(room, lengths, counts)
+    left, filling = sums[-1].bit_length() - 1, []
     for i in range(len(lengths) - 1, -1, -1):
-        left[i] = min(room, left[i + 1] + lengths[i] * counts[lengths[i]])
-    stack: list[tuple[int, int, list[tuple[int, int]]]] = [(0, 0, [])]
-    while stack and steps < max_steps and best_sum < room:
-        i, filled, chosen = stack.pop()
-        steps += 1
-        if filled > best_sum:
-            best, best_sum = chosen, filled
-        while i < len(lengths) and lengths[i] > room - filled:
-            i += 1
-        if i == len(lengths) or filled + left[i] <= best_sum:
-            continue
-        most = min(counts[lengths[i]], (room - filled) // lengths[i])
-        # popped last to first: many copies of the longest, then fewer, then none
-        for times in range(0, most + 1) if most < 8 else (0, 1, most - 1, most):
-            stack.append((i + 1, filled + times * lengths[i], [*chosen, (lengths[i], times)] if times else chosen))
-    return best
-
-
-def plan_patterns(histogram: dict[int, int], capacity: int, max_steps: int = MAX_STEPS) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Bin completion over a histogram of lengths: [(number of bins, [(length, times), ...])]."""
-    counts = {x: n for x, n in histogram.items() if n > 0}
+        x = lengths[i]
+        for times in range(min(counts[x], left // x), -1, -1):
+            if sums[i] >> left - times * x & 1:
+                break
+        if times:
+            filling.append((x, times))
+            left -= times * x
+    return filling
+
+
+def fillings(room: int, counts: dict[int, int], least: int) -> Iterator[Filling]:
+    """All multisets of available lengths with a sum from `room` down to `least`, greatest sum first, then longest pieces."""
+    lengths = sorted(x for x, n in counts.items() if n and x <= room)
+    sums = reachable(room, lengths, counts)
+
+    def exact(i: int, left: int) -> Iterator[Filling]:
+        if not left:
+            yield []
+            return
+        x = lengths[i - 1]
+        for times in range(min(counts[x], left // x), -1, -1):
+            if sums[i - 1] >> left - times * x & 1:
+                for rest in exact(i - 1, left - times * x):
+                    yield [(x, times), *rest] if times else rest
+
+    for total in range(room, max(least, 0) - 1, -1):
+        if sums[-1] >> total & 1:
+            yield from exact(len(lengths), total)
+
+
+def dominates(one: Filling, other: Filling) -> bool:
+    """Whether the pieces of `other` fit into those of `one` as bins, so that swapping them never costs a sequence."""
+    room = [x for x, n in one for _ in range(n)]
+    pieces = [x for x, n in other for _ in range(n)]
+    if sum(pieces) > sum(room) or pieces and (not room or pieces[0] > room[0]):
+        return False
+
+    def put(i: int) -> bool:
+        if i == len(pieces):
+            return True
+        for k in range(len(room)):
+            if room[k] >= pieces[i] and room[k] not in room[:k]:
+                room[k] -= pieces[i]
+                if put(i + 1):
+                    return True
+                room[k] += pieces[i]
+                if len(pieces) > 10:  # many pieces: first fit only, which may miss a dominance and costs nothing but time
+                    return False
+        return False
+
+    return put(0)
+
+
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs: for every limit, pieces above half a context and what doesn't fit beside them."""
+    best = -(-sum(x * n for x, n in counts.items()) // capacity)
+    for limit in [x for x in counts if 2 * x <= capacity]:
+        alone = sum(n for x, n in counts.items() if x > capacity - limit)
+        large = [(x, n) for x, n in counts.items() if 2 * x > capacity and x <= capacity - limit]
+        small = sum(x * n for x, n in counts.items() if limit <= x and 2 * x <= capacity)
+        room = sum((capacity - x) * n for x, n in large)
+        best = max(best, alone + sum(n for _, n in large) + max(0, -(-(small - room) // capacity)))
+    return max(best, sum(n for x, n in counts.items() if 2 * x > capacity))
+
+
+def _without(counts: dict[int, int], filling: Filling, bins: int = 1) -> dict[int, int]:
+    left = dict(counts)
+    for x, times in filling:
+        left[x] -= bins * times
+        if not left[x]:
+            del left[x]
+    return left
+
+
+def best_sums(counts: dict[int, int], capacity: int) -> list[tuple[int, Filling]]:
+    """The filling of the greatest sum around the largest length left, as often as the counts allow: [(bins, filling)]."""
     patterns = []
     while counts:
-        lengths = sorted(counts, reverse=True)
-        largest = lengths[0]
-        counts[largest] -= 1
-        inside = [x for x in lengths if x <= capacity - largest and counts[x] > 0]
-        filling = dict(best_filling(capacity - largest, inside, counts, max_steps)) if inside else {}
-        counts[largest] += 1
+        largest = max(counts)
+        filling = dict(best_filling(capacity - largest, _without(counts, [(largest, 1)])))
         filling[largest] = filling.get(largest, 0) + 1
         bins = min(counts[x] // times for x, times in filling.items())
         patterns.append((bins, sorted(filling.items(), reverse=True)))
-        for x, times in filling.items():
-            counts[x] -= bins * times
-            if not counts[x]:
-                del counts[x]
+        counts = _without(counts, patterns[-1][1], bins)
     return patterns
 
 
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, Filling]]:
+    """Best-fit decreasing over equal bins at once: [(bins, filling)]."""
+    open_bins: dict[int, list[tuple[int, Filling]]] = {}
+    for x in sorted(counts, reverse=True):
+        left = counts[x]
+        while left:
+            room = min((r for r in open_bins if r >= x), default=None)
+            bins, filling = open_bins[room].pop() if room is not None else (left, [])
+            if room is not None and not open_bins[room]:
+                del open_bins[room]
+            room = capacity if room is None else room
+            each = min(room // x, max(1, left // bins))
+            used = min(bins, left // each)
+            if used < bins:
+                open_bins.setdefault(room, []).append((bins - used, filling))
+            open_bins.setdefault(room - each * x, []).append((used, [*filling, (x, each)]))
+            left -= used * each
+    return [b for own in open_bins.values() for b in own if b[1]]
+
+
+def complete(counts: dict[int, int], capacity: int, sequences: int, nodes: int = NODES) -> list[tuple[int, Filling]] | None:
+    """Bin completion: a packing into at most so many sequences, or null if there is none or the nodes are used up."""
+    left = nodes
+
+    def search(counts: dict[int, int], waste: int) -> list[tuple[int, Filling]] | None:
+        nonlocal left
+        if not counts:
+            return []
+        left -= 1
+        largest = max(counts)
+        room, rest, tried = capacity - largest, _without(counts, [(largest, 1)]), []
+        for filling in fillings(room, rest, room - waste):
+            if left < 0:
+                return None
+            if any(dominates(f, filling) for f in tried):
+                continue
+            tried.append(filling)
+            unused = room - sum(x * n for x, n in filling)
+            found = search(_without(rest, filling), waste - unused)
+            if found is not None:
+                own = dict(filling)
+                own[largest] = own.get(largest, 0) + 1
+                return [(1, sorted(own.items(), reverse=True)), *found]
+        return None
+
+    waste = sequences * capacity - sum(x * n for x, n in counts.items())
+    return search(counts, waste) if waste >= 0 else None
+
+
+def plan_patterns(histogram: dict[int, int], capacity: int, nodes: int = NODES, tails: tuple[int, ...] = TAILS) -> list[tuple[int, Filling]]:
+    """Bin completion over a histogram of lengths: [(number of bins, [(length, times), ...])]."""
+    counts = {x: n for x, n in histogram.items() if n > 0}
+    size = lambda patterns: sum(bins for bins, _ in patterns)
+    best, bound = best_sums(counts, capacity), lower_bound(counts, capacity)
+    if size(best) > bound:
+        best = min(best, best_fit(counts, capacity), key=size)
+    for tail in tails:
+        # the last bins of the incumbent, up to `tail` pieces
+        bins = [(1, f) for n, f in best for _ in range(min(n, tail))]
+        last, pieces = [], 0
+        while bins and pieces + sum(n for _, n in bins[-1][1]) <= tail:
+            last.append(bins.pop())
+            pieces += sum(n for _, n in last[-1][1])
+        open_counts: dict[int, int] = {}
+        for _, filling in last:
+            for x, n in filling:
+                open_counts[x] = open_counts.get(x, 0) + n
+        while size(best) > bound and last:
+            found = complete(open_counts, capacity, len(last) - 1, nodes)
+            if found is None:
+                break
+            best = [*_cut(best, len(last)), *found]
+            last = found
+        if size(best) <= bound or pieces == sum(counts.values()):
+            break
+    return best
+
+
+def _cut(patterns: list[tuple[int, Filling]], bins: int) -> list[tuple[int, Filling]]:
+    """Patterns without their last bins."""
+    out = list(patterns)
+    while bins:
+        n, filling = out.pop()
+        if n > bins:
+            out.append((n - bins, filling))
+        bins -= min(n, bins)
+    return out
+
+
 def pattern_table(patterns: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, int, int, int, int, int]]:
     """Rows (length, first rank, end rank, times in a bin, first sequence, offset) for the lookup by rank."""
     used: dict[int, int] = {}
@@ -171,8 +337,9 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048
     return numbered(documents, id_col, text_col).mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity, end_id, with_ids), schema)
 
 
-def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", max_steps: int = MAX_STEPS) -> DataFrame:
-    """Every piece of every document with its sequence_id (gapless from 0) and its offset in the sequence.
+def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES) -> DataFrame:
+    """Every piece of every document with its sequence_id (gapless from 0), its offset in the sequence, and
+    least_sequences, a number that no packing of all pieces can stay below.
 
     Sequences hold at most `capacity` ids.  Rows that repeat an id are packed as they come, each with its own pieces; a
     null id is kept.  An empty table gives no rows.  Other columns are ignored.  `ids` are left out: token_pieces() with
@@ -185,8 +352,9 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
     cells = stored(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     histogram = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = np.array(sorted(pattern_table(plan_patterns(histogram, capacity, max_steps))), np.int64).reshape(-1, 6)
+    table = np.array(sorted(pattern_table(plan_patterns(histogram, capacity, nodes))), np.int64).reshape(-1, 6)
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(F.broadcast(cells.select("length", "salt", before.alias("before"))), ["length", "salt"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("own") + F.col("before")).cast("long").alias("rank"))
-    return ranked.mapInArrow(lambda it: _place(it, table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    placed = ranked.mapInArrow(lambda it: _place(it, table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return placed.withColumn("least_sequences", F.lit(lower_bound(histogram, capacity)).cast("long"))
