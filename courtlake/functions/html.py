@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -52,10 +53,23 @@ class Element:
         return join.join(out)
 
     def markup(self) -> str:
-        attrs = "".join(f' {k}="{v}"' for k, v in self.attrs.items())
-        if self.name in VOID:
-            return f"<{self.name}{attrs}/>"
-        return f"<{self.name}{attrs}>{''.join(c if isinstance(c, str) else c.markup() for c in self.children)}</{self.name}>"
+        """HTML of this element; text and attributes escaped, so that it parses to the same tree."""
+        out: list[str] = []
+        stack: list[Element | str] = [self]
+        while stack:
+            node = stack.pop()
+            if isinstance(node, str):
+                out.append(node)
+                continue
+            attrs = "".join(f' {k}="{escape(v)}"' for k, v in node.attrs.items())
+            if node.name in VOID:
+                out.append(f"<{node.name}{attrs}/>")
+                continue
+            out.append(f"<{node.name}{attrs}>")
+            raw = node.name in ("script", "style")
+            stack.append(f"</{node.name}>")
+            stack += [c if raw or isinstance(c, Element) else escape(c, quote=False) for c in reversed(node.children)]
+        return "".join(out)
 
 
 class Builder(HTMLParser):

@@ -207,6 +207,14 @@ def case_anchor(name: Column, citation: Column) -> Column:
     return F.concat(F.lit("Present case: "), F.coalesce(name, F.lit("")), F.when(F.coalesce(citation, F.lit("")) != "", F.concat(F.lit(" "), citation)).otherwise(""))
 
 
+def message(template: str, anchor: Column, **values: Column) -> Column:
+    """a message for a model: the anchor, a blank line, and a template with {name} for each value."""
+    out = F.lit(template)
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
+    return F.concat(anchor, F.lit("\n\n"), out)
+
+
 def strip_meta_prefix(value: Column) -> Column:
     """F22."""
     return F.regexp_replace(value, "(?iU)" + META_PREFIX, "")
@@ -321,5 +329,10 @@ def summary_tier(count: Column, last_attempt: Column, now: Column, alternative:
 
 
 def model_route(tier: Column, primary: str, alternative: str) -> Column:
-    """The model for a tier."""
+    """The model for a tier; the same rule routes endpoints."""
     return F.when(tier == "primary", primary).otherwise(alternative)
+
+
+def route(tier: Column, primary: tuple[str, str], alternative: tuple[str, str]) -> Column:
+    """Struct of model and endpoint for a tier."""
+    return F.struct(*(model_route(tier, a, b).alias(n) for n, a, b in zip(("model", "endpoint"), primary, alternative, strict=True)))

@@ -44,24 +44,36 @@ def new_items(items: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def first_occurrence(items: DataFrame, *order: str) -> DataFrame:
-    """The first row of each id."""
-    place = F.row_number().over(Window.partitionBy("id").orderBy(*order))
+    """The first row of each id by the given keys; among equal ones the smallest as JSON text."""
+    place = F.row_number().over(Window.partitionBy("id").orderBy(*order, F.to_json(F.struct(*items.columns))))
     return items.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def stop_after_known_run(items: DataFrame, catalog: DataFrame, n: int = 5, run: str = "run_id") -> DataFrame:
-    """Rows of each crawl run, in (page, pos) order, up to the n-th known id in a row, with a `known` flag.
+    """Rows of each crawl run, in (page, pos, id) order, up to the n-th known id in a row, with a `known` flag.
 
-    An id that came before in the run counts as known.  The order is total only inside a run.
+    An id that came before in the run counts as known.  Flags are folded to one row per page first; only these rows, a
+    tenth or less of the listing, are put in order over a whole run.
     """
     listed = items.join(catalog.select("id", F.lit(True).alias("_in")).distinct(), "id", "left")
     seen = F.row_number().over(Window.partitionBy(run, "id").orderBy("page", "pos")) > 1
-    order = Window.partitionBy(run).orderBy("page", "pos")
-    flagged = listed.withColumn("known", F.coalesce("_in", F.lit(False)) | seen).withColumn("_at", F.row_number().over(order)).drop("_in")
-    length = F.col("_at") - F.coalesce(F.max(F.when(~F.col("known"), F.col("_at"))).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    measured = flagged.withColumn("_length", length)
-    cut = F.min(F.when(F.col("_length") >= n, F.col("_at"))).over(Window.partitionBy(run))
-    return measured.withColumn("_cut", cut).filter(F.col("_cut").isNull() | (F.col("_at") <= F.col("_cut"))).drop("_at", "_length", "_cut")
+    flagged = listed.withColumn("known", F.coalesce("_in", F.lit(False)) | seen).drop("_in")
+    rows = F.array_sort(F.collect_list(F.struct("pos", "id", "known")))
+    pages = flagged.groupBy(run, "page").agg(rows.alias("rows")).withColumn("flags", F.transform("rows", lambda r: r["known"]))
+    size, first = F.size("flags"), F.array_position("flags", False)
+    last = F.array_position(F.reverse("flags"), False)
+    order = Window.partitionBy(run).orderBy("page")
+    before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pages = pages.withColumn("_before", before).withColumn("_lead", F.when(first > 0, first - 1).otherwise(size))
+    unknown = F.when(last > 0, F.col("_before") + size - last + 1)
+    carried = F.col("_before") - F.coalesce(F.max(unknown).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.filter(F.sequence(F.lit(n), size), lambda i: F.forall(F.slice("flags", i - n + 1, n), lambda k: k))
+    inside = F.when(size >= n, F.try_element_at(within, F.lit(1)))
+    own = F.least(F.when(F.col("_lead") >= F.greatest(n - carried, F.lit(1)), F.greatest(n - carried, F.lit(1))), inside)
+    cut = pages.withColumn("_cut", own).filter("_cut is not null").groupBy(run).agg(F.min_by(F.struct("page", F.element_at("rows", F.col("_cut").cast("int")).alias("r")), "page").alias("c"))
+    cut = cut.select(F.col(run).alias("_run"), F.struct("c.page", "c.r.pos", "c.r.id").alias("_stop"))
+    joined = flagged.join(cut, F.col(run) == F.col("_run"), "left")
+    return joined.filter(F.col("_stop").isNull() | (F.struct("page", "pos", "id") <= F.col("_stop"))).select(*items.columns, "known")
 
 
 def apply_updates(catalog: DataFrame, updates: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
@@ -73,16 +85,16 @@ def apply_updates(catalog: DataFrame, updates: DataFrame, columns: list[str], ke
 
 
 def append_new(catalog: DataFrame, *staged: DataFrame) -> DataFrame:
-    """The catalogue and staged rows, one row per new id."""
-    rows = staged[0]
-    for more in staged[1:]:
-        rows = rows.unionByName(more)
-    return catalog.unionByName(new_items(rows.dropDuplicates(["id"]), catalog), allowMissingColumns=True)
+    """The catalogue and staged rows, one row per new id: of the first staged table that has it."""
+    rows = staged[0].withColumn("_table", F.lit(0))
+    for k, more in enumerate(staged[1:], 1):
+        rows = rows.unionByName(more.withColumn("_table", F.lit(k)))
+    return catalog.unionByName(first_occurrence(new_items(rows, catalog), "_table").drop("_table"), allowMissingColumns=True)
 
 
-def insert_or_ignore(table: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The table with new ids added, and the rows really added; the first write wins."""
-    added = new.dropDuplicates(["id"]).join(table.select("id"), "id", "left_anti").select(new.columns)
+def insert_or_ignore(table: DataFrame, new: DataFrame, *order: str) -> tuple[DataFrame, DataFrame]:
+    """The table with new ids added, and the rows really added; the first write by `order` wins."""
+    added = first_occurrence(new.join(table.select("id"), "id", "left_anti").select(new.columns), *order)
     return table.unionByName(added), added
 
 
@@ -119,11 +131,16 @@ def facet_counts(table: DataFrame, *columns: str) -> DataFrame:
 
 
 def pipeline_state(catalog: DataFrame) -> DataFrame:
-    """A3, A4: sizes of the phases and of their backlogs."""
-    return catalog.agg(
+    """A3, A4: sizes of the phases and of their backlogs; phases whose columns are missing have not begun."""
+    there = set(catalog.columns)
+    if "content_text" not in there:  # nothing was planned, so nothing is behind
+        catalog = catalog.withColumn("content_text", F.lit(""))
+    catalog = ensure_columns(catalog, {"has_content": "int", "summary": "string"})
+    counts = catalog.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("content_text").isNotNull()).alias("enriched"), F.count_if(F.col("has_content") == 1).alias("with_body"), F.count_if(F.col("summary").isNotNull()).alias("summarised"),
         F.count_if(F.col("content_text").isNull()).alias("extract_backlog"), F.count_if((F.col("has_content") == 1) & F.col("summary").isNull()).alias("summary_backlog"),
     )
+    return counts if "content_text" in there else counts.withColumn("enriched", F.lit(0).cast("long"))
 
 
 def fragment_stats(fragments: DataFrame) -> DataFrame:
@@ -161,4 +178,7 @@ def discover(cards: DataFrame, catalog: DataFrame, staged: DataFrame | None, now
     rows = catalog_rows(valid_cards(cards), now).withColumn("run_id", F.lit(now))
     cut = stop_after_known_run(rows, catalog, n).filter("not known").drop("known", "run_id")
     fresh = first_occurrence(cut, "page", "pos")
-    return fresh if staged is None else new_items(staged, catalog).unionByName(fresh).dropDuplicates(["id"])
+    if staged is None:
+        return fresh
+    both = new_items(staged, catalog).withColumn("_table", F.lit(0)).unionByName(fresh.withColumn("_table", F.lit(1)))
+    return first_occurrence(both, "_table", "page", "pos").drop("_table")

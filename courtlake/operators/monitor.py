@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtlake.operators.catalog import pipeline_state
+
 
 def phase_counters(attempts: DataFrame) -> DataFrame:
     """Per run, results of both phases.  `attempts` has run_id, phase (2 or 3) and status."""
@@ -12,6 +14,12 @@ def phase_counters(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("run_id").agg(*(of(2, s) for s in ("extracted", "empty", "failed", "quarantined")), *(of(3, s) for s in ("summarised", "cached", "failed", "quarantined")))
 
 
+def phase_report(attempts: DataFrame, catalog: DataFrame) -> DataFrame:
+    """A7 with the backlogs that the catalogue has left, one row of two numbers."""
+    left = pipeline_state(catalog).select("extract_backlog", "summary_backlog")
+    return phase_counters(attempts).crossJoin(F.broadcast(left))
+
+
 def build_verdict(counters: DataFrame) -> DataFrame:
     """summarised = fresh + cached, notes, and blocked if an aborted build did nothing at all.
 
@@ -64,3 +72,10 @@ def advanced_pipeline(builds: DataFrame) -> DataFrame:
     order = Window.partitionBy("site").orderBy("day")
     fell = (F.lag("extract_backlog").over(order) > F.col("extract_backlog")) | (F.lag("summary_backlog").over(order) > F.col("summary_backlog"))
     return builds.select("site", "day", ((F.col("records") > 0) | (F.col("extracted") > 0) | (F.col("summarised") > 0)).alias("advanced"), F.coalesce(fell, F.lit(False)).alias("backlog_fell"))
+
+
+def monitor(builds: DataFrame) -> DataFrame:
+    """Q9: per build whether it advanced, whether a backlog fell, and its anomalies."""
+    found = build_anomalies(builds).groupBy("site", "day").agg(F.array_sort(F.collect_set("anomaly")).alias("anomalies"))
+    none = F.expr("cast(array() as array<string>)")
+    return advanced_pipeline(builds).join(found, ["site", "day"], "left").withColumn("anomalies", F.coalesce("anomalies", none))

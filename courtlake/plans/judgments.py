@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courtlake.operators import catalog, fragments, search
+from courtlake.operators import enrich as enrichment
 from courtlake.plans.registry import SQL_FRAGS, frags, query, table
 
 NOW = "2026-07-16T12:00:00"
@@ -45,6 +46,16 @@ x AS (SELECT judgment_id || '_' || CASE WHEN ordinal < 10000 THEN lpad(CAST(ordi
     CASE WHEN ordinal % 5 = 2 THEN 'i' || ordinal || '.png' END AS figures FROM b)"""
 
 
+_RAW = """'<p class="' || class_name || '">' || coalesce(paragraph_number || chr(160) || chr(160), '') || replace(replace(replace(content_text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+    || CASE WHEN ordinal % 7 = 3 THEN '<sup><a href="#fn' || (ordinal + 1) || '"></a></sup>' ELSE '' END || '</p>'"""
+
+
+@query(f"WITH {SQL_FRAGS} SELECT judgment_id, ordinal, {_RAW} AS html_raw FROM frags WHERE doc_id % 10 <> 9")
+def fragments_html(spark, sf_dir):
+    """H2: the markup of every fragment."""
+    return fragments.extract(detail_html(spark, sf_dir), NOW)[0].select("judgment_id", "ordinal", "html_raw")
+
+
 @query(f"WITH {SQL_FRAGS}, {_BODY} SELECT * EXCLUDE (doc_id) FROM x")
 def extract_fragments(spark, sf_dir):
     """Q2: H2-H5, W1-W4, J3, F11-F16 on pages built from lines."""
@@ -63,6 +74,24 @@ def enriched_pages(spark, sf_dir):
     return fragments.extract(detail_html(spark, sf_dir), NOW)[1]
 
 
+@query(f"""WITH {SQL_FRAGS}, {_BODY},
+c AS (SELECT judgment_id, string_agg(CASE WHEN content_text <> '' THEN CASE WHEN paragraph_number IS NULL THEN content_text ELSE paragraph_number || ' ' || content_text END END, chr(10) || chr(10) ORDER BY ordinal) AS t FROM x GROUP BY judgment_id)
+SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 4 = 0 THEN 'old' WHEN doc_id % 7 = 1 THEN NULL WHEN doc_id % 5 = 2 THEN 'cached ' || doc_id WHEN doc_id % 11 = 3 THEN NULL ELSE coalesce(t, '') END AS content_text,
+    CASE WHEN doc_id % 4 = 0 OR doc_id % 7 = 1 THEN NULL WHEN doc_id % 5 = 2 THEN 1 WHEN doc_id % 11 = 3 THEN NULL ELSE CAST(coalesce(t, '') <> '' AS INTEGER) END AS has_content
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN c ON c.judgment_id = CAST(d.doc_id AS VARCHAR)""")
+def enrich(spark, sf_dir):
+    """Q3: P3, J4, J5, Q2, J8: every 7th quarantined, every 5th cached, every 11th not archived."""
+    i = F.col("doc_id")
+    ids = table(spark, sf_dir, "documents").select(i, i.cast("string").alias("id")).distinct()
+    known = ids.select("doc_id", "id", F.when(i % 4 == 0, "old").alias("content_text"), F.lit("2020-01-01").alias("decision_date"))
+    failures = ids.filter("doc_id % 7 = 1").select("id", F.lit(3).alias("count"), F.lit(NOW).alias("last_attempt"))
+    cached = ids.filter("doc_id % 5 = 2").select(
+        "id", F.concat(F.lit("cached "), "id").alias("content_text"), F.lit("").alias("court_summary"), F.lit(1).alias("has_content"),
+        F.lit(0).alias("has_court_summary"), F.lit(0).alias("fragment_count"), F.lit(NOW).alias("extracted_at"))
+    archive = detail_html(spark, sf_dir).filter("cast(id as long) % 11 <> 3")
+    return enrichment.enrich(known, failures, cached, archive, NOW)[0].select("id", "content_text", "has_content")
+
+
 @query(f"WITH {SQL_FRAGS} SELECT judgment_id, ordinal AS seq, CAST(row_number() OVER (PARTITION BY judgment_id ORDER BY ordinal) - 1 AS INTEGER) AS ordinal, judgment_id || '_' || lpad(CAST(row_number() OVER (PARTITION BY judgment_id ORDER BY ordinal) - 1 AS VARCHAR), 4, '0') AS id FROM frags WHERE ordinal % 3 <> 1")
 def assign_ordinals(spark, sf_dir):
     """W1."""
@@ -99,10 +128,11 @@ def fragment_stats(spark, sf_dir):
     return catalog.fragment_stats(frags(spark, sf_dir))
 
 
-@query(f"WITH {SQL_FRAGS} SELECT 'class_name' AS facet, class_name AS value, count(*) AS n FROM frags GROUP BY ALL UNION ALL SELECT 'has_footnotes', CAST(has_footnotes AS VARCHAR), count(*) FROM frags GROUP BY ALL UNION ALL SELECT 'has_table', CAST(has_table AS VARCHAR), count(*) FROM frags GROUP BY ALL")
+@query(f"WITH {SQL_FRAGS} SELECT 'class_name' AS facet, class_name AS value, count(*) AS n FROM frags GROUP BY ALL UNION ALL SELECT 'has_footnotes', CAST(has_footnotes AS VARCHAR), count(*) FROM frags GROUP BY ALL UNION ALL SELECT 'has_table', CAST(has_table AS VARCHAR), count(*) FROM frags GROUP BY ALL UNION ALL SELECT 'has_figure', CAST(CAST(ordinal % 5 = 2 AS INTEGER) AS VARCHAR), count(*) FROM frags GROUP BY ALL")
 def facet_counts_fragments(spark, sf_dir):
     """A2."""
-    return catalog.facet_counts(frags(spark, sf_dir), "class_name", "has_footnotes", "has_table")
+    f = frags(spark, sf_dir).withColumn("has_figure", (F.col("ordinal") % 5 == 2).cast("int"))
+    return catalog.facet_counts(f, "class_name", "has_footnotes", "has_table", "has_figure")
 
 
 @query(f"WITH {SQL_FRAGS} SELECT judgment_id, ordinal FROM frags WHERE paragraph_number = 2 AND class_name = 'Judg-1' AND has_footnotes = 1")
@@ -149,11 +179,15 @@ def search_index(spark, sf_dir):
     return search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")[0]
 
 
-@query(f"""WITH p AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL), l AS (SELECT doc_id, len({_TERMS}) AS terms FROM documents),
-s AS (SELECT count(*) AS n, avg(terms) AS mean FROM l), q AS (SELECT item_id AS query_id, list_distinct({_TERMS.replace('text', 'substr(text, 1, 40)')}) AS w FROM benchmark),
+def _search_sql(asked: str, columns: str = "", joined: str = "") -> str:
+    return f"""WITH p AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL), l AS (SELECT doc_id, len({_TERMS}) AS terms FROM documents),
+s AS (SELECT count(*) AS n, avg(terms) AS mean FROM l), q AS (SELECT item_id AS query_id, list_distinct({_TERMS.replace('text', asked)}) AS w FROM benchmark),
 t AS (SELECT query_id, len(w) AS need, unnest(w) AS term FROM q), df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
 h AS (SELECT query_id, need, doc_id AS id, count(*) AS matched, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * terms / mean))), 6) AS score FROM t JOIN p USING (term) JOIN df USING (term) JOIN l USING (doc_id), s GROUP BY ALL HAVING count(*) = need)
-SELECT query_id, rank, id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM h) WHERE rank <= 10""")
+SELECT query_id, rank, id, score{columns} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM h){joined} WHERE rank <= 10"""
+
+
+@query(_search_sql("substr(text, 1, 40)"))
 def search_queries(spark, sf_dir):
     """The first words of every benchmark item against all documents."""
     postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -161,7 +195,16 @@ def search_queries(spark, sf_dir):
     return search.search_many(postings, lengths, asked, 10)
 
 
-@query()
+@query(_search_sql("text", ", lang, source", " JOIN documents ON doc_id = id"))
+def search_judgments(spark, sf_dir):
+    """Q8: whole items against all documents, with columns of what is found."""
+    postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    judgments = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    return search.search_judgments(postings, lengths, asked, judgments, ["lang", "source"])
+
+
+@query(_search_sql("text"))
 def search_whole_items(spark, sf_dir):
     """All words of every benchmark item against all documents."""
     postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -107,6 +107,17 @@ def discover(spark, sf_dir):
     return catalog.discover(html.listing_cards(listing_html(spark, sf_dir)), known, None, NOW, n=1_000_000_000)
 
 
+@query(f"""WITH {SQL_LISTED}, known AS (SELECT id FROM listed WHERE page_id % 3 = 0 OR page_id % 100 > 90),
+a AS (SELECT page_id, row_number() OVER (ORDER BY page_id // 10, page_id % 10) AS place, id IN (SELECT id FROM known) AS known FROM listed),
+b AS (SELECT *, place - coalesce(max(CASE WHEN NOT known THEN place END) OVER (ORDER BY place), 0) AS len FROM a),
+rows AS ({_ROW.replace('SELECT page_id // 10 AS page', 'SELECT page_id AS k, page_id // 10 AS page')})
+SELECT rows.* EXCLUDE (k) FROM rows JOIN b ON b.page_id = k WHERE NOT known AND place <= (SELECT coalesce(min(place), 1000000000) FROM b WHERE len >= 5)""")
+def discover_until_known(spark, sf_dir):
+    """Q1: new rows of a crawl up to five known ones in a row."""
+    known = listed(spark, sf_dir).filter("page_id % 3 = 0 or page_id % 100 > 90").select("id")
+    return catalog.discover(html.listing_cards(listing_html(spark, sf_dir)), known, None, NOW)
+
+
 # tables at volume
 
 

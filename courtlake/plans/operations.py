@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from datetime import timedelta
 
@@ -308,6 +309,17 @@ def advanced_pipeline(spark, sf_dir):
     return monitor.advanced_pipeline(_builds(spark, sf_dir))
 
 
+@query(f"""WITH {_BUILDS}, w AS (SELECT *, count(*) FILTER (WHERE blocked) OVER (PARTITION BY site ORDER BY day ROWS 1 PRECEDING) AS b2, count(*) FILTER (WHERE summarised = 0 AND summary_backlog > 0) OVER (PARTITION BY site ORDER BY day ROWS 2 PRECEDING) AS i3,
+    count(*) OVER w7 AS n8, first_value(extract_backlog) OVER w7 AS e8, first_value(summary_backlog) OVER w7 AS s8, lag(extract_backlog) OVER o AS e1, lag(summary_backlog) OVER o AS s1 FROM builds WINDOW w7 AS (PARTITION BY site ORDER BY day ROWS 7 PRECEDING), o AS (PARTITION BY site ORDER BY day))
+SELECT site, day, records > 0 OR extracted > 0 OR summarised > 0 AS advanced, coalesce(e1 > extract_backlog OR s1 > summary_backlog, false) AS backlog_fell, array_to_string(list_sort(list_filter([
+    CASE WHEN b2 = 2 THEN 'blocked twice' END, CASE WHEN extracted = 0 AND extract_backlog > 0 THEN 'nothing extracted' END, CASE WHEN i3 = 3 THEN 'nothing summarised for three days' END,
+    CASE WHEN n8 = 8 AND extract_backlog > 0 AND e8 <= extract_backlog THEN 'extract backlog stuck' END, CASE WHEN n8 = 8 AND summary_backlog > 0 AND s8 <= summary_backlog THEN 'summary backlog stuck' END,
+    CASE WHEN seconds > 7200 THEN 'longer than two hours' END], lambda x: x IS NOT NULL)), ',') AS anomalies FROM w""")
+def monitor_builds(spark, sf_dir):
+    """Q9: W9, W10 as one report per build."""
+    return monitor.monitor(_builds(spark, sf_dir)).withColumn("anomalies", F.array_join("anomalies", ","))
+
+
 _STATUS = "CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN CASE phase WHEN 2 THEN 'extracted' ELSE 'summarised' END WHEN 'view' THEN CASE phase WHEN 2 THEN 'empty' ELSE 'cached' END ELSE 'quarantined' END"
 
 
@@ -375,11 +387,35 @@ def status_lines(spark, sf_dir):
     return parsed.select("event_id", "kind", "resource", "records", "message", "skip_kind", "seconds", F.col("counters")["enriched"].alias("enriched"))
 
 
+@query(f"""WITH {SQL_ATTEMPTS}, l AS (SELECT id, count(*) FILTER (WHERE NOT ok AND (c IS NULL OR (ts, seq) > c)) AS n FROM (SELECT *, max(CASE WHEN ok THEN (ts, seq) END) OVER (PARTITION BY id) AS c FROM attempts) GROUP BY id)
+SELECT id, CAST(n AS INTEGER) AS count, CASE WHEN n < 1 THEN 'primary' WHEN n >= 2 THEN 'blocked' ELSE 'alternative' END AS tier FROM l""")
+def stream_ledger(spark, sf_dir):
+    """The ledger of all events as a stream, after its last batch; one failure is enough for the alternative, two block."""
+    e = _event_stream(spark, sf_dir)
+    a = e.select(F.col("user_id").cast("string").alias("id"), "ts", F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("ok"), F.lit("e").alias("error"))
+    at = _shared(spark)
+    stream = streams.stream_ledger(a, F.lit("2000-01-01"), alternative=1, hard=2).select("id", "count", "tier")
+    write = lambda b, k: b.withColumn("batch", F.lit(k)).write.mode("append").parquet(f"{at}/out")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.parquet(f"{at}/out").groupBy("id").agg(F.max_by("count", "batch").alias("count"), F.max_by("tier", "batch").alias("tier"))
+
+
 # streams
 
 
 def _shared(spark) -> str:
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints"
+    """A new folder in the one that the cluster shares; a machine-local one only for a session whose master is local."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if at is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="spark-")
     return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -405,6 +441,11 @@ def stream_new_items(spark, sf_dir):
     """Users as listing ids, each once and not in the catalogue."""
     at = _shared(spark)
     items = _event_stream(spark, sf_dir).select(F.col("user_id").alias("id"))
-    known = lambda: table(spark, sf_dir, "events").filter("user_id % 3 = 0").select(F.col("user_id").alias("id")).distinct()
+    spark.createDataFrame([], items.schema).write.parquet(f"{at}/out")
+
+    def known():
+        listed = table(spark, sf_dir, "events").filter("user_id % 3 = 0").select(F.col("user_id").alias("id")).distinct()
+        return listed.unionByName(spark.read.parquet(f"{at}/out"))
+
     streams.stream_new_items(items, known, lambda df: df.write.mode("append").parquet(f"{at}/out"), f"{at}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out")

@@ -31,6 +31,15 @@ def read_page_archive(spark: SparkSession, path: str) -> DataFrame:
     return files.select(_stem(r"^(.*?)\.html(?:\.gz)?$").alias("id"), F.col("value").alias("html")).filter("html is not null")
 
 
+def corrupt_archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, size) of archive files of which read_page_archive() gives no page, for a quarantine folder."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    name = F.element_at(F.split("path", "/"), -1)
+    read = read_page_archive(spark, path).select("id").distinct()
+    found = listed.select(name.alias("file_name"), F.regexp_extract(name, r"^(.*?)\.html(?:\.gz)?$", 1).alias("id"), F.col("length").alias("size"))
+    return found.join(read, "id", "left_anti").select("file_name", "size")
+
+
 def _read_json(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
     reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
     return reader.json(path).withColumn("file_name", F.col("_metadata.file_name"))
@@ -109,6 +118,13 @@ def write_fragments(fragments: DataFrame, path: str, mode: str = "overwrite") ->
     fragments.repartition("judgment_id").sortWithinPartitions("judgment_id", "ordinal").write.mode(mode).parquet(path)
 
 
+def replace_fragments(fragments: DataFrame, path: str, buckets: int = 64) -> None:
+    """Fragments by bucket of judgments; only the folders of buckets in `fragments` are replaced."""
+    bucket = F.pmod(F.xxhash64("judgment_id"), F.lit(buckets)).cast("int")
+    ordered = fragments.withColumn("bucket", bucket).repartition("bucket", "judgment_id").sortWithinPartitions("judgment_id", "ordinal")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def write_payload(payload: DataFrame, path: str, **stamps) -> None:
     """Parse or summary results as JSON, with columns such as timestamp, model and endpoint added."""
     payload.withColumns({k: F.lit(v) for k, v in stamps.items()}).write.mode("overwrite").json(path)

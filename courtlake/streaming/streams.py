@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from courtlake.functions import text
 from courtlake.operators import catalog, fragments
+from courtlake.operators.catalog import first_occurrence
 from courtlake.sources.files import PROGRESS
 
 
@@ -23,27 +26,38 @@ def stream_progress(log: DataFrame, window: str = "1 hour", late: str = "1 day")
     return events.withWatermark("at", late).groupBy(F.window("at", window), "status", "model").agg(F.count(F.lit(1)).alias("attempts")).select("window.start", "window.end", "status", "model", "attempts")
 
 
-def stream_extract(pages: DataFrame, now: str, target: str, checkpoint: str):
-    """New pages (id, html) to fragments under `target`; a page that comes again adds nothing."""
+def stream_extract(pages: DataFrame, now: str, target: str, checkpoint: str, buckets: int = 64):
+    """New pages (id, html) to fragments under `target`, a folder per bucket of judgments; a page that comes again adds
+    nothing."""
 
     def write(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession
-        new, _ = fragments.extract(batch.dropDuplicates(["id"]), now)
+        new, _ = fragments.extract(first_occurrence(batch), now)
+        bucket = F.pmod(F.xxhash64("judgment_id"), F.lit(buckets)).cast("int")
+        new = new.withColumn("bucket", bucket)
+        # only the folders that hold a page of the batch are read; a batch is bounded by its trigger
+        wanted = [r.bucket for r in batch.select(F.col("id").alias("judgment_id")).select(bucket.alias("bucket")).distinct().collect()]
         try:
-            known = spark.read.parquet(target).select("id")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
+            known = spark.read.parquet(target).filter(F.col("bucket").isin(wanted)).select("id")
+        except AnalysisException as e:  # the first batch finds no table
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             known = spark.createDataFrame([], "id string")
-        new.join(known, "id", "left_anti").write.mode("append").parquet(target)
+        new.join(known, "id", "left_anti").write.mode("append").partitionBy("bucket").parquet(target)
 
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def stream_new_items(items: DataFrame, known: Callable[[], DataFrame], sink: Callable[[DataFrame], None], checkpoint: str):
-    """Each id once, neither in the catalogue nor earlier in the stream."""
-    once = items.dropDuplicates(["id"])
-    return once.writeStream.foreachBatch(lambda batch, _epoch: sink(catalog.new_items(batch, known()))).option("checkpointLocation", checkpoint)
+    """Each id once, neither in the catalogue nor earlier in the stream.
+
+    `known` gives the ids of the catalogue and of all that `sink` has written: the tables are the state, none is kept in memory.
+    """
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        sink(catalog.first_occurrence(catalog.new_items(batch, known())))
+
+    return items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 class LedgerState(StatefulProcessor):
@@ -60,14 +74,19 @@ class LedgerState(StatefulProcessor):
             self.entry.update((count, error, last))
         else:
             self.entry.clear()
-        yield pd.DataFrame({"id": [key[0]], "count": [count], "last_error": [error], "last_attempt": [last], "tier": ["primary" if count < 3 else "alternative" if count < 6 else "blocked"]})
+        yield pd.DataFrame({"id": [key[0]], "count": [count], "last_error": [error], "last_attempt": [last]})
 
     def close(self) -> None:
         pass
 
 
-def stream_ledger(attempts: DataFrame) -> DataFrame:
-    """The ledger entry of every id that a batch touches (id, ts, seq, ok, error); use the RocksDB state store."""
-    return attempts.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=LedgerState(), outputStructType="id string, count int, last_error string, last_attempt timestamp, tier string", outputMode="Update", timeMode="None"
+def stream_ledger(attempts: DataFrame, now: Column | None = None, **tiers: int) -> DataFrame:
+    """The ledger entry of every id that a batch touches (id, ts, seq, ok, error); use the RocksDB state store.
+
+    The tier is F30's at `now`, the batch's own time if not given; its limits are arguments of summary_tier().
+    """
+    entries = attempts.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=LedgerState(), outputStructType="id string, count int, last_error string, last_attempt timestamp", outputMode="Update", timeMode="None"
     )
+    at = F.current_timestamp() if now is None else now
+    return entries.withColumn("tier", text.summary_tier(F.col("count"), F.col("last_attempt").cast("string"), at, **tiers))
