@@ -161,7 +161,9 @@ def joined_windows(
         if not len(a) or not len(b):
             continue
         places = shift[b] + centre[b]
-        lo, hi = np.searchsorted(places, shift[a] + left[a]), np.searchsorted(places, shift[a] + right[a], side="right")
+        # both centres lie in a range of `width` tokens
+        lo = np.searchsorted(places, shift[a] + np.maximum(left[a], centre[a] - width + 1))
+        hi = np.searchsorted(places, shift[a] + np.minimum(right[a], centre[a] + width - 1), side="right")
         count = hi - lo
         x = np.repeat(a, count)
         y = b[np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]
@@ -181,11 +183,21 @@ def _pair_batch(docs: np.ndarray, sig: np.ndarray, first: np.ndarray, last: np.n
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "doc_id", "first", "last"])
 
 
+def _runs(sizes: np.ndarray, limit: int = 1 << 17) -> Iterator[tuple[int, int]]:
+    """Cut rows into runs of about `limit` in size, one row at least."""
+    sums, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        before = sums[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(sums, before + limit, side="right")))
+        yield first, last
+        first = last
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Interval joins inside each document of rows (doc_id, windows)."""
     for batch in batches:
-        for a in range(0, batch.num_rows, 64):
-            part = batch.slice(a, 64)
+        for a, z in _runs(batch.column("windows").value_lengths().to_numpy()):
+            part = batch.slice(a, z - a)
             ids, lists = part.column("doc_id").to_numpy(), part.column("windows")
             docs = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
             fields = lists.flatten()
@@ -258,30 +270,41 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, width: int, hits_neede
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def _open_texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row, id, tokens and open starts (one flag per token) of each document."""
+def _open_texts(batch: pa.RecordBatch, size: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of all rows, the row and the place in it of each, and whether an open range starts there."""
     tokens = _texts_tokens(batch.column("text"), size)
-    for i, (doc, own) in enumerate(zip(batch.column("doc_id").to_pylist(), tokens, strict=True)):
-        flags = np.zeros(len(own), bool)
-        for r in batch.column("open")[i].as_py():
-            flags[r["first"]:r["last"] + 1] = True
-        for r in batch.column("known")[i].as_py() or []:
-            flags[r["lo"]:r["hi"] + 1] = False
-        yield i, doc, own, flags
+    counts = np.array([len(t) for t in tokens])
+    begin = np.cumsum(counts) - counts
+    flags = np.zeros(int(counts.sum()), bool)
+    for i, (opened, known) in enumerate(zip(batch.column("open").to_pylist(), batch.column("known").to_pylist(), strict=True)):
+        for r in opened:
+            flags[begin[i] + r["first"]:begin[i] + r["last"] + 1] = True
+        for r in known or []:
+            flags[begin[i] + r["lo"]:begin[i] + r["hi"] + 1] = False
+    rows = np.repeat(np.arange(len(tokens)), counts)
+    place = np.arange(len(flags)) - begin[rows]
+    return np.concatenate([*tokens, np.empty(0, np.uint64)]), rows, place, flags & (place + width <= counts[rows])
+
+
+def _near(flags: np.ndarray, width: int) -> np.ndarray:
+    """Tokens that are in a range that starts at a flag."""
+    sums = np.append(0, np.cumsum(flags))
+    ends = np.arange(1, len(flags) + 1)
+    return sums[ends] > sums[np.maximum(ends - width, 0)]
 
 
 def _open_shingles(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
     """The distinct shingles of each document's open ranges."""
     for batch in batches:
         for a in range(0, batch.num_rows, 128):
-            found, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            for _i, doc, own, flags in _open_texts(batch.slice(a, 128), size):
-                near = np.append(0, np.cumsum(flags))
-                ends = np.arange(1, len(own) + 1)
-                part = np.unique(own[near[ends] > near[np.maximum(ends - width, 0)]])
-                found.append(part)
-                owners.append(np.full(len(part), doc))
-            columns = [w.signed(np.concatenate(found)), np.concatenate(owners)]
+            part = batch.slice(a, 128)
+            tokens, rows, _place, flags = _open_texts(part, size, width)
+            near = _near(flags, width)
+            tokens, rows = tokens[near], rows[near]
+            order = np.lexsort((tokens, rows))
+            tokens, rows = tokens[order], rows[order]
+            new = np.append(True, (tokens[1:] != tokens[:-1]) | (rows[1:] != rows[:-1]))[:len(tokens)]
+            columns = [w.signed(tokens[new]), part.column("doc_id").to_numpy()[rows[new]]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id"])
 
 
@@ -290,30 +313,34 @@ def _rare_signatures(batches: Iterator[pa.RecordBatch], size: int, width: int, h
     for batch in batches:
         for a in range(0, batch.num_rows, 128):
             part = batch.slice(a, 128)
-            for i, doc, own, flags in _open_texts(part, size):
-                shared = part.column("shared")[i].values
-                keys, n = shared.field("key").to_numpy().view(np.uint64), shared.field("n").to_numpy()
-                order = np.argsort(keys)
-                keys, n = keys[order], n[order]
-                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                times = np.where(keys[at] == own, n[at], 1)
-                sums = np.append(0, np.cumsum(times > 1))
-                flags[: len(own) - width + 1] &= sums[width:] - sums[:-width] >= hits_needed
-                flags[len(own) - width + 1:] = False
-                if not flags.any():
-                    continue
-                tier = np.floor(np.log2(times)).astype(np.uint64)
-                windows, slots = [], Slots(np.zeros(len(own), np.int64))
-                for k in range(HASHES):
-                    mixed = w.mix(own ^ _seed(k))
-                    hashes = np.where(times > 1, (mixed >> np.uint64(6)) | (tier << np.uint64(58)), NONE)
-                    c, left, right = compact_windows(slots, hashes, width)
-                    windows.append((_keys(mixed[c], k), c - left, c, c + right))
-                key, left, c, right = (np.concatenate(x) for x in zip(*windows, strict=True))
-                docs, sig, first, last = joined_windows(np.zeros(len(key), np.int64), key, left, c, right, width)
-                near = np.append(0, np.cumsum(flags))
-                used = near[last + 1] > near[first]
-                yield _pair_batch(np.full(int(used.sum()), doc), sig[used], first[used], last[used])
+            tokens, rows, place, flags = _open_texts(part, size, width)
+            shared = part.column("shared").flatten()
+            keys, first = np.unique(shared.field("key").to_numpy().view(np.uint64), return_index=True)
+            n = shared.field("n").to_numpy()[first]
+            at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
+            times = np.where(keys[at] == tokens, n[at], 1)
+            sums = np.append(0, np.cumsum(times > 1))
+            ends = np.minimum(np.arange(len(tokens)) + width, len(tokens))
+            flags &= sums[ends] - sums[:-1] >= hits_needed
+            # only what lies in open ranges is hashed
+            near = _near(flags, width)
+            if not near.any():
+                continue
+            tier = np.floor(np.log2(times)).astype(np.uint64)
+            cut = np.append(True, ~near[:-1] | (rows[1:] != rows[:-1])) & near
+            stretch, own = np.cumsum(cut)[near], np.flatnonzero(near)
+            windows, slots = [], Slots(stretch)
+            for k in range(HASHES):
+                mixed = w.mix(tokens[own] ^ _seed(k))
+                hashes = np.where(times[own] > 1, (mixed >> np.uint64(6)) | (tier[own] << np.uint64(58)), NONE)
+                c, left, right = compact_windows(slots, hashes, width)
+                windows.append((_keys(mixed[c], k), own[c] - left, own[c], own[c] + right))
+            key, left, c, right = (np.concatenate(x) for x in zip(*windows, strict=True))
+            _docs, sig, lo, hi = joined_windows(np.zeros(len(key), np.int64), key, left, c, right, width)
+            count = np.append(0, np.cumsum(flags))
+            used = count[hi + 1] > count[lo]
+            lo, hi = lo[used], hi[used]
+            yield _pair_batch(part.column("doc_id").to_numpy()[rows[lo]], sig[used], place[lo], place[hi])
 
 
 def _still_open(entries: DataFrame, spans: DataFrame) -> DataFrame:
