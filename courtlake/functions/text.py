@@ -284,9 +284,14 @@ def min_words(fragments: Column) -> Column:
     return F.when(fragments <= 20, 20).otherwise(F.greatest(F.lit(50), F.least(F.floor(fragments / 5), F.lit(200)))).cast("int")
 
 
+def word_count(value: Column, most: int = -1) -> Column:
+    """Number of words; counting ends at `most` if that is positive."""
+    return let(strip(value), lambda s: F.when(s == "", 0).otherwise(F.size(F.split(s, r"(?U)\s+", most))))
+
+
 def fewer_words(value: Column, least: Column, most: int = 200) -> Column:
-    """Whether a text has fewer than `least` words; `least` is at most `most`, so no more words are cut off."""
-    return let(strip(value), lambda s: F.when(s == "", 0).otherwise(F.size(F.split(s, r"(?U)\s+", most + 1)))) < least
+    """Whether a text has fewer than `least` words; `least` is at most `most`, so no more have to be counted."""
+    return word_count(value, most + 1) < least
 
 
 def smell_test(summary: Column, fragments: Column) -> Column:
