@@ -7,8 +7,8 @@ histogram has at most `capacity` rows whatever the size of the corpus.
    pieces first) is used as often as the counts allow.  Best-fit decreasing gives another solution; the better one stays.
 2. Bound.  No packing has fewer sequences than the tokens fill, nor than pieces of more than half a context need.
 3. If the incumbent is above the bound, bin completion: branch over the undominated fillings around the largest piece, best
-   fit first, and prune when the waste so far exceeds what a better solution may waste.  It takes the last pieces of the
-   incumbent, more of them each time, as the first patterns of a large corpus hardly waste anything.  A small corpus is
+   fit first, and prune when the waste so far exceeds what a better solution may waste.  It takes the bins of the
+   incumbent that waste most, more of them each time, as those of a large corpus hardly waste anything.  A small corpus is
    searched whole, so its packing is optimal.
 
 Spark then ranks the pieces of each length (salted, so that a common length is many tasks) and looks each rank up in the
@@ -30,7 +30,7 @@ from courtlake.llm.common import drop_stored, numbered, stored
 
 #: Nodes of one search; a search that ends there leaves the incumbent, whose distance to the bound is in the result.
 NODES = 20_000
-#: Last pieces of the incumbent that are searched anew, one after the other.
+#: Pieces, in the incumbent's most wasteful bins, that are searched anew, one number after the other.
 TAILS = (24, 48, 96)
 #: Ranges that each length is ranked in.
 SALTS = 64
@@ -180,15 +180,19 @@ def dominates(one: Filling, other: Filling) -> bool:
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any packing needs: for every limit, pieces above half a context and what doesn't fit beside them."""
+    """Sequences that any packing needs: for all tokens; for every limit, as many as pieces of that length or more fit into
+    one; and for pieces above half a context with what doesn't fit beside them."""
     best = -(-sum(x * n for x, n in counts.items()) // capacity)
-    for limit in [x for x in counts if 2 * x <= capacity]:
+    for limit in counts:
+        best = max(best, -(-sum(n for x, n in counts.items() if x >= limit) // (capacity // limit)))
+        if 2 * limit > capacity:
+            continue
         alone = sum(n for x, n in counts.items() if x > capacity - limit)
         large = [(x, n) for x, n in counts.items() if 2 * x > capacity and x <= capacity - limit]
         small = sum(x * n for x, n in counts.items() if limit <= x and 2 * x <= capacity)
         room = sum((capacity - x) * n for x, n in large)
         best = max(best, alone + sum(n for _, n in large) + max(0, -(-(small - room) // capacity)))
-    return max(best, sum(n for x, n in counts.items() if 2 * x > capacity))
+    return best
 
 
 def _without(counts: dict[int, int], filling: Filling, bins: int = 1) -> dict[int, int]:
@@ -269,8 +273,10 @@ def plan_patterns(histogram: dict[int, int], capacity: int, nodes: int = NODES,
     best, bound = best_sums(counts, capacity), lower_bound(counts, capacity)
     if size(best) > bound:
         best = min(best, best_fit(counts, capacity), key=size)
+    unused = lambda pattern: capacity - sum(x * n for x, n in pattern[1])
     for tail in tails:
-        # the last bins of the incumbent, up to `tail` pieces
+        # the bins of the incumbent that waste most, up to `tail` pieces
+        best = sorted(best, key=unused)
         bins = [(1, f) for n, f in best for _ in range(min(n, tail))]
         last, pieces = [], 0
         while bins and pieces + sum(n for _, n in bins[-1][1]) <= tail:

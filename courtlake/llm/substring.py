@@ -343,12 +343,13 @@ def _rare_signatures(batches: Iterator[pa.RecordBatch], size: int, width: int, h
             yield _pair_batch(part.column("doc_id").to_numpy()[rows[lo]], sig[used], place[lo], place[hi])
 
 
-def _still_open(entries: DataFrame, spans: DataFrame) -> DataFrame:
-    """Entries of which no passage holds all ranges, in groups where two documents have such."""
+def _still_open(entries: DataFrame, spans: DataFrame, used: list[DataFrame]) -> DataFrame:
+    """Entries of which no passage holds all ranges, in groups where two documents have such; adds the table it reads to `used`."""
     known = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known"))
     closed = F.exists("known", lambda s: (s["lo"] <= F.col("first")) & (s["hi"] >= F.col("last")))
     left = entries.join(known, "doc_id", "left").filter(~F.coalesce(closed, F.lit(False)))
     left = stored(left.select("sig", "doc_id", "first", "last"))
+    used.append(left)
     doubt = left.groupBy("sig").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("sig")
     return left.join(doubt, "sig")
 
@@ -414,8 +415,9 @@ def repeated_passages(
     drop_stored(sigs)
     pairs = stored(met.select("doc_id", block("first").alias("block"), "source", "source_block").distinct())
     spans = compared(pairs)
+    used = [copies, pairs, spans]
 
-    left = stored(_still_open(met, spans))
+    left = stored(_still_open(met, spans, used))
     drop_stored(met)
     closed = spans.groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("known"))
     opened = stored(left.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("open")).join(closed, "doc_id", "left"))
@@ -424,7 +426,7 @@ def repeated_passages(
     common = own.groupBy("key").agg(F.count_distinct("doc_id").alias("n")).filter("n > 1")
     shared = own.join(common, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "n")).alias("shared"))
     rare = texts.join(shared, "doc_id").mapInArrow(lambda it: _rare_signatures(it, size, width, hits_needed), PAIR)
-    open_entries, leaders = stored(_still_open(rare, spans)), LEADERS
+    open_entries, leaders = stored(_still_open(rare, spans, used)), LEADERS
     drop_stored(left, own, opened)
     while not open_entries.isEmpty():
         members = open_entries.groupBy("sig", "doc_id").agg(F.min("first").alias("first"))
@@ -437,7 +439,8 @@ def repeated_passages(
         if not fresh.isEmpty():
             more = compared(fresh)
             pairs, spans = pairs.unionByName(fresh), spans.unionByName(more)
-            rest = _still_open(rest, more)
+            used += [fresh, more]
+            rest = _still_open(rest, more, used)
         before, open_entries, leaders = open_entries, stored(rest), LEADERS * leaders
         drop_stored(before)
     drop_stored(open_entries)
@@ -445,7 +448,7 @@ def repeated_passages(
     whole = whole.filter(F.col("n") >= min_words).select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"), "source")
     found = _merged(spans.select("doc_id", "start_word", "end_word", "source").unionByName(whole))
     result = stored(found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), F.col("source").alias("source_doc_id")))
-    drop_stored(copies)
+    drop_stored(*used)
     return result
 
 
