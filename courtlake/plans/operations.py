@@ -262,7 +262,21 @@ def _judgment_table(spark, sf_dir):
                     F.col("text").alias("content_text"), F.when(i % 2 == 0, " Court view ").alias("court_summary"), F.lit(1).alias("has_content"), F.lit(None).cast("string").alias("summary"), F.size(F.split("text", "\n")).alias("fragment_count"))
 
 
-@query()
+_LIMIT = "(4000 + greatest(0, (n - 100) // 100) * 1000)"
+_TEXT = "regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') <> ''"
+
+
+@query(f"""WITH {SQL_FRAGS}, {SQL_ATTEMPTS}, {_FAILURES}, r AS (SELECT judgment_id, ordinal, {_RENDER} AS t FROM frags),
+s AS (SELECT *, row_number() OVER (PARTITION BY judgment_id ORDER BY ordinal) - 1 AS idx, count(*) OVER (PARTITION BY judgment_id) AS n FROM r WHERE t <> ''),
+b AS (SELECT judgment_id, CAST(floor(idx / greatest(10, ceil(n / 20))) AS INTEGER) AS batch,
+    string_agg(t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY idx) AS batch_text FROM s GROUP BY ALL),
+d AS (SELECT CAST(doc_id AS VARCHAR) AS id, text, len(string_split(text, chr(10))) AS n FROM documents),
+t AS (SELECT d.*, CASE WHEN coalesce(count, 0) < 3 THEN 'primary' WHEN count >= 6 AND epoch({_NOW}) - epoch(last_attempt) < 604800 THEN 'blocked' ELSE 'alternative' END AS tier
+    FROM d LEFT JOIN failures USING (id))
+SELECT id, coalesce(batch, 0) AS batch, coalesce(batch_text, CASE WHEN {_TEXT} THEN text END) AS input_text, CAST(n AS INTEGER) AS n_fragments, CAST({_LIMIT} AS INTEGER) AS max_chars,
+    CAST(greatest(4096, {_LIMIT} // 2 + 1024) AS INTEGER) AS max_tokens, tier, 'Present case: Case ' || id || ' [2020] SGHC 1' AS anchor,
+    CASE WHEN batch_text IS NOT NULL THEN 'fragments' WHEN {_TEXT} THEN 'body' ELSE 'error: nothing to read' END AS input_source
+FROM t LEFT JOIN b ON b.judgment_id = id WHERE tier <> 'blocked'""")
 def summary_inputs(spark, sf_dir):
     """Q4: P4, J4, J9, T2, J7, F19, W8, F17, F18, F21."""
     a = attempts(spark, sf_dir)
