@@ -179,33 +179,34 @@ def search_index(spark, sf_dir):
     return search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")[0]
 
 
-def _search_sql(asked: str, columns: str = "", joined: str = "") -> str:
+def _search_sql(columns: str = "", joined: str = "") -> str:
     return f"""WITH p AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL), l AS (SELECT doc_id, len({_TERMS}) AS terms FROM documents),
-s AS (SELECT count(*) AS n, avg(terms) AS mean FROM l), q AS (SELECT item_id AS query_id, list_distinct({_TERMS.replace('text', asked)}) AS w FROM benchmark),
+s AS (SELECT count(*) AS n, avg(terms) AS mean FROM l), q AS (SELECT item_id AS query_id, list_distinct({_TERMS}) AS w FROM benchmark),
 t AS (SELECT query_id, len(w) AS need, unnest(w) AS term FROM q), df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
 h AS (SELECT query_id, need, doc_id AS id, count(*) AS matched, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * terms / mean))), 6) AS score FROM t JOIN p USING (term) JOIN df USING (term) JOIN l USING (doc_id), s GROUP BY ALL HAVING count(*) = need)
 SELECT query_id, rank, id, score{columns} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM h){joined} WHERE rank <= 10"""
 
 
-@query(_search_sql("substr(text, 1, 40)"))
+def _asked(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+@query(_search_sql())
 def search_queries(spark, sf_dir):
-    """The first words of every benchmark item against all documents."""
+    """All words of every benchmark item against all documents."""
     postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 40).alias("text"))
-    return search.search_many(postings, lengths, asked, 10)
+    return search.search_many(postings, lengths, _asked(spark, sf_dir), 10)
 
 
-@query(_search_sql("text", ", lang, source", " JOIN documents ON doc_id = id"))
+@query(_search_sql(", lang, source", " JOIN documents ON doc_id = id"))
 def search_judgments(spark, sf_dir):
     """Q8: whole items against all documents, with columns of what is found."""
     postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     judgments = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    return search.search_judgments(postings, lengths, asked, judgments, ["lang", "source"])
+    return search.search_judgments(postings, lengths, _asked(spark, sf_dir), judgments, ["lang", "source"])
 
 
-@query(_search_sql("text"))
+@query(_search_sql())
 def search_whole_items(spark, sf_dir):
-    """All words of every benchmark item against all documents."""
-    postings, lengths = search.search_index(table(spark, sf_dir, "documents"), "doc_id", "text")
-    return search.search_many(postings, lengths, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text"), 10)
+    """search_queries under its older name."""
+    return search_queries(spark, sf_dir)

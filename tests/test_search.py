@@ -4,10 +4,13 @@ import math
 import re
 from collections import Counter
 
+import pytest
+
 from courtlake.plans import judgments
 
 
-def test_search_whole_items(spark, tmp_path):
+@pytest.mark.parametrize("name", ["search_queries", "search_whole_items"])
+def test_search_whole_items(spark, tmp_path, name):
     fill = "the quick brown fox jumps over the lazy dog near a river bank "
     texts = {k: fill * (1 + k % 3) + ("jurisdiction " * (k % 4)) + ("appeal dismissed" if k % 2 else "") for k in range(1, 25)}
     items = {1: "the quick brown fox jumps over the lazy jurisdiction", 2: "The quick brown fox jumps over the lazy dog; appeal dismissed", 3: "the quick brown fox jumps over the lazy dog never", 4: "river"}
@@ -24,6 +27,6 @@ def test_search_whole_items(spark, tmp_path):
                 idf = {x: math.log(1 + (len(tf) - (df := sum(x in o for o in tf.values())) + 0.5) / (df + 0.5)) for x in need}
                 found.append((-round(sum(idf[x] * c[x] * 2.2 / (c[x] + 1.2 * (0.25 + 0.75 * size[i] / mean)) for x in need), 6), i))
         want |= {(q, k + 1): (i, -s) for k, (s, i) in enumerate(sorted(found)[:10])}
-    got = {(r.query_id, r["rank"]): (r.id, r.score) for r in judgments.search_whole_items(spark, str(tmp_path)).collect()}
+    got = {(r.query_id, r["rank"]): (r.id, r.score) for r in getattr(judgments, name)(spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() and {q for q, _ in got} == {1, 2, 4}
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
