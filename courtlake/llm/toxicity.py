@@ -72,22 +72,23 @@ def _counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
             docs, features = text_features(data, offsets, bits)
             own = grades[first:last]
             for g in np.unique(own):
-                totals.setdefault(int(g), np.zeros(1 << bits, np.int64))
+                if int(g) not in totals:
+                    totals[int(g)] = np.zeros(1 << bits, np.int32)  # texts of one partition
                 at, n = np.unique(features[own[docs] == g], return_counts=True)
                 totals[int(g)][at] += n
     for g, n in totals.items():
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(np.full(len(at), g, np.int32)), pa.array(n[at])], ["feature", "grade", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(np.full(len(at), g, np.int32)), pa.array(n[at].astype(np.int64))], ["feature", "grade", "n"])
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    index = np.full(1 << bits, -1, np.int64)
+    index = np.full(1 << bits, -1, np.int32)
     index[features] = np.arange(len(features))
     for batch in batches:
         for first, last, data, offsets in w.chunks(batch.column("text")):
             docs, own = text_features(data, offsets, bits)
             keep = index[own] >= 0
-            lists = np.split(index[own][keep].astype(np.int32), np.searchsorted(docs[keep], np.arange(1, last - first)))
+            lists = np.split(index[own][keep], np.searchsorted(docs[keep], np.arange(1, last - first)))
             own_rows = [batch.column(c).slice(first, last - first) for c in ("doc_id", "grade")]
             yield pa.RecordBatch.from_arrays([*own_rows, pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], ["doc_id", "grade", "columns"])
 

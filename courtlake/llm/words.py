@@ -1,4 +1,4 @@
-"""Word and shingle hashing over Arrow text columns, one numpy pass per few megabytes of text.
+"""Word and shingle hashing over Arrow text columns, one numpy pass per few hundred kilobytes of text.
 
 The functions work on the UTF-8 bytes of many documents at once.  Separators are ASCII bytes, so words never
 depend on how a batch was cut.  Hashes are 64-bit and depend on the words alone, not on place, batch or process.
@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that one numpy pass takes; its work arrays hold about 200 bytes for each of them.
+CHUNK_BYTES = 1 << 18
 
 _RNG = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
