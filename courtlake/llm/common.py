@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 #: Most rows and bytes of a table that is broadcast; beyond either a shuffled join is used.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+#: Bytes of an Arrow batch between Spark and Python where the session sets no limit of its own.
+BATCH_BYTES = 4 << 20
 
 
 def _bytes(value: Column, kind: T.DataType) -> Column:
@@ -77,5 +79,11 @@ def lower_ascii(text: Column) -> Column:
 
 
 def numbered(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The id and text columns alone, named doc_id (long) and text: extra columns can't clash with an operator's own."""
+    """The id and text columns alone, named doc_id (long) and text: extra columns can't clash with an operator's own.
+
+    Sets the session's limit of bytes in an Arrow batch, unless the user has set one.
+    """
+    conf, limit = documents.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(limit, None) is None:
+        conf.set(limit, str(BATCH_BYTES))
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
