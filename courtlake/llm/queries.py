@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtlake.llm import decontaminate, html_extract, ngram_join, packing, quality, sharding, substring, token_counts, toxicity, url_filter
+from courtlake.llm import byte_bpe, centroids, decontaminate, html_extract, ngram_join, packing, quality, ranked_search, sharding, substring
+from courtlake.llm import token_counts, toxicity, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -139,3 +140,59 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="start")
+
+
+@_query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 clusters of all vectors after five rounds."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def _clustering_sql(k: int, rounds: int) -> str:
+    parts = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x AS y FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k})"""]
+    near = """SELECT vec_id, x, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT vec_id, x, c, list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, {0}) GROUP BY vec_id, x"""
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({near.format(f'c{r}')})")
+        parts.append(f"""m{r} AS (SELECT c, list(z ORDER BY i) AS y FROM (SELECT c, i, (s - ((s % n) + n) % n) // n AS z FROM (
+    SELECT c, i, CAST(sum(e) AS BIGINT) AS s, count(*) AS n FROM (SELECT c, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY c, i)) GROUP BY c)""")
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.y, o.y) AS y FROM c{r} o LEFT JOIN m{r} m USING (c))")
+    parts.append(f"a{rounds} AS MATERIALIZED ({near.format(f'c{rounds}')})")
+    return f"""WITH {', '.join(parts)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(y, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+ORACLES["op11_centroid_clustering"] = _clustering_sql(40, 5)
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents of highest score for every benchmark item."""
+    return ranked_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+_TERMS12 = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+ORACLES["op12_ranked_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS12} AS w FROM documents),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+t AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY term, big_n),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS12}) AS term FROM benchmark) GROUP BY ALL),
+x AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+    FROM q JOIN f USING (term) JOIN t USING (term), s GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@_query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the ranks of a multilingual vocabulary, and what they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.digests(encoded, byte_bpe.read_ranks(path))
