@@ -70,42 +70,52 @@ def split_words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def rank_lookup(ranks: dict[bytes, int]):
-    """A function from the hex of a token to its rank (null if there is none), over one literal array of small maps."""
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """Ranks by the hex of a token: one literal array of small maps, since Spark reads a map from front to back."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for token, k in ranks.items():
         name = token.hex().upper()
         buckets[zlib.crc32(name.encode()) % BUCKETS][name] = k
-    literal = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
-    return lambda name: F.try_element_at(F.element_at(literal, (F.crc32(name.cast("binary")) % BUCKETS + 1).cast("int")), name)
+    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
 
 
-def fold_word(word: Column, rank) -> Column:
-    """Ids of one word that isn't empty."""
-    none = F.array().cast("array<int>")
-    item = lambda a, i: F.element_at(a, i)
-    parts = F.regexp_extract_all(F.hex(word), F.lit(".."), F.lit(0))
-    pairs = F.when(F.size(parts) < 2, none).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: rank(F.concat(item(parts, i), item(parts, i + 1)))))
+def _let(value: Column, f) -> Column:
+    """f of a value that is computed once."""
+    return F.transform(F.array(value), f)[0]
 
-    def step(state: Column, _: Column) -> Column:
-        best = F.array_min(state["ranks"])
-        at = F.array_position(state["ranks"], best).cast("int")
-        token = F.concat(item(state["parts"], at), item(state["parts"], at + 1))
 
-        def merge(m: Column) -> Column:
-            i, new, p, r = m["at"], m["token"], state["parts"], state["ranks"]
-            left = F.when(i > 1, F.array(rank(F.concat(item(p, F.greatest(i - 1, F.lit(1))), new)))).otherwise(none)
-            right = F.when(i + 2 <= F.size(p), F.array(rank(F.concat(new, item(p, F.least(i + 2, F.size(p))))))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, F.size(p))).alias("parts"),
-                F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(p))).alias("ranks"))
+def fold_words(words: Column, table: Column) -> Column:
+    """Ids of each word of an array by a rank_map(); null for words of more than LONG bytes."""
+    return _let(table, lambda t: F.transform(words, lambda x: F.when(F.octet_length(x) <= LONG, _fold(F.hex(x), t))))
+
+
+def _fold(name: Column, table: Column) -> Column:
+    """Ids of one word, given in hex, that isn't empty."""
+    rank = lambda n: F.try_element_at(F.element_at(table, (F.crc32(n.cast("binary")) % BUCKETS + 1).cast("int")), n)
+    item = F.element_at
+
+    def begin(parts: Column) -> Column:
+        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), lambda a, b: rank(F.concat(a, b)))
+        return F.struct(parts.alias("parts"), pairs.alias("ranks"))
+
+    def merge(p: Column, r: Column, i: Column, new: Column) -> Column:
+        """The pieces with the pair at i made one, and the ranks of its pairs with its neighbours looked up anew."""
+        left = F.transform(F.slice(p, F.greatest(i - 1, F.lit(1)), F.least(i - 1, F.lit(1))), lambda a: F.concat(a, new))
+        right = F.transform(F.slice(p, i + 2, 1), lambda b: F.concat(new, b))
+        return F.struct(
+            F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, F.size(p))).alias("parts"),
+            F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), F.transform(F.concat(left, right), rank), F.slice(r, i + 2, F.size(p))).alias("ranks"))
+
+    def step(state: Column, _: Column) -> Column:
+        p, r = state["parts"], state["ranks"]
+        at = F.array_position(r, F.array_min(r)).cast("int")
+        return F.when(F.array_min(r).isNull(), state).otherwise(_let(at, lambda i: _let(F.concat(item(p, i), item(p, i + 1)), lambda new: merge(p, r, i, new))))
 
-        return F.when(best.isNull(), state).otherwise(F.transform(F.array(F.struct(at.alias("at"), token.alias("token"))), merge)[0])
+    def folded(parts: Column) -> Column:
+        return F.aggregate(F.slice(parts, 2, F.size(parts)), begin(parts), step, lambda s: F.transform(s["parts"], rank))
 
-    whole = rank(F.hex(word))
-    folded = F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), F.struct(parts.alias("parts"), pairs.alias("ranks")), step, lambda s: F.transform(s["parts"], rank))
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+    bytes_of = F.regexp_extract_all(name, F.lit(".."), F.lit(0))
+    return _let(rank(name), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(_let(bytes_of, folded)))
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -165,17 +175,16 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(joined(kept))
 
 
-def _frequent(words: DataFrame, head: int) -> DataFrame:
-    """The words of most occurrences: as many whole classes of counts (by binary digits) as `head` holds."""
-    counted = words.mapInArrow(_count_words, "hash long, word string, n long").groupBy("hash", "word").agg(F.sum("n").alias("n"))
-    counted = counted.persist()
+def _dictionary(words: DataFrame, head: int, table: Column) -> pa.Table:
+    """(hash, ids) of the words of most occurrences: as many whole classes of counts (by binary digits) as `head` holds."""
+    counted = words.mapInArrow(_count_words, "hash long, word string, n long").groupBy("hash", "word").agg(F.sum("n").alias("n")).persist()
     try:
         least, room = 1 << 62, head
         for r in counted.groupBy(F.length(F.bin("n")).alias("digits")).count().orderBy(F.desc("digits")).collect():  # 64 rows at most
             if r["count"] > room:
                 break
             least, room = 1 << (r.digits - 1), room - r["count"]
-        return counted.filter(F.col("n") >= least).select("hash", "word").toArrow()
+        return counted.filter(F.col("n") >= least).select("hash", fold_words(F.array("word"), table)[0].alias("ids")).toArrow()
     finally:
         counted.unpersist()
 
@@ -236,20 +245,16 @@ def encode(documents: DataFrame, path: str, pattern: str, head: int = HEAD, id_c
     rows; other columns are ignored.  `head` bounds the words that are broadcast and changes the work, not the result.
     """
     spark = documents.sparkSession
-    ranks = read_ranks(path)
-    rank = rank_lookup(ranks)
+    table = rank_map(read_ranks(path))
     rows = numbered(documents, id_col, text_col).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
-    frequent = _frequent(rows.select("words"), head)
-    table = spark.createDataFrame(frequent.to_pandas() if frequent.num_rows else [], "hash long, word string")
-    folded = table.select("hash", fold_word(F.col("word"), rank).alias("ids")).toArrow()
+    folded = _dictionary(rows.select("words"), head, table)
     known = folded["hash"].to_numpy().view(np.uint64)
     order = np.argsort(known)
     ids = folded["ids"].combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.list_(pa.int32()))
     shared = spark.sparkContext.broadcast((known[order], ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
     looked_up = rows.mapInArrow(lambda it: _look_up(it, shared), "doc_id long, ids array<int>, rare array<string>")
-    coded = F.transform("rare", lambda x: F.when(F.octet_length(x) <= LONG, fold_word(x, rank)))
-    return looked_up.withColumn("coded", coded).mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>")
+    return looked_up.withColumn("coded", fold_words(F.col("rare"), table)).mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

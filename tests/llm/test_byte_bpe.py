@@ -53,8 +53,8 @@ def test_long_runs_neither_crash_nor_take_quadratic_time(spark):
 def test_heap_and_fold_agree(spark, library):
     ranks = byte_bpe.read_ranks(PATH)
     words = ["internationalisation", "aaaaaaaaaaaaaaaaaaaaaaaaa", "日本語日本語日本語", "zxcvbnmasdfghjklqwertyuiop" * 4]
-    rank = byte_bpe.rank_lookup(ranks)
-    rows = spark.createDataFrame([(x,) for x in words], "word string").select("word", byte_bpe.fold_word(F.col("word"), rank).alias("ids")).collect()
+    folded = byte_bpe.fold_words(F.array("word"), byte_bpe.rank_map(ranks))[0]
+    rows = spark.createDataFrame([(x,) for x in words], "word string").select("word", folded.alias("ids")).collect()
     for r in rows:
         assert list(r.ids) == byte_bpe.merge_long(r.word.encode(), ranks) == library.encode_ordinary(r.word)
 
