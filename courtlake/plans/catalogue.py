@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtlake.plans import judgments, listing, operations
+from courtlake.plans import archives, judgments, listing, operations  # noqa: F401
 from courtlake.plans.registry import ORACLES, QUERIES
 
 flagship = listing.flagship_courts

@@ -1,4 +1,4 @@
-"""Search with whole texts against brute force."""
+"""Search with whole texts against brute force, and the stored index."""
 
 import math
 import re
@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from courtlake.operators import search
 from courtlake.plans import judgments
 
 
@@ -30,3 +31,23 @@ def test_search_whole_items(spark, tmp_path, name):
     got = {(r.query_id, r["rank"]): (r.id, r.score) for r in getattr(judgments, name)(spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() and {q for q, _ in got} == {1, 2, 4}
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_batches_blocks_and_skipping_give_the_same_as_one_index(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * j) % 13}" for j in range(1 + i % 9)) + " common" * (1 + i % 5)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "id long, content_text string")
+    asked = spark.createDataFrame([(1, "common"), (2, "common w3"), (3, "w1 w2 w3"), (4, "w1 nowhere"), (5, None), (6, "W12 Common")], "query_id long, text string")
+    one, many = f"{tmp_path}/one", f"{tmp_path}/many"
+    search.add_to_index(docs, one, "all")
+    for part in range(3):
+        for _ in range(1 + part % 2):  # a repeated batch replaces itself
+            search.add_to_index(docs.filter(f"id % 3 = {part}"), many, f"p{part}")
+    assert search.read_postings(spark, one).filter("term = 'common'").count() > 8
+    assert search.read_postings(spark, many).groupBy("term").sum("n").collect().__len__() == 14
+    want = sorted(map(tuple, search.search_stored(spark, one, asked, 5, first=10**6).collect()))  # nothing is left to skip
+    assert {q for q, *_ in want} == {1, 2, 3, 6}
+    for path, first in ((one, 1), (many, 1), (many, 0)):
+        found = search.search_stored(spark, path, asked, 5, first=first)
+        assert sorted(map(tuple, found.collect())) == want
+    # the plan reads what the search stored, not the index and not the documents
+    assert all("/search-" in f or "/many/sizes" in f for f in found.inputFiles())
