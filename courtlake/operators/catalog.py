@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtlake.functions import text
+from courtlake.operators import folds
 
 CONTENT = {"content_text": "string", "court_summary": "string", "summary": "string"}
 PHASE2 = {"has_content": "int", "has_court_summary": "int", "fragment_count": "int", "extracted_at": "string"}
 PHASE3 = {"summary_generated_at": "string"}
+#: Listing pages of a chunk, when a crawl run is folded.
+PAGES = 1000
 
 
 def valid_cards(cards: DataFrame) -> DataFrame:
@@ -52,8 +55,8 @@ def first_occurrence(items: DataFrame, *order: str) -> DataFrame:
 def stop_after_known_run(items: DataFrame, catalog: DataFrame, n: int = 5, run: str = "run_id") -> DataFrame:
     """Rows of each crawl run, in (page, pos, id) order, up to the n-th known id in a row, with a `known` flag.
 
-    An id that came before in the run counts as known.  Flags are folded to one row per page first; only these rows, a
-    tenth or less of the listing, are put in order over a whole run.
+    An id that came before in the run counts as known.  Flags are folded to one row per page and pages by chunks of PAGES; only
+    a row a chunk is put in order over a whole run.
     """
     listed = items.join(catalog.select("id", F.lit(True).alias("_in")).distinct(), "id", "left")
     seen = F.row_number().over(Window.partitionBy(run, "id").orderBy("page", "pos")) > 1
@@ -62,11 +65,13 @@ def stop_after_known_run(items: DataFrame, catalog: DataFrame, n: int = 5, run:
     pages = flagged.groupBy(run, "page").agg(rows.alias("rows")).withColumn("flags", F.transform("rows", lambda r: r["known"]))
     size, first = F.size("flags"), F.array_position("flags", False)
     last = F.array_position(F.reverse("flags"), False)
-    order = Window.partitionBy(run).orderBy("page")
-    before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pages = pages.withColumn("_before", before).withColumn("_lead", F.when(first > 0, first - 1).otherwise(size))
-    unknown = F.when(last > 0, F.col("_before") + size - last + 1)
-    carried = F.col("_before") - F.coalesce(F.max(unknown).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # sizes and last unknown places of all pages before, by chunks of pages
+    chunk = F.floor(F.col("page") / PAGES).cast("long")
+    pages = pages.withColumn("_lead", F.when(first > 0, first - 1).otherwise(size)).withColumn("_size", size.cast("long"))
+    pages = folds.scan_before(pages, [run], "page", chunk, _before=("sum", F.col("_size")))
+    pages = pages.withColumn("_unknown", F.when(last > 0, F.col("_before") + size - last + 1))
+    pages = folds.scan_before(pages, [run], "page", chunk, _latest=("max", F.col("_unknown")))
+    carried = F.col("_before") - F.coalesce("_latest", F.lit(0))
     within = F.filter(F.sequence(F.lit(n), size), lambda i: F.forall(F.slice("flags", i - n + 1, n), lambda k: k))
     inside = F.when(size >= n, F.try_element_at(within, F.lit(1)))
     own = F.least(F.when(F.col("_lead") >= F.greatest(n - carried, F.lit(1)), F.greatest(n - carried, F.lit(1))), inside)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.functions import text
+from courtlake.operators import folds
 
 
 def ledger_from_attempts(attempts: DataFrame, longest_error: int = 500) -> DataFrame:
@@ -33,12 +34,10 @@ def with_tier(backlog: DataFrame, ledger: DataFrame, now, alternative: int = 3,
     return joined.withColumn("tier", tier).withColumn("priority", (F.coalesce("failures", F.lit(0)) >= alternative).cast("int")).drop("_last")
 
 
-def breaker_trips(attempts: DataFrame, n: int = 5, run: str = "run_id") -> DataFrame:
+def breaker_trips(attempts: DataFrame, n: int = 5, run: str = "run_id", chunks: int | None = None) -> DataFrame:
     """Per run and phase, trips of a breaker after n failures in a row, successes and attempts.
 
-    A success or a trip starts the count anew, so 2n failures in a row trip twice.
+    A success or a trip starts the count anew, so 2n failures in a row trip twice.  Runs are folded by chunks, so that a long one
+    is not left to one task; `chunks` is the number of shuffle partitions if not given.
     """
-    order = Window.partitionBy(run, "phase").orderBy("ts", "seq")
-    island = F.sum(F.col("ok").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    runs = attempts.withColumn("_island", island).groupBy(run, "phase", "_island").agg(F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("ok")).alias("passed"))
-    return runs.groupBy(run, "phase").agg(F.sum(F.floor(F.col("failed") / n)).cast("long").alias("trips"), F.sum("passed").alias("successes"), F.sum(F.col("failed") + F.col("passed")).alias("attempts"))
+    return folds.failure_runs(attempts, n, run, chunks)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from courtlake.functions import text
 from courtlake.operators import ledger, monitor, summaries
 from courtlake.plans.registry import SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
 from courtlake.sources import files
+from courtlake.sources.scratch import new_folder
 from courtlake.streaming import streams
 
 _LEDGER = """cleared AS (SELECT id, max((ts, seq)) AS c FROM attempts WHERE ok GROUP BY id),
@@ -410,27 +410,28 @@ def stream_ledger(spark, sf_dir):
     at = _shared(spark)
     stream = streams.stream_ledger(a, F.lit("2000-01-01"), alternative=1, hard=2).select("id", "count", "tier")
     write = lambda b, k: b.withColumn("batch", F.lit(k)).write.mode("append").parquet(f"{at}/out")
+    with _rocksdb(spark):
+        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").groupBy("id").agg(F.max_by("count", "batch").alias("count"), F.max_by("tier", "batch").alias("tier"))
+
+
+# streams
+
+
+@contextmanager
+def _rocksdb(spark):
+    """The state store that stateful processors need; the session's own afterwards."""
     store = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(store)
     spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+        yield
     finally:
         spark.conf.set(store, before)
-    return spark.read.parquet(f"{at}/out").groupBy("id").agg(F.max_by("count", "batch").alias("count"), F.max_by("tier", "batch").alias("tier"))
-
-
-# streams
 
 
 def _shared(spark) -> str:
-    """A new folder in the one that the cluster shares; a machine-local one only for a session whose master is local."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if at is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="spark-")
-    return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return new_folder(spark, "stream")
 
 
 def _event_stream(spark, sf_dir):
@@ -463,3 +464,53 @@ def stream_new_items(spark, sf_dir):
 
     streams.stream_new_items(items, known, lambda df: df.write.mode("append").parquet(f"{at}/out"), f"{at}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out")
+
+
+_FILES = 6
+_SQL_DELIVERED = f"""d0 AS (SELECT *, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS day, (SELECT date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1 FROM events) AS days FROM events),
+delivered AS (SELECT * EXCLUDE (day, days), least(day * {_FILES} // days + CASE WHEN event_id % 10 = 0 THEN 3 ELSE 0 END, {_FILES - 1}) AS f FROM d0),
+tops AS (SELECT f, max(ts) AS top FROM delivered GROUP BY f)"""
+
+
+def _delivered(spark, sf_dir, late: bool):
+    """Events as a stream of files in order of time; with `late`, each 10th event comes three files later."""
+    e, at = table(spark, sf_dir, "events"), _shared(spark)
+    span = e.agg(F.to_date(F.min("ts")).alias("low"), (F.datediff(F.max("ts"), F.min("ts")) + 1).alias("days"))
+    shift = F.when(F.col("event_id") % 10 == 0, 3 if late else 0).otherwise(0)
+    dealt = e.join(F.broadcast(span)).withColumn("f", F.least(F.expr(f"cast(datediff(ts, low) * {_FILES} div days as int)") + shift, F.lit(_FILES - 1))).drop("low", "days")
+    for k in range(_FILES):
+        dealt.filter(F.col("f") == k).drop("f").coalesce(1).write.mode("append").parquet(f"{at}/in")
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in"), at
+
+
+@query(f"""WITH {_SQL_DELIVERED}, limits AS (SELECT a.f, (SELECT max(top) FROM tops b WHERE b.f <= a.f - 2) - INTERVAL 1 DAY AS mark FROM tops a),
+e AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type AS status, 'm' || user_id % 2 AS model, coalesce(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= mark, false) AS late FROM delivered JOIN limits USING (f))
+SELECT start, status, model, count(*) AS attempts, CASE WHEN start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) THEN 'closed' ELSE 'open' END AS state FROM e WHERE NOT late GROUP BY ALL
+UNION ALL SELECT NULL, NULL, NULL, count(*), 'late' FROM e WHERE late""")
+def stream_progress_late(spark, sf_dir):
+    """X1 in append mode: windows leave the state behind the watermark, late rows are left out and counted."""
+    log, at = _delivered(spark, sf_dir, late=True)
+    log = log.select(F.lit("attempt").alias("event"), F.col("ts").cast("string").alias("ts"), F.col("event_type").alias("status"), F.concat(F.lit("m"), (F.col("user_id") % 2).cast("string")).alias("model"))
+    write = streams.stream_progress(log, "1 day", "1 day").writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state")
+    write.trigger(availableNow=True).start().awaitTermination()
+    columns = ["start", "status", "model", "attempts"]
+    closed = spark.read.parquet(f"{at}/out").select(*columns, F.lit("closed").alias("state"))
+    kept = closed.unionByName(streams.open_windows(spark, f"{at}/state").select(*columns, F.lit("open").alias("state")))
+    read = table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("read"))
+    late = kept.agg(F.coalesce(F.sum("attempts"), F.lit(0)).alias("kept")).join(F.broadcast(read)).select((F.col("read") - F.col("kept")).alias("attempts"))
+    none = {"start": "timestamp", "status": "string", "model": "string"}
+    return kept.unionByName(late.select(*(F.lit(None).cast(t).alias(c) for c, t in none.items()), "attempts", F.lit("late").alias("state")))
+
+
+@query(f"""WITH {SQL_ATTEMPTS}, {_LEDGER}, l AS (SELECT DISTINCT a.id, coalesce(g.count, 0) AS n, g.last_attempt FROM attempts a LEFT JOIN ledger g USING (id))
+SELECT id, CAST(n AS INTEGER) AS count, CASE WHEN n < 1 THEN 'primary' WHEN n >= 2 AND (SELECT max(ts) FROM events) <= last_attempt + INTERVAL 3 DAY THEN 'blocked' ELSE 'alternative' END AS tier FROM l""")
+def stream_ledger_timers(spark, sf_dir):
+    """X4 with timers: two failures in a row block an id for three days after its last attempt."""
+    e, at = _delivered(spark, sf_dir, late=False)
+    a = e.select(F.col("user_id").cast("string").alias("id"), "ts", F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("ok"), F.lit("e").alias("error"))
+    stream = streams.stream_ledger_timed(a, alternative=1, hard=2, seconds=3 * 86_400).select("id", "count", "tier", "at")
+    write = lambda b, k: b.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{at}/out/batch_no={k}")
+    with _rocksdb(spark):
+        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    last = F.struct("batch", "at")
+    return spark.read.parquet(f"{at}/out").groupBy("id").agg(F.max_by("count", last).alias("count"), F.max_by("tier", last).alias("tier"))

@@ -90,3 +90,61 @@ def stream_ledger(attempts: DataFrame, now: Column | None = None, **tiers: int)
     )
     at = F.current_timestamp() if now is None else now
     return entries.withColumn("tier", text.summary_tier(F.col("count"), F.col("last_attempt").cast("string"), at, **tiers))
+
+
+class TimedLedgerState(StatefulProcessor):
+    """Failures of one id since its last success, with a timer that ends a block."""
+
+    def __init__(self, alternative: int, hard: int, seconds: int) -> None:
+        self.alternative, self.hard, self.seconds = alternative, hard, seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.entry = handle.getValueState("entry", "count int, last_error string, last_ms long")
+
+    def _row(self, key, tier: str, at: int, count: int = 0, error=None, last=None) -> pd.DataFrame:
+        return pd.DataFrame({"id": [key[0]], "count": [count], "last_error": [error], "last_ms": pd.array([last], "Int64"), "tier": [tier], "at_ms": [at]})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        count, error, last = self.entry.get() if self.entry.exists() else (0, None, None)
+        for row in pd.concat(rows).sort_values(["ts", "seq"]).itertuples():
+            count, error, last, at = (0, None, None, row.ms) if row.ok else (count + 1, row.error, row.ms, row.ms)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if not count:
+            self.entry.clear()
+            yield self._row(key, "primary", at)
+            return
+        self.entry.update((count, error, last))
+        if count >= self.hard:
+            self.handle.registerTimer(last + self.seconds * 1000)
+        tier = "blocked" if count >= self.hard else "alternative" if count >= self.alternative else "primary"
+        yield self._row(key, tier, at, count, error, last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        count, error, last = self.entry.get()
+        yield self._row(key, "alternative", expiredTimerInfo.getExpiryTimeInMs(), count, error, last)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_ledger_timed(attempts: DataFrame, alternative: int = 3, hard: int = 6, seconds: int = 604_800, late: str = "0 seconds") -> DataFrame:
+    """X4 with timers: changes of the ledger (id, count, last_error, last_attempt, tier, at); use the RocksDB state store.
+
+    An id with `hard` failures since its last success is blocked.  When the watermark passes `seconds` after its last attempt it
+    goes back to the alternative tier, also if nothing more is heard of it; a new attempt starts the time anew, and a success
+    clears entry and timer.  Attempts (id, ts, seq, ok, error) older than the watermark by `late` are left out.
+    """
+    timed = attempts.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("ms", F.unix_millis("ts")).withWatermark("ts", late)
+    found = timed.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=TimedLedgerState(alternative, hard, seconds), outputMode="Update", timeMode="EventTime",
+        outputStructType="id string, count int, last_error string, last_ms long, tier string, at_ms long",
+    )
+    return found.select("id", "count", "last_error", F.timestamp_millis("last_ms").alias("last_attempt"), "tier", F.timestamp_millis("at_ms").alias("at"))
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a stopped stream_progress() query still holds: start, status, model, attempts."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.window.start", "key.status", "key.model", F.col("value.count").alias("attempts"))
