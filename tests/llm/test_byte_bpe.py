@@ -72,3 +72,13 @@ def test_digests_empty_table_and_bad_ranks(spark, docs, empty, library, tmp_path
     (tmp_path / "bad").write_text("YQ== 0\n")
     with pytest.raises(ValueError):
         byte_bpe.read_ranks(str(tmp_path / "bad"))
+
+
+def test_unknown_ids_end_the_job_and_null_stays_null(spark):
+    ranks = byte_bpe.read_ranks(PATH)
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [0, 1])], "i int, ids array<int>")
+    got = {r.i: r.raw for r in rows.select("i", byte_bpe.decode(F.col("ids"), ranks).alias("raw")).collect()}
+    assert got == {1: None, 2: b"", 3: b'!"'}
+    for bad in (len(ranks), -1, None):
+        with pytest.raises(Exception, match="no token"):
+            spark.createDataFrame([([0, bad],)], "ids array<int>").select(byte_bpe.decode(F.col("ids"), ranks)).collect()
