@@ -14,6 +14,7 @@ Decoding looks up the bytes of each id and joins them.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import zlib
@@ -33,7 +34,7 @@ HEAD = 1 << 20
 #: Words of more bytes are merged with a heap, since a fold takes time as the square of a word's length.
 LONG = 256
 #: Distinct words that a task counts before it passes them on.
-HELD_WORDS = 1 << 19
+HELD_WORDS = 1 << 18
 BUCKETS = 1 << 14
 
 # Letters and numbers of Unicode 14 to 16, which the tokenizer knows and a Java of Unicode 13 doesn't.
@@ -238,11 +239,16 @@ def _splice(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         out = np.repeat(flat, sizes).astype(np.int32)
         if len(holes):
             out[_ragged(before[holes], sizes[holes])] = coded.flatten().to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(before[edges].astype(np.int32)), pa.array(out))], ["doc_id", "ids"])
+        edges = before[edges]
+        prints = [hashlib.sha256(out[a:b].astype("<u4").tobytes()).hexdigest() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(out))
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(prints, pa.string())], ["doc_id", "ids", "ids_sha256"])
 
 
 def encode(documents: DataFrame, path: str, pattern: str, head: int = HEAD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every whole text, without special tokens: each match of the pattern is encoded by itself.
+    """doc_id, ids (array of int) of every whole text, and the sha256 of the ids as little-endian 32-bit integers.
+
+    No special tokens are made; each match of the pattern is encoded by itself.
 
     Null and empty texts have no ids.  Rows that repeat an id are encoded one by one and null ids are kept; an empty table gives no
     rows; other columns are ignored.  `head` bounds the words that are broadcast and changes the work, not the result.
@@ -257,7 +263,7 @@ def encode(documents: DataFrame, path: str, pattern: str, head: int = HEAD, id_c
     shared = spark.sparkContext.broadcast((known[order], ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
 
     looked_up = rows.mapInArrow(lambda it: _look_up(it, shared), "doc_id long, ids array<int>, rare array<string>")
-    return looked_up.withColumn("coded", fold_words(F.col("rare"), table)).mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>")
+    return looked_up.withColumn("coded", fold_words(F.col("rare"), table)).mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>, ids_sha256 string")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -274,17 +280,7 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.when(ids.isNotNull(), F.coalesce(joined, F.raise_error(F.lit("an id has no token"))))
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import hashlib
-
-    for batch in batches:
-        lists = batch.column(1)
-        flat, edges = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        found = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges).astype(np.int64)), pa.array(found, pa.string()), batch.column(2)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """doc_id, n_tokens, sha256 of the ids as little-endian 32-bit integers, and sha256 of the decoded bytes."""
-    decoded = encoded.select("doc_id", "ids", F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
-    return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    decoded = F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", decoded)
