@@ -10,7 +10,8 @@ least as long as the shortest passage count: about 2 / 47 of the tokens for pass
    two min-hashes.  Two passages of similarity 0.8 agree in two of five functions with a probability of 0.993.
    Documents are grouped by these pairs of hashes.
 3. Every document of a group meets the group's first document (smallest id).  The words around both windows are compared: a
-   passage is a union of ranges of which enough shingles occur in the other.  Rows stay linear in the groups' sizes.
+   passage is a union of ranges of which enough shingles occur in one range of the other, in about the same order.  Rows stay
+   linear in the groups' sizes.
 4. Ranges that this leaves open, in groups where at least two documents have such, are hashed anew with their shingles
    ordered from rare to common; shingles of one document don't count, nor do ranges in which too few are left.  A common
    phrase then brings ranges together only if they share little else.  Open documents of the new groups meet the first
@@ -206,14 +207,49 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             yield _pair_batch(ids[own], sig, first, last)
 
 
+def aligned_hits(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """First tokens of ranges of `width` that agree with one place of `other`, and the tokens that agree there.
+
+    A token at i agrees with an equal one at j; j - i says how far they are apart.  Of a range enough tokens must agree at
+    distances that differ by less than a quarter of the width, so the agreeing tokens of `other` lie in one range too, as
+    long as that or a quarter longer, in about the same order.
+    """
+    good, agreeing = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
+    if len(tokens) < width:
+        return np.flatnonzero(good), agreeing
+    order = np.argsort(other, kind="stable")
+    ranked = other[order]
+    low, high = np.searchsorted(ranked, tokens), np.searchsorted(ranked, tokens, side="right")
+    enough = lambda hit: (sums := np.append(0, np.cumsum(hit)))[width:] - sums[:-width] >= hits_needed
+    if not enough(high > low).any():
+        return np.flatnonzero(good), agreeing
+    counts = high - low
+    own = np.repeat(np.arange(len(tokens)), counts)
+    there = order[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(len(own))]
+    step = max(1, width // 8)
+    band = (there - own) // step
+    by_band = np.argsort(band, kind="stable")
+    own, bands = own[by_band], band[by_band]
+    names, begin = np.unique(bands, return_index=True)
+    ends = np.append(begin[1:], len(bands))
+    for k, (name, a, z) in enumerate(zip(names.tolist(), begin.tolist(), ends.tolist(), strict=True)):
+        if k + 1 < len(names) and names[k + 1] == name + 1:  # a band and the one after it
+            z = int(ends[k + 1])
+        if z - a < hits_needed:
+            continue
+        hit = np.zeros(len(tokens), bool)
+        hit[own[a:z]] = True
+        fits = np.flatnonzero(enough(hit))
+        if len(fits):
+            good[fits] = True
+            agreeing |= hit & _near(good, width)
+    return np.flatnonzero(good), agreeing
+
+
 def passages(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> list[tuple[int, int, int, int]]:
-    """Unions of ranges of `width` tokens with enough shingles in `other`: interval [a, b) of `tokens`, ends trimmed, and the
+    """Unions of ranges of `width` tokens that agree with a range of `other`: interval [a, b) of `tokens`, ends trimmed, and the
     first and last start of its ranges."""
-    if len(tokens) < width:
-        return []
-    hit = np.isin(tokens, other)
-    sums = np.append(0, np.cumsum(hit))
-    good = np.flatnonzero(sums[width:] - sums[:-width] >= hits_needed)
+    good, hit = aligned_hits(tokens, other, width, hits_needed)
     if not len(good):
         return []
     cut = np.flatnonzero(np.diff(good) > width) + 1

@@ -9,11 +9,15 @@ rule gives a token that crosses a boundary to one of them:
 - ``most``: the section with most of its bytes, the earlier one if equal.
 
 So the counts of a document's sections add up to the tokens of the document under every rule.
+
+The tokenizer's pattern engine gives up on white space of about a million characters in a row.  Such a run is cut out first: a
+match holds white space at its front only, so the pattern must break where the run begins, and the run up to its last
+character (all of it at the end of the text) is one word, which is merged here.
 """
 
 from __future__ import annotations
 
-import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,21 +26,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtlake.llm import words as w
+from courtlake.llm.byte_bpe import merge_long, read_ranks
 from courtlake.llm.common import numbered
 
 RULES = ("start", "end", "most")
 
 
+#: White space of Unicode, and the characters of a run that is cut out.
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 100_000
+
+
 def encoder(path: str, pattern: str):
-    """A tiktoken encoding from a file of ranks, and the byte length of every id."""
+    """A tiktoken encoding from a file of ranks, the byte length of every id, and the ranks."""
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+    ranks = read_ranks(path)
+    lengths = np.zeros(len(ranks), np.int64)
     for token, k in ranks.items():
         lengths[k] = len(token)
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths, ranks
+
+
+def encode_whole(encode, ranks: dict[bytes, int], text: str, longest: int = LONG_RUN) -> np.ndarray:
+    """Ids of a text; runs of white space of `longest` characters and more don't reach the pattern engine."""
+    parts, at = [], 0
+    for run in re.finditer(f"[{SPACE}]{{{longest},}}", text) if len(text) >= longest else ():
+        end = run.end() - (run.end() < len(text))
+        parts += [encode.encode_to_numpy(text[at:run.start()], disallowed_special=()), merge_long(text[run.start():end].encode(), ranks)]
+        at = end
+    parts.append(encode.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate([np.asarray(p, np.int64) for p in parts])
 
 
 def attribute(token_starts: np.ndarray, token_ends: np.ndarray, cuts: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +76,7 @@ def attribute(token_starts: np.ndarray, token_ends: np.ndarray, cuts: np.ndarray
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str, pattern: str, rule: str) -> Iterator[pa.RecordBatch]:
-    encode, lengths = encoder(path, pattern)
+    encode, lengths, ranks = encoder(path, pattern)
     names = ["doc_id", "section", "start_char", "n_chars", "n_tokens", "n_crossing"]
     for batch in batches:
         ids = batch.column(0)
@@ -65,7 +85,7 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, pattern: str, rule: str
             parts = []
             for i in range(end - begin):
                 raw = data[offsets[i]:offsets[i + 1]]
-                tokens = np.asarray(encode.encode_to_numpy(texts[begin + i].as_py() or "", disallowed_special=()), np.int64) if len(raw) else np.empty(0, np.int64)
+                tokens = encode_whole(encode, ranks, texts[begin + i].as_py() or "")
                 stops = np.cumsum(lengths[tokens])
                 cuts = np.append(0, np.flatnonzero(raw[:-1] == 10) + 1) if len(raw) else np.zeros(1, np.int64)
                 own, crossing = attribute(stops - lengths[tokens], stops, cuts, rule)

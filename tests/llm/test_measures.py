@@ -19,7 +19,7 @@ from courtlake.llm.common import broadcast_if_small, shared_folder
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_tokens_of_every_line(spark, rule):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encode, lengths = token_counts.encoder(path, pattern)
+    encode, lengths, _ = token_counts.encoder(path, pattern)
     texts = ["a\n\n  b c\n", "\n\n\n", "one line", "é\n\n\nü x\n \n y", "  \n\n\n  deep\n\n", "z" * 3000 + "\n" + "q" * 2000, ""]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r.doc_id, r.section): (r.start_char, r.n_chars, r.n_tokens, r.n_crossing) for r in token_counts.section_tokens(df, path, pattern, rule).collect()}
@@ -109,3 +109,22 @@ def test_passages_leave_only_their_result_behind(spark, docs):
     substring.repeated_passages(docs).count()
     print(set(os.listdir(folder)) - before)
     assert len({x for x in os.listdir(folder) if x.startswith("llm-")} - before) <= 4
+
+
+def test_long_runs_are_cut_where_the_pattern_breaks(spark):
+    """Cut at runs of 2 and 3 characters, texts have the library's ids; 2 million characters in a row don't crash."""
+    import random
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encode, _, ranks = token_counts.encoder(path, pattern)
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choice([" ", "  ", "\n", "\t ", "\u3000", "\x1c", "a", "Bc", "1", "!", "'s", "\u00e9"]) for _ in range(rng.randrange(30)))
+        for longest in (1, 2, 3):
+            assert token_counts.encode_whole(encode, ranks, text, longest).tolist() == encode.encode_ordinary(text)
+    n = 2_000_000
+    texts = [" " * n, "a" + " " * n + "b", "\n" * n, "ab" * (n // 2), "$" * n, " " * (n // 2) + "x" + "\u3000" * (n // 2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    rows = token_counts.document_tokens(token_counts.section_tokens(df, path, pattern)).collect()
+    assert len(rows) == len(texts) and all(0 < r.n_tokens <= 3 * n for r in rows)
+    assert {r.n_sections for r in rows} == {1, n}

@@ -250,7 +250,7 @@ def test_toxicity_held_out(spark, docs, empty):
 
 def test_token_counts(docs, texts, empty):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encode, _ = token_counts.encoder(path, pattern)
+    encode, _, _ = token_counts.encoder(path, pattern)
     t = dict([*texts])
     for rule in token_counts.RULES:
         got = token_counts.section_tokens(docs, path, pattern, rule).collect()

@@ -102,3 +102,30 @@ def test_long_texts_in_blocks(spark):
     rows += [(5, rows[0][1]), (6, rows[1][1]), (7, "short text"), (None, rows[0][1])]
     found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r)[:3] + (r.source_doc_id,) for r in found) == [(2, 4050, 7050, 1), (5, 0, 5800, 1), (6, 0, 7060, 2)]
+
+
+def test_halves_from_far_apart_are_no_passage(spark):
+    rng = random.Random(17)
+    say = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(n)]
+    rows = []
+    for k in range(60):
+        first, second = say(25), say(25)
+        rows += [(2 * k, " ".join(say(20) + first + say(1000) + second + say(20))), (2 * k + 1, " ".join(say(20) + first + second + say(20)))]
+    assert substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+
+
+def test_aligned_hits_against_brute_force():
+    rng = np.random.default_rng(3)
+    width, need = 16, 13
+    for _ in range(200):
+        base = rng.integers(0, 40, 60).astype(np.uint64)
+        x = np.concatenate([rng.integers(0, 40, 20), base[:40], rng.integers(0, 40, 10)]).astype(np.uint64)
+        y = np.concatenate([base[rng.integers(0, 10):], rng.integers(0, 40, 30)]).astype(np.uint64)
+        y = np.delete(y, rng.integers(0, len(y), 2))
+        got = set(substring.aligned_hits(x, y, width, need)[0].tolist())
+        step = width // 8
+        for p in range(len(x) - width + 1):
+            # at one distance, or two neighbouring bands of distances
+            fits = lambda low, high: sum(any(x[i] == y[j] for j in range(max(0, i + low), min(len(y), i + high + 1))) for i in range(p, p + width)) >= need  # noqa: E731, B023
+            bands = range(-len(x) // step - 1, len(y) // step + 1)
+            assert (p in got) == any(fits(b * step, b * step + 2 * step - 1) for b in bands)
