@@ -81,14 +81,19 @@ def _counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(np.full(len(at), g, np.int32)), pa.array(n[at].astype(np.int64))], ["feature", "grade", "n"])
 
 
+def _columns(features: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Place of each found feature among the sorted features of a model, -1 where it has none."""
+    at = np.minimum(np.searchsorted(features, found), len(features) - 1)
+    return np.where(features[at] == found, at, -1)
+
+
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    index = np.full(1 << bits, -1, np.int32)
-    index[features] = np.arange(len(features))
     for batch in batches:
         for first, last, data, offsets in w.chunks(batch.column("text")):
             docs, own = text_features(data, offsets, bits)
-            keep = index[own] >= 0
-            lists = np.split(index[own][keep], np.searchsorted(docs[keep], np.arange(1, last - first)))
+            columns = _columns(features, own)
+            keep = columns >= 0
+            lists = np.split(columns[keep].astype(np.int32), np.searchsorted(docs[keep], np.arange(1, last - first)))
             own_rows = [batch.column(c).slice(first, last - first) for c in ("doc_id", "grade")]
             yield pa.RecordBatch.from_arrays([*own_rows, pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], ["doc_id", "grade", "columns"])
 
@@ -184,15 +189,14 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model | None, threshold: float, bits: int) -> Iterator[pa.RecordBatch]:
-    weights = np.zeros(1 << bits)
-    if model:
-        weights[model.features] = model.weights
     for batch in batches:
         for first, last, data, offsets in w.chunks(batch.column("text")):
             n = last - first
             if model:
                 docs, features = text_features(data, offsets, bits)
-                p = model.above(np.bincount(docs, weights[features], n))
+                columns = _columns(model.features, features)
+                held = columns >= 0
+                p = model.above(np.bincount(docs[held], model.weights[columns[held]], n))
                 values = np.array(model.grades, float)
                 severity = values[0] + p @ np.diff(values)
                 toxic_from = p[:, 0]
