@@ -144,6 +144,13 @@ def audit(catalog: DataFrame, fix: bool = True, structural: tuple[str, ...] = ST
     return found.select("id", "issues", (action if fix else F.lit("reported")).alias("action"), "repaired")
 
 
+def audit_records(catalog: DataFrame, fix: bool = True) -> DataFrame:
+    """Q7: the audit with what a report says of a judgment: citation (else the id), court, fragments and words."""
+    about = catalog.select("id", F.coalesce("citation", "id").alias("citation"), "court", F.coalesce("fragment_count", F.lit(0)).cast("int").alias("fragment_count"), "summary")
+    found = audit(catalog, fix).join(about, "id")
+    return found.select("id", "citation", "court", "fragment_count", F.regexp_count("summary", F.lit(r"(?U)\S+")).alias("word_count"), "issues", "action", "repaired")
+
+
 def audit_totals(audited: DataFrame) -> DataFrame:
     """(kind, name, n): actions and a histogram of issues."""
     pair = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))

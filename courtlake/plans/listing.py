@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courtlake.functions import html, text
-from courtlake.operators import catalog
+from courtlake.operators import catalog, stored
 from courtlake.plans.registry import SQL_LISTED, listed, query, table
+from courtlake.sources.scratch import new_folder
 
 NOW = "2026-07-16T12:00:00"
 
@@ -194,6 +195,21 @@ def catalog_second_page(spark, sf_dir):
     return catalog.catalog_page(_catalog(spark, sf_dir), page=2).select("id", "page_id")
 
 
+@query(f"WITH {SQL_LISTED}, {SQL_CATALOG} SELECT id, page_id FROM catalog ORDER BY decision_date DESC, id LIMIT 20 OFFSET 100")
+def stored_catalog_page(spark, sf_dir):
+    """The sixth page of a stored catalogue, from the files that hold it."""
+    at = new_folder(spark, "ordered")
+    stored.store_ordered(_catalog(spark, sf_dir), at, files=8)
+    return stored.ordered_page(spark, at, page=6, size=20).select("id", "page_id")
+
+
+@query(f"WITH {SQL_LISTED} SELECT citation, decision_date || 'T00:00:00' AS extracted_at FROM listed WHERE page_id % 3 > 0 ORDER BY extracted_at DESC, id LIMIT 10")
+def recent_extractions(spark, sf_dir):
+    """T5: the judgments extracted last."""
+    t = listed(spark, sf_dir).withColumn("extracted_at", F.when(F.col("page_id") % 3 > 0, F.concat("decision_date", F.lit("T00:00:00"))))
+    return catalog.newest(t.filter("extracted_at is not null"), 10, date="extracted_at").select("citation", "extracted_at")
+
+
 @query(f"WITH {SQL_LISTED}, {SQL_CATALOG} SELECT id, summary_generated_at FROM catalog WHERE summary_generated_at IS NOT NULL ORDER BY summary_generated_at DESC, id LIMIT 10")
 def recent_summaries(spark, sf_dir):
     """T5."""

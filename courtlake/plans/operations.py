@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from courtlake.functions import text
-from courtlake.operators import ledger, monitor, summaries
+from courtlake.operators import ledger, monitor, stored, summaries
 from courtlake.plans.registry import SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
 from courtlake.sources import files
 from courtlake.sources.scratch import new_folder
@@ -238,6 +238,50 @@ def audit_issue_histogram(spark, sf_dir):
     return summaries.audit_totals(_audited(spark, sf_dir))
 
 
+def _stored_drafts(spark, sf_dir):
+    """Drafts as stored summaries, and their cached copies."""
+    d, at = _drafts(spark, sf_dir), new_folder(spark, "tables")
+    i = F.col("id")
+    table = d.select("id", F.when(i.cast("long") % 5 > 0, F.concat(F.lit("[2020] SGHC "), i)).alias("citation"), F.concat(F.lit("SG"), (i.cast("long") % 3).cast("string")).alias("court"),
+                     F.col("n_fragments").cast("int").alias("fragment_count"), F.col("draft").alias("summary"), F.lit("2026-01-01").alias("summary_generated_at"))
+    stored.store(table, f"{at}/catalog", buckets=16)
+    stored.store(table.select(F.col("id").alias("judgment_id"), F.lit("2026-01-01").alias("generated_at"), F.lit("m").alias("model"), F.lit("e").alias("endpoint"), F.col("fragment_count").alias("frags_total"), "summary"), f"{at}/cache", "judgment_id", buckets=16)
+    return at
+
+
+@query(f"""WITH {_AUDIT} SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 > 0 THEN '[2020] SGHC ' || id ELSE id END AS citation, 'SG' || CAST(id AS BIGINT) % 3 AS court, CAST(n_fragments AS INTEGER) AS fragment_count,
+    CAST(len(regexp_extract_all(draft, '\\S+')) AS INTEGER) AS word_count, array_to_string(l, ',') AS issues, action FROM audited JOIN a2 USING (id, l)""")
+def audit_records(spark, sf_dir):
+    """Q7: records of the audit of a stored table."""
+    found = summaries.audit_records(stored.read(spark, f"{_stored_drafts(spark, sf_dir)}/catalog"))
+    return found.withColumn("issues", F.array_join("issues", ",")).drop("repaired")
+
+
+@query(f"""WITH {_AUDIT} SELECT d.id, CASE action WHEN 'fixed' THEN repaired WHEN 'nullified' THEN NULL ELSE d.draft END AS summary, CASE WHEN coalesce(action, '') <> 'nullified' THEN '2026-01-01' END AS summary_generated_at,
+    coalesce(action, '') <> 'nullified' AS cached FROM drafts d LEFT JOIN audited USING (id)""")
+def audit_write_back(spark, sf_dir):
+    """The stored catalogue and cache after an audit, made twice."""
+    at = _stored_drafts(spark, sf_dir)
+    for _ in range(2):
+        stored.write_back_audit(spark, f"{at}/catalog", f"{at}/cache", buckets=16)
+    cache = stored.read(spark, f"{at}/cache").select(F.col("judgment_id").alias("id"), F.lit(True).alias("cached"))
+    return stored.read(spark, f"{at}/catalog").join(cache, "id", "left").select("id", "summary", "summary_generated_at", F.coalesce("cached", F.lit(False)).alias("cached"))
+
+
+@query(f"""WITH {_BARE}, {_TRIMMED}, judged AS (SELECT id, n_fragments, summary, len({_issues('summary')}) = 0 AS passed FROM done)
+SELECT id, CASE WHEN passed THEN summary END AS summary, CASE WHEN passed THEN '2026-07-16T12:00:00' END AS summary_generated_at, CASE WHEN passed THEN 'large' END AS model, CASE WHEN passed THEN CAST(n_fragments AS INTEGER) END AS frags_total FROM judged""")
+def summaries_write_back(spark, sf_dir):
+    """Finished drafts in the stored catalogue and cache, with time, model and endpoint."""
+    d, at = _drafts(spark, sf_dir), new_folder(spark, "tables")
+    none = lambda c: F.lit(None).cast("string").alias(c)
+    stored.store(d.select("id", none("summary"), none("summary_generated_at")), f"{at}/catalog", buckets=16)
+    old = d.filter("id % 10 = 0").select(F.col("id").alias("judgment_id"), none("generated_at"), none("model"), none("endpoint"), F.lit(0).alias("frags_total"), none("summary"))
+    stored.store(old, f"{at}/cache", "judgment_id", buckets=16)
+    stored.write_back_summaries(spark, f"{at}/catalog", f"{at}/cache", d, "2026-07-16T12:00:00", "large", "https://models", buckets=16)
+    cache = stored.read(spark, f"{at}/cache").filter("model is not null").select(F.col("judgment_id").alias("id"), "model", "frags_total")
+    return stored.read(spark, f"{at}/catalog").join(cache, "id", "left").select("id", "summary", "summary_generated_at", "model", "frags_total")
+
+
 def _first_words(summary: str, part: str, limit: int) -> str:
     """A stand-in for a model: the summary so far and the first ten words of the batch."""
     return " ".join([summary, *part.split()[:10]]).strip()
