@@ -79,3 +79,21 @@ def monitor(builds: DataFrame) -> DataFrame:
     found = build_anomalies(builds).groupBy("site", "day").agg(F.array_sort(F.collect_set("anomaly")).alias("anomalies"))
     none = F.expr("cast(array() as array<string>)")
     return advanced_pipeline(builds).join(found, ["site", "day"], "left").withColumn("anomalies", F.coalesce("anomalies", none))
+
+
+def build_report(builds: DataFrame, phases: DataFrame, verdicts: DataFrame, footers: DataFrame, progress: DataFrame, tokens: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Q9 whole: what a build did, what the monitor says of it, and where the catalogue stands.
+
+    `builds` as for monitor(); phases (A7) and verdicts (A8) by run_id, footers (A9) by build, progress (A10) and tokens (A11)
+    by day: all of them names of the day.  Logs are summed by day before they meet the few rows of builds; the state of the
+    catalogue (A3, A4) is one row, the same for each build.
+    """
+    worked = progress.groupBy("day").agg(F.sum("attempts").alias("attempts"), F.coalesce(F.sum(F.when(F.col("alt"), F.col("attempts"))), F.lit(0)).alias("alternative_attempts"))
+    paid = tokens.groupBy("day").agg(F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"), F.sum("calls").alias("calls"))
+    said = verdicts.select(F.col("run_id").alias("day"), "notes", F.col("blocked").alias("did_nothing"))
+    counts = phases.withColumnRenamed("run_id", "day")
+    ends = footers.select(F.col("build").alias("day"), "succeeded", F.col("failed").alias("failed_resources"), "skipped")
+    report = monitor(builds)
+    for part in (counts, said, ends, worked, paid):
+        report = report.join(part, "day", "left")
+    return report.join(F.broadcast(pipeline_state(catalog)))

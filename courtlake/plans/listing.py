@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from courtlake.functions import html, text
 from courtlake.operators import catalog, stored
 from courtlake.plans.registry import SQL_LISTED, listed, query, table
+from courtlake.sources import bucketed
 from courtlake.sources.scratch import new_folder
 
 NOW = "2026-07-16T12:00:00"
@@ -141,6 +142,18 @@ def insert_or_ignore(spark, sf_dir):
     return catalog.insert_or_ignore(old, lines.withColumn("l_quantity", F.lit(-1.0)))[0]
 
 
+@query(f"""WITH lines AS (SELECT {_LINE} FROM lineitem), new AS (SELECT count(*) AS n, count(DISTINCT id) FILTER (WHERE l_orderkey % 3 = 0) AS added FROM lines)
+SELECT 'added' AS kind, added AS n FROM new UNION ALL SELECT 'ignored', n - added FROM new UNION ALL SELECT 'rows', (SELECT count(*) FROM lines WHERE l_orderkey % 3 <> 0) + added FROM new""")
+def insert_counts(spark, sf_dir):
+    """Lines appended to a stored table, with the counts that the write itself took."""
+    lines, at = table(spark, sf_dir, "lineitem"), new_folder(spark, "insert")
+    lines = lines.select(F.format_string("%s_%04d", F.col("l_orderkey").cast("string"), "l_linenumber").alias("id"), "l_orderkey", F.col("l_quantity").cast("double").alias("l_quantity"))
+    lines.filter("l_orderkey % 3 <> 0").write.parquet(at)
+    counts = bucketed.insert_counted(spark, at, lines)
+    rows = spark.read.parquet(at).agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("kind"), "n")
+    return rows.unionByName(spark.createDataFrame(sorted(counts.items()), "kind string, n long"))
+
+
 @query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders")
 def append_new(spark, sf_dir):
     """Staged and pending rows, one per new id."""
@@ -166,6 +179,11 @@ def _catalog(spark, sf_dir):
     )
 
 
+def state_catalog(spark, sf_dir):
+    """The catalogue whose state the monitor reports."""
+    return _catalog(spark, sf_dir)
+
+
 SQL_CATALOG = """catalog AS (SELECT id, page_id, code AS court, decision_date, citation, CASE page_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'body ' || page_id END AS content_text,
     CASE WHEN page_id % 4 = 0 THEN NULL ELSE CAST(page_id % 4 > 1 AS INTEGER) END AS has_content, CASE WHEN page_id % 8 = 2 THEN 'summary ' || page_id END AS summary, CASE WHEN page_id % 8 = 2 THEN decision_date END AS summary_generated_at FROM listed)"""
 
@@ -183,6 +201,16 @@ def pipeline_state(spark, sf_dir):
     return catalog.pipeline_state(_catalog(spark, sf_dir))
 
 
+@query(f"""WITH {SQL_LISTED}, {SQL_CATALOG} SELECT 'extracted' AS kind, count(*) FILTER (WHERE has_content = 1) AS n FROM catalog UNION ALL SELECT 'empty', count(*) FILTER (WHERE has_content = 0) FROM catalog
+UNION ALL SELECT 'waiting', count(*) FILTER (WHERE content_text IS NULL) FROM catalog""")
+def extraction_counts(spark, sf_dir):
+    """Extracted and empty rows counted while they are written, and what waits."""
+    of = lambda n: F.count_if(F.col("has_content") == n)
+    there = F.col("content_text").isNotNull()
+    counts = bucketed.write_counted(_catalog(spark, sf_dir), new_folder(spark, "written"), keep=there, extracted=of(1), empty=of(0), waiting=F.count_if(~there))
+    return spark.createDataFrame(sorted(counts.items()), "kind string, n long")
+
+
 @query(f"WITH {SQL_LISTED}, {SQL_CATALOG} SELECT id, page_id FROM catalog WHERE content_text IS NULL ORDER BY decision_date DESC, id LIMIT 50")
 def select_for_extraction(spark, sf_dir):
     """T1, P3."""

@@ -8,9 +8,10 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from courtlake.functions import text
-from courtlake.operators import ledger, monitor, stored, summaries
-from courtlake.plans.registry import SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
-from courtlake.sources import files
+from courtlake.operators import catalog, ledger, monitor, stored, summaries
+from courtlake.plans import listing
+from courtlake.plans.registry import ORACLES, QUERIES, SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
+from courtlake.sources import bucketed, files
 from courtlake.sources.scratch import new_folder
 from courtlake.streaming import streams
 
@@ -299,6 +300,29 @@ def rolling_fold(spark, sf_dir):
     return summaries.rolling_fold(batches, _first_words)
 
 
+@query(ORACLES["rolling_fold"])
+def stored_fold(spark, sf_dir):
+    """H6 in stored rounds with the same stand-in model; the second call finds all rounds made."""
+    batches = summaries.batch_texts(frags(spark, sf_dir)).select(F.col("judgment_id").alias("id"), "batch", F.col("batch_text").alias("input_text"), F.lit(10**9).alias("max_chars"))
+    at = new_folder(spark, "fold")
+    summaries.stored_fold(batches, _first_words, at)
+    return summaries.stored_fold(batches, _first_words, at)
+
+
+@query(ORACLES["batch_texts"])
+def bucketed_batches(spark, sf_dir):
+    """Batches of the fragments of stored judgments, over bucketed tables."""
+    at, f = new_folder(spark, "bucketed"), frags(spark, sf_dir)
+    name = "courtlake_" + at.rsplit("-", 1)[-1]
+    ids = f.select(F.col("judgment_id").alias("id")).distinct()
+    held = bucketed.write_bucketed_fragments(f, f"{name}_fragments", f"{at}/fragments", 16)
+    listed = bucketed.write_bucketed_catalog(ids, f"{name}_catalog", f"{at}/catalog", 16)
+    found = summaries.batch_texts(catalog.fragments_of(listed, held), 4, 3)
+    for part in ("fragments", "catalog"):
+        spark.sql(f"DROP TABLE {name}_{part}")  # the files stay
+    return found
+
+
 def _judgment_table(spark, sf_dir):
     i = F.col("doc_id")
     d = table(spark, sf_dir, "documents").dropDuplicates(["doc_id"])
@@ -430,6 +454,19 @@ def token_rollup(spark, sf_dir):
     return monitor.token_rollup(log)
 
 
+@query(f"""SELECT m.*, p.* EXCLUDE (run_id), v.notes, v.blocked AS did_nothing, f.succeeded, f.failed AS failed_resources, f.skipped, r.attempts, r.alternative_attempts, t.prompt_tokens, t.completion_tokens, t.calls, s.*
+FROM ({ORACLES['monitor_builds']}) m LEFT JOIN ({ORACLES['phase_counters']}) p ON p.run_id = m.day LEFT JOIN ({ORACLES['build_verdict']}) v ON v.run_id = m.day LEFT JOIN ({ORACLES['summary_footer']}) f ON f.build = m.day
+LEFT JOIN (SELECT day, CAST(sum(attempts) AS BIGINT) AS attempts, CAST(coalesce(sum(attempts) FILTER (WHERE alt), 0) AS BIGINT) AS alternative_attempts FROM ({ORACLES['progress_rollup']}) GROUP BY day) r ON r.day = m.day
+LEFT JOIN (SELECT day, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, CAST(sum(calls) AS BIGINT) AS calls FROM ({ORACLES['token_rollup']}) GROUP BY day) t ON t.day = m.day,
+({ORACLES['pipeline_state']}) s""")
+def build_report(spark, sf_dir):
+    """Q9: A3, A4, A7-A11, W9 and W10 in one row per build."""
+    q = QUERIES
+    parts = [q[n](spark, sf_dir) for n in ("phase_counters", "build_verdict", "summary_footer", "progress_rollup", "token_rollup")]
+    found = monitor.build_report(_builds(spark, sf_dir), *parts, listing.state_catalog(spark, sf_dir))
+    return found.withColumn("anomalies", F.array_join("anomalies", ","))
+
+
 @query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'skip' WHEN 2 THEN 'fail' WHEN 3 THEN 'warn' ELSE 'summary' END AS kind, CASE WHEN event_id % 5 < 4 THEN event_type END AS resource, CASE WHEN event_id % 5 = 0 THEN user_id END AS records,
     CASE event_id % 5 WHEN 1 THEN 'proxy down' WHEN 2 THEN 'boom' WHEN 3 THEN 'slow' END AS message, CASE WHEN event_id % 5 = 1 THEN 'blocked' END AS skip_kind, CASE WHEN event_id % 5 <> 3 THEN 12.5 END AS seconds, CASE WHEN event_id % 5 IN (0, 4) THEN event_id END AS enriched FROM events""")
 def status_lines(spark, sf_dir):
