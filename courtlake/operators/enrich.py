@@ -27,7 +27,7 @@ def enrich(
     planned = tables.best_source(open_ids.select("id"), extractions, archive)
     cached = extractions.join(planned.filter("content_source = 'cache'").select("id"), "id", "left_semi")
     pages = archive.join(planned.filter("content_source = 'archive'").select("id"), "id", "left_semi")
-    found, parsed = fragments.extract(pages, now, **layout)
+    found, parsed = fragments.extract(pages, now, once=True, **layout)
     stored = cached.select("id", *COLUMNS, F.lit("ok").alias("extraction_status"))
     updates = stored.unionByName(parsed.select("id", *COLUMNS, "extraction_status"))
     types = {"court_summary": "string", **tables.PHASE2}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtlake.functions import html, text
+from courtlake.sources.scratch import new_folder
 
 STRINGS = "array<string>"
 
@@ -46,14 +47,17 @@ def extract_fragments(parsed: DataFrame, anchors: tuple[str, ...] = text.ANCHORS
         "judgment_id", "seq", "kind", "class_name", text.normalize_ws(F.col("text")).alias("text"), tables.alias("tables"), figures.alias("figures"), notes.alias("footnotes"), F.col("raw").alias("html_raw"),
         (F.col("kind").isin("paragraph") & F.coalesce(F.col("class_name").isin(*anchors), F.lit(False))).alias("is_anchor"), F.col("kind").isin("table", "figure").alias("is_orphan"),
     )
-    events = events.withColumn("section_heading", carry_section_heading()).withColumn("target", F.when(F.col("is_orphan"), attachment_target()).otherwise(F.col("seq")))
+    before = Window.partitionBy("judgment_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    place = (F.count_if(~F.col("is_orphan")).over(before) - 1).cast("int")
+    target = F.when(F.col("is_orphan"), attachment_target()).otherwise(F.col("seq"))
+    events = events.withColumns({"section_heading": carry_section_heading(), "target": target, "ordinal": place})
     # an orphan's text as it is appended: after the anchor (back) or, for those before it, tables and then figures
-    own = events.filter("not is_orphan")
-    orphans = events.filter("is_orphan and target is not null and (size(tables) > 0 or size(figures) > 0)")
+    full = F.col("is_orphan") & ((F.size("tables") > 0) | (F.size("figures") > 0))
     rank = F.when(F.col("seq") < F.col("target"), F.when(F.col("kind") == "table", 0).otherwise(1)).otherwise(2)
     piece = F.struct(rank.alias("rank"), "seq", F.concat(F.array_join("tables", ""), F.array_join(F.transform("figures", lambda f: F.concat(F.lit("\n\n"), f["alt"])), "")).alias("piece"), "figures", (F.size("tables") > 0).alias("table"))
-    added = orphans.groupBy("judgment_id", F.col("target").alias("seq")).agg(F.array_sort(F.collect_list(piece)).alias("added"))
-    own = assign_ordinals(own).join(added, ["judgment_id", "seq"], "left")
+    # over the same rows: they lie together by judgment already, so nothing is joined or parsed again
+    added = F.array_sort(F.collect_list(F.when(full, piece)).over(Window.partitionBy("judgment_id", "target")))
+    own = events.withColumn("added", added).filter("not is_orphan").withColumn("id", F.format_string("%s_%04d", "judgment_id", "ordinal"))
     alts = lambda fs: F.transform(fs, lambda f: f["alt"])
     whole = text.assemble_text(F.col("text"), F.col("tables"), alts(F.col("figures")))
     split = text.split_paragraph_number(whole, F.col("class_name"), numbered)
@@ -92,9 +96,17 @@ def enriched_columns(pages: DataFrame, bodies: DataFrame, now: str) -> DataFrame
     )
 
 
-def extract(archive: DataFrame, now: str, **layout) -> tuple[DataFrame, DataFrame]:
-    """Q2: fragments and content columns of archived pages (id, html)."""
+def extract(archive: DataFrame, now: str, once: bool = False, **layout) -> tuple[DataFrame, DataFrame]:
+    """Q2: fragments and content columns of archived pages (id, html).
+
+    With `once` the parsed events are written to the shared scratch folder first: pages are parsed once however many of the
+    results are used.  Columns read no raw markup then.
+    """
     parsed = html.pages(archive, **layout)
+    if once:
+        at = new_folder(archive.sparkSession, "parsed")
+        parsed.write.parquet(at)
+        parsed = archive.sparkSession.read.schema(parsed.schema).parquet(at)
     fragments = extract_fragments(parsed)
     return fragments, enriched_columns(parsed, compose_content(fragments), now)
 

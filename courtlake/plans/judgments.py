@@ -72,7 +72,7 @@ SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(t, '') AS content_text, CASE WHEN
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN c ON c.judgment_id = CAST(d.doc_id AS VARCHAR)""")
 def enriched_pages(spark, sf_dir):
     """Q2: A6, P7, P8."""
-    return fragments.extract(detail_html(spark, sf_dir), NOW)[1]
+    return fragments.extract(detail_html(spark, sf_dir), NOW, once=True)[1]
 
 
 @query(f"""WITH {SQL_FRAGS}, {_BODY},

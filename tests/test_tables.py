@@ -77,3 +77,14 @@ def test_a_fold_goes_on_where_it_stopped(spark, tmp_path):
     assert want == got
     none = summaries.stored_fold(batches.limit(0), model(False), f"{tmp_path}/none")
     assert none.collect() == []
+
+
+def test_pages_are_parsed_once(spark):
+    from courtlake.plans import judgments
+
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas")
+    pages = judgments.detail_html(spark, "/root/testdata/sf0.001").limit(20)
+    lazy, _ = judgments.fragments.extract(pages, "now")
+    assert count(lazy) == 1
+    once, columns = judgments.fragments.extract(pages, "now", once=True)
+    assert count(once) == count(columns) == 0
