@@ -8,12 +8,17 @@ with that score stay and nothing else.
 
 What the page marks as menu, header, footer, sidebar, notice, advert, form or comment (by element, class, id or role) is left
 out first, unless it wraps the page's text: nothing that holds main, an article with more points than lie outside all
-marks, or ten times as many points as lie outside.
+marks, or ten times as many points as lie outside.  A name of which only a part is such a word ("acme-comments") is a hint: what
+it marks goes if it has less than a quarter of the points outside.  Paragraphs and headings are never left out for a name
+alone, only if they are mostly links.  Hidden elements go.
+
+Time is linear in the page: tags that are never closed, end tags without a start and deep nesting cost no more than others.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -43,51 +48,94 @@ _SCOPES = frozenset("ul ol dl table div article section main body html td th".sp
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts sponsor sponsored promo promotion banner sidebar menu nav navbar navigation footer header masthead comment comments commentlist"
     " discussion replies respond cookie cookies consent notice notification alert popup modal overlay share sharing social related recommended breadcrumb breadcrumbs newsletter"
-    " subscribe signup login pagination pager toolbar widget search skip".split()
+    " subscribe signup login pagination pager toolbar widget search skip feedback".split()
+)
+#: Of these, the words that hint at such a part also inside a longer name.
+HINT_WORDS = frozenset(
+    "advert advertisement sponsor sponsored sidebar menu nav navbar navigation footer comment comments commentlist discussion replies respond feedback cookie cookies consent"
+    " breadcrumb breadcrumbs newsletter subscribe pagination".split()
 )
+#: Elements that are an article's own text whatever their names say.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(RAW) + r")(?:\s[^<>]*)?/>|<(" + "|".join(RAW) + r")(?=[\s/>]).*?(?:</\1\s*>|\Z)|</([a-z][^\s>/]*)[^>]*>"
-    r"|<([a-z][^\s>/]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(RAW) + r")(?:\s[^<>]*)?/>|<(" + "|".join(RAW) + r")(?=[\s/>]).*?(?:</\1\s*>|\Z)|</([a-z][^\s<>/]*)[^<>]*>"
+    r"|<([a-z][^\s<>/]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^<>]*>",
     re.I | re.S,
 )
 _CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 #: Words that may stand beside them in a hyphenated name: "site-header" marks a header, "with-sidebar" marks nothing.
-PLACE_WORDS = frozenset("site page main top bottom left right upper lower list box bar area block container wrapper inner outer slot section item items group links link text primary secondary global sticky".split())
+PLACE_WORDS = frozenset("site page main top bottom left right upper lower list box bar area block container wrapper inner outer slot section item items group links link text primary secondary global sticky reader readers user users visitor visitors".split())
 _WORD = re.compile(r"[a-z]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
+_STYLE = re.compile(r"\bstyle\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_UNSEEN = re.compile(r"(?:^|[;\"'\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+NO, HINT, YES = 0, 1, 2
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "silent", "marked", "points", "chars", "linked")
+    __slots__ = ("name", "parent", "children", "silent", "marked", "own", "passed", "chars", "linked")
 
-    def __init__(self, name: str, parent: Node | None, silent: bool, marked: bool = False):
+    def __init__(self, name: str, parent: Node | None, silent: bool, marked: int = NO):
         self.name, self.parent, self.silent, self.marked = name, parent, silent, marked
         self.children: list[Node | str] = []
-        self.points = 0.0
+        self.own = self.passed = 0.0
         self.chars = self.linked = 0
 
     def score(self) -> float:
         bonus = 1.25 if self.name == "article" else 1.0
-        return bonus * self.points * (1 - self.linked / self.chars) if self.chars else 0.0
+        return bonus * (self.own + self.passed) * (1 - self.linked / self.chars) if self.chars else 0.0
 
     def link_list(self) -> bool:
         return 2 * self.linked > self.chars
 
 
-def _marked(name: str, attributes: str) -> bool:
+def _known(word: str) -> tuple[bool, bool]:
+    """Whether a word of a name is one of the lists' words or two of them in one, and whether one of them marks."""
+    if word in ASIDE_WORDS:
+        return True, True
+    if word in PLACE_WORDS or len(word) <= 2:  # a prefix of one or two letters says nothing
+        return True, False
+    for k in range(3, len(word) - 1):
+        first, second = word[:k], word[k:]
+        if first in PLACE_WORDS and second in ASIDE_WORDS or first in ASIDE_WORDS and second in PLACE_WORDS:
+            return True, True
+    return False, False
+
+
+def _marked(name: str, attributes: str) -> int:
     if name in ("html", "body", "article", "main"):
+        return NO
+    found = NO
+    for m in _NAMES.finditer(attributes):
+        for one in m[1].lower().split():
+            words = _WORD.findall(one)
+            known = [_known(w) for w in words]
+            if any(marks for _, marks in known):
+                if all(there for there, _ in known):
+                    return YES
+                found = HINT if any(w in HINT_WORDS for w in words) else found
+    return found
+
+
+def _hidden(name: str, attributes: str) -> bool:
+    if not attributes or name in ("html", "body", "article", "main"):
         return False
-    names = [_WORD.findall(name) for m in _NAMES.finditer(attributes) for name in m[1].lower().split()]
-    return any(any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLACE_WORDS for w in words) for words in names)
+    style = _STYLE.search(attributes)
+    return bool(_HIDDEN.search(_QUOTED.sub("", attributes)) or style and _UNSEEN.search(style[1]))
 
 
 def parse(html: str) -> list[Node]:
     """The elements of a page, parents before children, the root first; unclosed, unopened and crossed tags are tolerated."""
     root = node = Node("html", None, False)
     nodes, articles = [root], 0
+    opened: Counter[str] = Counter()
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> None:
         nonlocal node, articles
+        if not any(opened[name] for name in names):
+            return  # nothing to look for
         at = node
         while at is not root and at.name not in names:
             if at.name in scopes:
@@ -96,6 +144,7 @@ def parse(html: str) -> list[Node]:
         if at is not root:
             while node is not at.parent:
                 articles -= node.name in ("article", "main")
+                opened[node.name] -= 1
                 node = node.parent
 
     place = 0
@@ -115,11 +164,12 @@ def parse(html: str) -> list[Node]:
                 close(CLOSES[name], _SCOPES - set(CLOSES[name]))
             # an article's own header has its title
             aside = name in ASIDE and not (name == "header" and articles)
-            child = Node(name, node, name in SILENT, aside or _marked(name, m[4]))
+            child = Node(name, node, name in SILENT or _hidden(name, m[4]), YES if aside else _marked(name, m[4]))
             node.children.append(child)
             nodes.append(child)
             if not closed or name in BLOCKS:
                 node = child
+                opened[name] += 1
                 articles += name in ("article", "main")
         elif m[2]:
             close((m[2].lower(),), frozenset())
@@ -172,6 +222,19 @@ def points(text: str, linked: int) -> float:
     return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
 
 
+def _spare_text(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
+    """Take the marks from paragraphs and headings that aren't mostly links."""
+    if not any(n.marked and n.name in TEXT for n in nodes):
+        return
+    for holder, text, linked in found:
+        holder.chars += len(text)
+        holder.linked += linked
+    for node in nodes:
+        if node.name in TEXT and not node.link_list():
+            node.marked = NO
+        node.chars = node.linked = 0
+
+
 def _drop_marked(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
     """Silence the marked elements, but not those that wrap the page's text."""
     root = nodes[0]
@@ -201,7 +264,8 @@ def _drop_marked(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
     outside = own.get(root, 0.0)
     for node in nodes:
         if node.marked and not mark[node.parent].silent:
-            if node in mains or in_article.get(node, 0.0) > outside or inside.get(node, 0.0) > 10 * outside:
+            held = inside.get(node, 0.0)
+            if node in mains or in_article.get(node, 0.0) > outside or (held > 10 * outside if node.marked == YES else 4 * held >= outside):
                 outside += own.get(node, 0.0)
             else:
                 node.silent = True
@@ -214,7 +278,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     nodes = parse(html)
-    _drop_marked(nodes, list(_blocks(nodes[0])))
+    found = list(_blocks(nodes[0]))
+    _spare_text(nodes, found)
+    _drop_marked(nodes, found)
     best = best_container(nodes)
     if best is None:
         return ""
@@ -223,23 +289,19 @@ def main_text(html: str | None) -> str:
 
 def best_container(nodes: list[Node]) -> Node | None:
     """The container of the best score; fills in points, characters and link characters of all elements."""
-    direct: list[Node] = []
     for holder, text, linked in _blocks(nodes[0]):
         node = holder
         while node.name not in CONTAINERS and node.parent is not None:
             node = node.parent
         holder.chars += len(text)
         holder.linked += linked
-        worth, share = points(text, linked), 1.0
-        while node is not None and share > 0.01:
-            node.points += worth * share
-            share = share / 2 if share == 1 else share * 2 / 3
-            node = node.parent
-        direct.append(holder)
-    for node in reversed(nodes):
-        if node.parent is not None:
-            node.parent.chars += node.chars
-            node.parent.linked += node.linked
+        node.own += points(text, linked)
+    for node in reversed(nodes):  # half of its own points to a parent, two thirds of what has come up to it
+        above = node.parent
+        if above is not None:
+            above.passed += node.own / 2 + node.passed * 2 / 3
+            above.chars += node.chars
+            above.linked += node.linked
     return max((n for n in nodes if n.chars and n.name in CONTAINERS), key=Node.score, default=None)
 
 

@@ -1,6 +1,7 @@
 """Pages without an article element, and marks on wrappers."""
 
 import random
+import time
 
 import pytest
 
@@ -108,3 +109,74 @@ def test_best_container_against_brute_force():
                 total, chars, linked = brute_score(node)
                 scores[node] = total * (1 - linked / chars) if chars else 0.0
         assert scores[best] == pytest.approx(max(scores.values()))
+
+
+def article_page(rng):
+    """A page put together from blocks, and the text that must be left: it is known by construction."""
+    words = "court law judge party claim order costs appeal notice term duty breach loss trust deed".split()
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + ", " + " ".join(rng.choice(words) for _ in range(n)) + "."
+    prefix = lambda: rng.choice(["", "c-", "site-", "top-", "acme-", "page-", "user-", "left-"])
+    title, texts = say(3), [say(rng.randint(12, 40)) for _ in range(rng.randint(6, 14))]
+    kind = lambda: rng.choice(["", ' class="social"', ' class="lead"', ' class="comment-free"', ' id="p1"'])
+    parts = [f"<p{kind()}>{t}</p>" for t in texts]
+    noise = [
+        lambda: f'<div class="{prefix()}comments"><p>{say(6)}</p><p>{say(5)}</p></div>',
+        lambda: f'<ul class="{prefix()}menu"><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul>',
+        lambda: f'<div id="{prefix()}sidebar__inner"><p>{say(5)}</p></div>',
+        lambda: f'<section class="reader-feedback"><div>{say(4)}</div></section>',
+        lambda: f"<aside>{say(5)}</aside>",
+        lambda: f"<div hidden><p>{say(8)}</p></div>",
+        lambda: f'<p style="display:none">{say(8)}</p>',
+        lambda: f"<script>var x = '<p>{say(5)}</p>';</script>",
+    ]
+    for _ in range(rng.randint(0, 2)):
+        parts.insert(rng.randint(0, len(parts)), rng.choice(noise)())
+    body = "".join(parts)
+    if rng.random() < 0.4:
+        half = len(parts) // 2
+        body = f"<section>{''.join(parts[:half])}</section><section>{''.join(parts[half:])}</section>"
+    article = f"<article><header><h1>{title}</h1></header>{body}</article>"
+    for _ in range(rng.randint(0, 4)):
+        article = f"<div class='wrap'>{article}</div>"
+    around = [rng.choice(noise)() for _ in range(3)]
+    nav = '<nav><a href="/">Home</a> <a href="/a">About</a></nav>'
+    return f"<html><body>{nav}{around[0]}{article}{around[1]}{around[2]}<footer>{say(4)}</footer></body></html>", "\n\n".join([title, *texts])
+
+
+def test_generated_pages_keep_the_article_and_nothing_else():
+    rng = random.Random(11)
+    for _ in range(400):
+        page, want = article_page(rng)
+        assert main_text(page) == want
+
+
+def test_marks_inside_an_article():
+    fill = "".join(f"<p>Article sentence number {i}, and more of it, long enough to be worth something.</p>" for i in range(8))
+    text = lambda block: main_text(f"<html><body><article><h1>Title</h1>{fill}{block}</article></body></html>")
+    for gone in (
+        '<div class="user-comments"><p>X, y.</p></div>', '<div class="reader-feedback"><p>X, y.</p></div>', '<div class="c-sidebar__inner"><p>X, y.</p></div>', '<ul class="topnav"><li>X</li></ul>',
+        "<p hidden>X, y</p>", '<div style="color:red; display: none">X</div>', '<div class="acme-comments">X</div>', '<p class="social"><a href="/">X</a></p>',
+    ):
+        assert "X" not in text(gone) and "number 7" in text(gone)
+    for kept in ('<p class="social">X policy.</p>', '<h2 class="related">X questions</h2>', '<p data-hidden="no">X</p>', '<p title="hidden">X</p>', '<div class="with-comments"><p>' + "X, and so on, in many words. " * 60 + "</p></div>"):
+        assert "X" in text(kept)
+
+
+def test_points_pass_all_ancestors():
+    deep = "".join(f"<p>Sentence {i}, of the article, with commas, and words.</p>" for i in range(20))
+    page = "<html><body>" + "<div>" * 40 + f"<div>{deep}</div>" + "</div>" * 40 + "</body></html>"
+    nodes = h.parse(page)
+    h.best_container(nodes)
+    scores = [n.score() for n in nodes if n.name in ("body", "div")]
+    assert all(0 < a < b for a, b in zip(scores[:-1], scores[1:], strict=True))
+
+
+def test_a_page_of_a_megabyte_takes_seconds_whatever_it_holds():
+    pages = {
+        "starts": "<a " * 350_000, "ends": "<i></b>" * 150_000, "signs": "<" * 1_000_000, "open ends": "</a " * 250_000, "declared": "<!" * 500_000, "names": "<a" * 500_000,
+        "deep": "<div>" * 150_000 + "x", "quotes": '<a "' * 250_000, "lines": "<p>" + "<i>" * 100_000 + "<hr>" * 100_000, "items": "<ul><li>" + "<i>" * 100_000 + "<li>x" * 50_000,
+    }
+    for name, page in pages.items():
+        began = time.process_time()
+        main_text(page)
+        assert time.process_time() - began < 15, name
