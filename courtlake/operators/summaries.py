@@ -57,47 +57,58 @@ def summary_inputs(catalog: DataFrame, fragments: DataFrame, ledger: DataFrame,
     )
 
 
-def greedy_fill(items: Column, budget: Column) -> Column:
-    """Of structs (score, ordinal, size), best score first, each that still fits is taken; the rest is skipped."""
-    order = F.array_sort(items, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).when(a["ordinal"] < b["ordinal"], -1).when(a["ordinal"] > b["ordinal"], 1).otherwise(0))
+def greedy_state(items: Column, budget: Column) -> Column:
+    """T6 with its total: of structs (score, ordinal, size), best score first, each that still fits is taken; the rest is skipped."""
+    order = F.array_sort(F.transform(items, lambda i: F.struct((-i["score"]).alias("back"), i["ordinal"].alias("ordinal"), i["size"].alias("size"))))
     start = F.struct(F.lit(0).cast("long").alias("used"), F.expr("cast(array() as array<int>)").alias("taken"))
 
     def step(state, item):
         fits = state["used"] + item["size"] <= budget
-        return F.struct((state["used"] + F.when(fits, item["size"]).otherwise(0)).cast("long").alias("used"), F.when(fits, F.concat(state["taken"], F.array(item["ordinal"]))).otherwise(state["taken"]).alias("taken"))
+        more = F.struct((state["used"] + item["size"]).cast("long").alias("used"), F.concat(state["taken"], F.array(item["ordinal"])).alias("taken"))
+        return F.when(fits, more).otherwise(state)
+
+    return F.aggregate(order, start, step)
 
-    return F.aggregate(order, start, step)["taken"]
+
+def greedy_fill(items: Column, budget: Column) -> Column:
+    """The ordinals that greedy_state() takes."""
+    return greedy_state(items, budget)["taken"]
 
 
 def select_summary_input(judgments: DataFrame, fragments: DataFrame, max_chars: int) -> DataFrame:
-    """Q5: headings, the first and last three numbered paragraphs, then the best of the rest that fit, in order."""
+    """Q5: headings, the first and last three numbered paragraphs, then the best of the rest that fit, in order.
+
+    The choice is made over ordinals and sizes; texts of the chosen fragments alone are joined to it.
+    """
     f = rendered(fragments).withColumn("_heading", text.is_heading(F.col("class_name"))).withColumn("_numbered", text.is_numbered(F.col("class_name")) & F.col("paragraph_number").isNotNull())
+    score = text.score_fragment(F.col("has_footnotes"), F.col("section_heading"), F.col("has_table"), F.col("content_text"))
+    slim = f.select("judgment_id", "ordinal", "paragraph_number", "_heading", "_numbered", (F.length("rendered") + 2).cast("long").alias("size"), score.alias("score"))
     by_number = Window.partitionBy("judgment_id", "_numbered")
     first = F.row_number().over(by_number.orderBy("paragraph_number", "ordinal"))
     last = F.row_number().over(by_number.orderBy(F.desc("paragraph_number"), F.desc("ordinal")))
-    f = f.withColumn("_first", F.col("_numbered") & (first == 1)).withColumn("_last", F.when(F.col("_numbered") & (last <= 3), last))
-    size = (F.length("rendered") + 2).cast("long")
-    score = text.score_fragment(F.col("has_footnotes"), F.col("section_heading"), F.col("has_table"), F.col("content_text"))
+    slim = slim.withColumn("_first", F.col("_numbered") & (first == 1)).withColumn("_last", F.when(F.col("_numbered") & (last <= 3), last))
     fixed = F.col("_heading") | F.col("_first") | F.col("_last").isNotNull()
     item = lambda cond, *extra: F.collect_list(F.when(cond, F.struct(*extra)))
     rest = ~fixed & ~F.col("_heading") & ~F.col("_numbered")
-    grouped = f.groupBy("judgment_id").agg(
-        F.sum(F.when(fixed, size).otherwise(0)).alias("used"), item(rest, score.alias("score"), F.col("ordinal"), size.alias("size")).alias("rest"),
-        F.array_sort(item(F.col("_last").isNotNull(), (-F.col("_last")).alias("place"), F.col("ordinal"), size.alias("size"))).alias("lasts"),
-        F.array_sort(item(fixed, F.col("ordinal"))).alias("kept"), F.array_sort(item(F.lit(True), F.col("ordinal"), F.col("rendered"))).alias("all"),
+    grouped = slim.groupBy("judgment_id").agg(
+        F.sum(F.when(fixed, F.col("size")).otherwise(0)).alias("used"), item(rest, "score", "ordinal", "size").alias("rest"),
+        F.array_sort(item(F.col("_last").isNotNull(), (-F.col("_last")).alias("place"), F.col("ordinal"), F.col("size"))).alias("lasts"), F.collect_list(F.when(fixed, F.col("ordinal"))).alias("kept"),
     )
     court = text.strip(F.coalesce("court_summary", F.lit("")))
     j = judgments.select(F.col("id").alias("judgment_id"), court.alias("court"), F.substring(text.strip(F.coalesce("content_text", F.lit(""))), 1, max_chars).alias("body"))
-    g = j.join(grouped, "judgment_id", "left").withColumn("used", F.col("used") + F.when(F.col("court") != "", F.length("court") + 2).otherwise(0))
-    g = g.withColumn("taken", greedy_fill(F.col("rest"), F.lit(max_chars) - F.col("used")))
-    taken_size = F.aggregate(F.filter("rest", lambda r: F.array_contains("taken", r["ordinal"])), F.lit(0).cast("long"), lambda a, r: a + r["size"])
-    g = g.withColumn("used", F.col("used") + taken_size)
+    lead = j.select("judgment_id", F.when(F.col("court") != "", F.length("court") + 2).otherwise(0).alias("lead"))
+    g = grouped.join(lead, "judgment_id").withColumn("used", F.col("used") + F.col("lead"))
+    g = g.withColumn("fill", greedy_state(F.col("rest"), F.lit(max_chars) - F.col("used"))).withColumn("used", F.col("used") + F.col("fill.used"))
     start = F.struct(F.col("used").alias("used"), F.expr("cast(array() as array<int>)").alias("dropped"))
     over = lambda s, x: F.when(s["used"] > max_chars, F.struct((s["used"] - x["size"]).alias("used"), F.concat(s["dropped"], F.array(x["ordinal"])).alias("dropped"))).otherwise(s)
-    g = g.withColumn("dropped", F.aggregate("lasts", start, over)["dropped"])
-    chosen = F.filter("all", lambda a: (F.exists("kept", lambda k: k["ordinal"] == a["ordinal"]) | F.array_contains("taken", a["ordinal"])) & ~F.array_contains("dropped", a["ordinal"]) & (a["rendered"] != ""))
-    parts = F.concat(F.when(F.col("court") != "", F.array(F.concat(F.lit("## Court Summary\n"), "court"))).otherwise(F.expr("cast(array() as array<string>)")), F.transform(chosen, lambda a: a["rendered"]))
-    return g.select("judgment_id", F.when(F.col("all").isNull(), F.col("body")).otherwise(F.substring(F.array_join(parts, "\n\n"), 1, max_chars)).alias("input_text"))
+    chosen = F.array_except(F.array_union("kept", F.col("fill.taken")), F.aggregate("lasts", start, over)["dropped"])
+    picked = g.select("judgment_id", F.explode(chosen).alias("ordinal"))
+    texts = f.filter("rendered <> ''").select("judgment_id", "ordinal", "rendered").join(picked, ["judgment_id", "ordinal"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "rendered"))), lambda a: a["rendered"])
+    joined = texts.groupBy("judgment_id").agg(F.array_join(ordered, "\n\n").alias("joined"))
+    out = j.join(grouped.select("judgment_id", F.lit(True).alias("has")), "judgment_id", "left").join(joined, "judgment_id", "left")
+    whole = F.concat_ws("\n\n", F.when(F.col("court") != "", F.concat(F.lit("## Court Summary\n"), "court")), "joined")
+    return out.select("judgment_id", F.when(F.col("has"), F.substring(whole, 1, max_chars)).otherwise(F.col("body")).alias("input_text"))
 
 
 def clean_drafts(drafts: DataFrame, draft: str = "draft", fragments: str = "n_fragments", to: str = "summary") -> DataFrame:

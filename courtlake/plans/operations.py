@@ -330,6 +330,7 @@ def _judgment_table(spark, sf_dir):
                     F.col("text").alias("content_text"), F.when(i % 2 == 0, " Court view ").alias("court_summary"), F.lit(1).alias("has_content"), F.lit(None).cast("string").alias("summary"), F.size(F.split("text", "\n")).alias("fragment_count"))
 
 
+_STRIPPED_BODY = "regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '')"
 _LIMIT = "(4000 + greatest(0, (n - 100) // 100) * 1000)"
 _TEXT = "regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') <> ''"
 
@@ -351,7 +352,22 @@ def summary_inputs(spark, sf_dir):
     return summaries.summary_inputs(_judgment_table(spark, sf_dir), frags(spark, sf_dir), _failures(a), _now(a))
 
 
-@query()
+@query(f"""WITH RECURSIVE {SQL_FRAGS}, r0 AS (SELECT *, {_RENDER} AS t, class_name LIKE 'Judg-Heading-%' AS heading, class_name IN ('Judg-1', 'Judg-1-firstpara') AND paragraph_number IS NOT NULL AS numbered FROM frags),
+r1 AS (SELECT judgment_id, ordinal, t, heading, numbered, length(t) + 2 AS size, CASE WHEN has_footnotes = 1 THEN 2.0 ELSE 0.0 END + CASE WHEN ordinal % 3 = 0 THEN 3.0 ELSE 0.0 END + CASE WHEN has_table = 1 THEN 0.5 ELSE 0.0 END + CAST(0.1 AS DOUBLE) * least(length(content_text), 500) / 100 AS score,
+    row_number() OVER (PARTITION BY judgment_id, numbered ORDER BY paragraph_number, ordinal) AS a, row_number() OVER (PARTITION BY judgment_id, numbered ORDER BY paragraph_number DESC, ordinal DESC) AS z FROM r0),
+r2 AS (SELECT *, heading OR (numbered AND (a = 1 OR z <= 3)) AS fixed FROM r1),
+c AS (SELECT CAST(doc_id AS VARCHAR) AS judgment_id, CASE WHEN doc_id % 2 = 0 THEN 'Court view' END AS court, text FROM documents),
+base AS (SELECT judgment_id, CAST(coalesce(sum(size) FILTER (WHERE fixed), 0) + coalesce(max(length(court) + 2), 0) AS BIGINT) AS used FROM r2 JOIN c USING (judgment_id) GROUP BY judgment_id),
+k AS (SELECT judgment_id, ordinal, size, row_number() OVER (PARTITION BY judgment_id ORDER BY score DESC, ordinal) AS place FROM r2 WHERE NOT fixed AND NOT numbered),
+g(judgment_id, place, used, ordinal, taken) AS (SELECT judgment_id, CAST(0 AS BIGINT), used, -1, false FROM base
+    UNION ALL SELECT g.judgment_id, k.place, g.used + CASE WHEN g.used + k.size <= 2000 THEN k.size ELSE 0 END, k.ordinal, g.used + k.size <= 2000 FROM g JOIN k ON k.judgment_id = g.judgment_id AND k.place = g.place + 1),
+filled AS (SELECT judgment_id, max(used) AS used FROM g GROUP BY judgment_id),
+l AS (SELECT judgment_id, ordinal, size, row_number() OVER (PARTITION BY judgment_id ORDER BY z DESC) AS place FROM r2 WHERE numbered AND z <= 3),
+o AS (SELECT l.judgment_id, l.ordinal FROM l JOIN filled f USING (judgment_id) WHERE f.used - coalesce((SELECT sum(b.size) FROM l b WHERE b.judgment_id = l.judgment_id AND b.place < l.place), 0) > 2000),
+p AS (SELECT judgment_id, ordinal, t FROM r2 WHERE t <> '' AND (fixed OR (judgment_id, ordinal) IN (SELECT (judgment_id, ordinal) FROM g WHERE taken)) AND (judgment_id, ordinal) NOT IN (SELECT (judgment_id, ordinal) FROM o)),
+j AS (SELECT judgment_id, string_agg(t, chr(10) || chr(10) ORDER BY ordinal) AS joined FROM p GROUP BY judgment_id)
+SELECT c.judgment_id, CASE WHEN base.used IS NULL THEN substr(coalesce({_STRIPPED_BODY}, ''), 1, 2000) ELSE substr(concat_ws(chr(10) || chr(10), '## Court Summary' || chr(10) || court, joined), 1, 2000) END AS input_text
+FROM c LEFT JOIN base USING (judgment_id) LEFT JOIN j USING (judgment_id)""")
 def select_summary_input(spark, sf_dir):
     """Q5, T6, F20."""
     f = frags(spark, sf_dir).withColumn("section_heading", F.when(F.col("ordinal") % 3 == 0, "Holding"))

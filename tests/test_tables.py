@@ -88,3 +88,28 @@ def test_pages_are_parsed_once(spark):
     assert count(lazy) == 1
     once, columns = judgments.fragments.extract(pages, "now", once=True)
     assert count(once) == count(columns) == 0
+
+
+def test_a_judgment_of_many_fragments(spark):
+    """Headings, ends and best paragraphs of 50,000 fragments against a loop."""
+    n, limit = 50_000, 20_000
+    i = F.col("id")
+    f = spark.range(n).select(
+        F.lit("j").alias("judgment_id"), i.cast("int").alias("ordinal"), F.when(i % 5000 == 0, "Judg-Heading-1").when(i % 3 == 0, "Judg-1").otherwise("Judg-2").alias("class_name"),
+        F.when((i % 3 == 0) & (i % 5000 > 0), i.cast("int")).alias("paragraph_number"), F.concat(F.lit("text "), F.repeat(F.lit("x"), (i * 7919 % 97).cast("int"))).alias("content_text"),
+        (i % 13 == 0).cast("int").alias("has_footnotes"), (i % 17 == 0).cast("int").alias("has_table"), F.lit(None).cast("string").alias("section_heading"),
+    )
+    j = spark.createDataFrame([("j", None, "Court"), ("empty", " body ", None)], "id string, content_text string, court_summary string")
+    got = {r.judgment_id: r.input_text for r in summaries.select_summary_input(j, f, limit).collect()}
+    rows = [(k, "text " + "x" * (k * 7919 % 97)) for k in range(n)]
+    show = lambda k, t: f"## {t}" if k % 5000 == 0 else f"[{k}] {t}" if k % 3 == 0 else t
+    shown = {k: show(k, t.strip()) for k, t in rows}
+    numbered = [k for k in range(n) if k % 3 == 0 and k % 5000]
+    kept = {k for k in range(n) if k % 5000 == 0} | {numbered[0], *numbered[-3:]}
+    used = len("Court") + 2 + sum(len(shown[k]) + 2 for k in kept)
+    worth = lambda k: 2.0 * (k % 13 == 0) + 0.5 * (k % 17 == 0) + 0.1 * len(rows[k][1]) / 100
+    for k in sorted((k for k in range(n) if k % 3 and k not in kept), key=lambda k: (-worth(k), k)):
+        if used + len(shown[k]) + 2 <= limit:
+            used += len(shown[k]) + 2
+            kept.add(k)
+    assert got == {"j": "\n\n".join(["## Court Summary\nCourt", *(shown[k] for k in sorted(kept))])[:limit], "empty": "body"}
