@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from courtlake.plans.registry import query, table
+from courtlake.operators import catalog, ledger, monitor
+from courtlake.plans import judgments, operations
+from courtlake.plans.registry import ORACLES, QUERIES, SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
+from courtlake.sources import files
 from courtlake.sources.files import SUMMARY
 from courtlake.sources.scratch import new_folder
-from courtlake.streaming import archive
+from courtlake.streaming import archive, streams
 
 
 def _deliver(df, key, value, at):
@@ -45,3 +48,78 @@ def archive_summaries(spark, sf_dir):
     good = archive.read_archive(spark, f"{at}/out", f"id string, {SUMMARY}").select("id", "summary", "frags_total", F.lit(None).cast("string").alias("reason"))
     bad = archive.read_corrupt(spark, f"{at}/out").select("id", F.lit(None).cast("string").alias("summary"), F.lit(None).cast("int").alias("frags_total"), "reason")
     return good.unionByName(bad)
+
+
+@query(ORACLES["progress_rollup"])
+def progress_log_round_trip(spark, sf_dir):
+    """The progress log written as JSON lines and read back."""
+    u, at = F.col("user_id"), new_folder(spark, "progress")
+    log = table(spark, sf_dir, "events").select(
+        F.lit("attempt").alias("event"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), F.col("event_type").alias("status"), F.concat(F.lit("m"), (u % 3).cast("string")).alias("model"),
+        F.concat(F.lit("SG"), (u % 5).cast("string")).alias("court"), (u % 2 == 0).alias("alt"))
+    files.write_payload(log, at)
+    return monitor.progress_rollup(files.read_progress_log(spark, at))
+
+
+@query(ORACLES["token_rollup"])
+def token_log_round_trip(spark, sf_dir):
+    """The token log written as JSON lines and read back."""
+    u, i, at = F.col("user_id"), F.col("event_id"), new_folder(spark, "tokens")
+    log = table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), F.concat(F.lit("e"), (u % 2).cast("string")).alias("endpoint"), F.concat(F.lit("m"), (u % 3).cast("string")).alias("model"),
+        F.col("event_type").alias("call_type"), (i % 100).alias("prompt_tokens"), (i % 10).alias("completion_tokens"))
+    files.write_payload(log, at, agent="builder")
+    return monitor.token_rollup(files.read_token_log(spark, at))
+
+
+@query(f"""WITH {SQL_FRAGS} SELECT judgment_id, ordinal, content_text FROM frags WHERE doc_id % 5 <> 0 UNION ALL SELECT judgment_id, ordinal, 'new' FROM frags WHERE doc_id % 5 = 0 AND ordinal = 0""")
+def replaced_fragments(spark, sf_dir):
+    """Stored fragments of every 5th judgment replaced, by folders of buckets."""
+    f, at = frags(spark, sf_dir).select("judgment_id", "doc_id", "ordinal", "content_text"), new_folder(spark, "fragments")
+    files.replace_fragments(f, at)
+    new = f.filter("doc_id % 5 = 0 and ordinal = 0").withColumn("content_text", F.lit("new"))
+    touched = [r.bucket for r in new.select(F.pmod(F.xxhash64("judgment_id"), F.lit(64)).cast("int").alias("bucket")).distinct().collect()]  # 64 at most
+    held = spark.read.parquet(at).filter(F.col("bucket").isin(touched)).drop("bucket")
+    files.replace_fragments(catalog.replace_for(held, new), at)
+    return spark.read.parquet(at).select("judgment_id", "ordinal", "content_text")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS judgment_id, n_chars AS input_chars, 'large' AS model, 'https://models' AS endpoint, '2026-07-16' AS generated_at FROM documents")
+def payload_round_trip(spark, sf_dir):
+    """Results as JSON with time, model and endpoint."""
+    at = new_folder(spark, "payload")
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("judgment_id"), F.col("n_chars").alias("input_chars"))
+    files.write_payload(rows, at, model="large", endpoint="https://models", generated_at="2026-07-16")
+    return spark.read.schema("judgment_id string, input_chars long, model string, endpoint string, generated_at string").json(at)
+
+
+@query(ORACLES["audit"])
+def audit_report_round_trip(spark, sf_dir):
+    """The report of an audit as JSON."""
+    at = new_folder(spark, "audit")
+    files.write_audit_report(QUERIES["audit"](spark, sf_dir), at)
+    return spark.read.schema("id string, issues string, action string, repaired string").json(at)
+
+
+@query(ORACLES["extract_fragments"])
+def stream_extract_pages(spark, sf_dir):
+    """Detail pages as a stream of files, every 5th of them twice; fragments as extract_fragments gives them."""
+    pages, at = judgments.detail_html(spark, sf_dir), new_folder(spark, "pages")
+    number = F.pmod(F.xxhash64("id"), F.lit(10))
+    pages.filter(number < 6).coalesce(1).write.parquet(f"{at}/in")
+    pages.filter((number >= 6) | (number < 2)).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    source = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    streams.stream_extract(source, judgments.NOW, f"{at}/out", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    return judgments.shown_fragments(spark.read.parquet(f"{at}/out"))
+
+
+@query(f"""WITH {SQL_ATTEMPTS}, failures AS (SELECT id, count(*) % 8 AS count, max(ts) AS last_attempt FROM attempts WHERE NOT ok GROUP BY id),
+d AS (SELECT CAST(doc_id AS VARCHAR) AS id, '2020-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') AS decision_date FROM documents),
+t AS (SELECT d.*, coalesce(count, 0) AS n, CASE WHEN coalesce(count, 0) < 3 THEN 'primary' WHEN count >= 6 AND epoch((SELECT max(ts) + INTERVAL 1 HOUR FROM events)) - epoch(last_attempt) < 604800 THEN 'blocked' ELSE 'alternative' END AS tier
+    FROM d LEFT JOIN failures USING (id))
+SELECT id, tier FROM t WHERE tier <> 'blocked' ORDER BY n >= 3 DESC, decision_date DESC, id LIMIT 50""")
+def next_summaries(spark, sf_dir):
+    """The next 50 judgments to summarise, those that failed often first, then the newest."""
+    a = attempts(spark, sf_dir)
+    tiered = ledger.with_tier(catalog.summary_backlog(operations.judgment_table(spark, sf_dir)), operations.failures(a), operations.now(a))
+    return catalog.newest(tiered.filter("tier <> 'blocked'"), 50, F.desc("priority")).select("id", "tier")

@@ -60,7 +60,11 @@ def fragments_html(spark, sf_dir):
 @query(f"WITH {SQL_FRAGS}, {_BODY} SELECT * EXCLUDE (doc_id) FROM x")
 def extract_fragments(spark, sf_dir):
     """Q2: H2-H5, W1-W4, J3, F11-F16 on pages built from lines."""
-    f, _ = fragments.extract(detail_html(spark, sf_dir), NOW)
+    return shown_fragments(fragments.extract(detail_html(spark, sf_dir), NOW)[0])
+
+
+def shown_fragments(f):
+    """The columns that the query compares, lists as text."""
     joined = lambda c: F.array_join(c, ",").alias
     return f.select("id", "judgment_id", "ordinal", "class_name", "paragraph_number", "section_heading", "content_text", joined("footnote_text")("footnotes"), "has_footnotes", "has_table", "has_figure", joined("figure_src")("figures"))
 

@@ -20,7 +20,7 @@ ledger AS (SELECT a.id, count(*) AS count, substr(arg_max(error, (ts, seq)), 1,
 _NOW = "(SELECT max(ts) + INTERVAL 1 HOUR FROM events)"
 
 
-def _now(a):
+def now(a):
     """One hour after the last attempt: a single value."""
     return (a.agg(F.max("ts")).first()[0] + timedelta(hours=1)).isoformat(sep=" ")
 
@@ -31,7 +31,7 @@ def ledger_from_attempts(spark, sf_dir):
     return ledger.ledger_from_attempts(attempts(spark, sf_dir))
 
 
-def _failures(a):
+def failures(a):
     """A harsher ledger for the tiers: all failures of a document."""
     return a.filter("not ok").groupBy("id").agg((F.count(F.lit(1)) % 8).alias("count"), F.max("ts").alias("last_attempt"), F.lit("x").alias("last_error"))
 
@@ -43,7 +43,7 @@ _FAILURES = "failures AS (SELECT id, count(*) % 8 AS count, max(ts) AS last_atte
 def exclude_quarantined(spark, sf_dir):
     """F29, J4."""
     a = attempts(spark, sf_dir)
-    return ledger.exclude_quarantined(a.select("id").distinct(), _failures(a), _now(a))
+    return ledger.exclude_quarantined(a.select("id").distinct(), failures(a), now(a))
 
 
 @query(f"""WITH {SQL_ATTEMPTS}, {_FAILURES} SELECT id, count AS failures, CASE WHEN coalesce(count, 0) < 3 THEN 'primary' WHEN count >= 6 AND epoch({_NOW}) - epoch(last_attempt) < 604800 THEN 'blocked' ELSE 'alternative' END AS tier,
@@ -51,7 +51,7 @@ def exclude_quarantined(spark, sf_dir):
 def summary_tiers(spark, sf_dir):
     """F30, J9, P9."""
     a = attempts(spark, sf_dir)
-    return ledger.with_tier(a.select("id").distinct(), _failures(a), _now(a)).withColumn("model", text.model_route(F.col("tier"), "small", "large"))
+    return ledger.with_tier(a.select("id").distinct(), failures(a), now(a)).withColumn("model", text.model_route(F.col("tier"), "small", "large"))
 
 
 @query(f"""WITH {SQL_ATTEMPTS}, i AS (SELECT *, sum(CAST(ok AS INTEGER)) OVER (PARTITION BY run_id, phase ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS island FROM attempts),
@@ -323,7 +323,7 @@ def bucketed_batches(spark, sf_dir):
     return found
 
 
-def _judgment_table(spark, sf_dir):
+def judgment_table(spark, sf_dir):
     i = F.col("doc_id")
     d = table(spark, sf_dir, "documents").dropDuplicates(["doc_id"])
     return d.select(i.cast("string").alias("id"), F.concat(F.lit("Case "), i.cast("string")).alias("case_name"), F.lit("[2020] SGHC 1").alias("citation"), F.format_string("2020-01-%02d", 1 + i % 28).alias("decision_date"),
@@ -349,7 +349,7 @@ FROM t LEFT JOIN b ON b.judgment_id = id WHERE tier <> 'blocked'""")
 def summary_inputs(spark, sf_dir):
     """Q4: P4, J4, J9, T2, J7, F19, W8, F17, F18, F21."""
     a = attempts(spark, sf_dir)
-    return summaries.summary_inputs(_judgment_table(spark, sf_dir), frags(spark, sf_dir), _failures(a), _now(a))
+    return summaries.summary_inputs(judgment_table(spark, sf_dir), frags(spark, sf_dir), failures(a), now(a))
 
 
 @query(f"""WITH RECURSIVE {SQL_FRAGS}, r0 AS (SELECT *, {_RENDER} AS t, class_name LIKE 'Judg-Heading-%' AS heading, class_name IN ('Judg-1', 'Judg-1-firstpara') AND paragraph_number IS NOT NULL AS numbered FROM frags),
@@ -371,7 +371,7 @@ FROM c LEFT JOIN base USING (judgment_id) LEFT JOIN j USING (judgment_id)""")
 def select_summary_input(spark, sf_dir):
     """Q5, T6, F20."""
     f = frags(spark, sf_dir).withColumn("section_heading", F.when(F.col("ordinal") % 3 == 0, "Holding"))
-    return summaries.select_summary_input(_judgment_table(spark, sf_dir), f, 2000)
+    return summaries.select_summary_input(judgment_table(spark, sf_dir), f, 2000)
 
 
 # monitoring
