@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from contextlib import contextmanager
 from datetime import timedelta
 
@@ -284,8 +285,9 @@ def summaries_write_back(spark, sf_dir):
 
 
 def _first_words(summary: str, part: str, limit: int) -> str:
-    """A stand-in for a model: the summary so far and the first ten words of the batch."""
-    return " ".join([summary, *part.split()[:10]]).strip()
+    """A stand-in for a model: the summary so far, the first ten words of the batch, the number of its words and its hash."""
+    words = part.split()
+    return " ".join([summary, *words[:10], str(len(words)), hashlib.md5(part.encode()).hexdigest()]).strip()
 
 
 _SPLIT = "list_filter(string_split_regex(t, '\\s+'), lambda x: x <> '')"
@@ -293,7 +295,7 @@ _SPLIT = "list_filter(string_split_regex(t, '\\s+'), lambda x: x <> '')"
 
 @query(f"""WITH {SQL_FRAGS}, r AS (SELECT judgment_id, ordinal, {_RENDER} AS t FROM frags), s AS (SELECT *, row_number() OVER (PARTITION BY judgment_id ORDER BY ordinal) - 1 AS idx, count(*) OVER (PARTITION BY judgment_id) AS n FROM r WHERE t <> ''),
 b AS (SELECT judgment_id, floor(idx / greatest(10, ceil(n / 20))) AS batch, string_agg(t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY idx) AS t FROM s GROUP BY ALL)
-SELECT judgment_id AS id, string_agg(array_to_string({_SPLIT}[1:10], ' '), ' ' ORDER BY batch) AS draft, 'ok' AS status FROM b GROUP BY judgment_id""")
+SELECT judgment_id AS id, string_agg(array_to_string({_SPLIT}[1:10], ' ') || ' ' || len({_SPLIT}) || ' ' || md5(t), ' ' ORDER BY batch) AS draft, 'ok' AS status FROM b GROUP BY judgment_id""")
 def rolling_fold(spark, sf_dir):
     """H6 with a stand-in model."""
     batches = summaries.batch_texts(frags(spark, sf_dir)).select(F.col("judgment_id").alias("id"), "batch", F.col("batch_text").alias("input_text"), F.lit(10**9).alias("max_chars"))
