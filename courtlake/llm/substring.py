@@ -217,18 +217,22 @@ def aligned_hits(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed:
     good, agreeing = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
     if len(tokens) < width:
         return np.flatnonzero(good), agreeing
-    order = np.argsort(other, kind="stable")
-    ranked = other[order]
-    low, high = np.searchsorted(ranked, tokens), np.searchsorted(ranked, tokens, side="right")
     enough = lambda hit: (sums := np.append(0, np.cumsum(hit)))[width:] - sums[:-width] >= hits_needed
-    if not enough(high > low).any():
+    order = np.argsort(other)
+    ranked = other[order]
+    low = np.searchsorted(ranked, tokens)
+    met = np.flatnonzero(ranked[np.minimum(low, len(ranked) - 1)] == tokens) if len(ranked) else np.empty(0, np.int64)
+    there = np.zeros(len(tokens), bool)
+    there[met] = True
+    if len(met) < hits_needed or not enough(there).any():
         return np.flatnonzero(good), agreeing
-    counts = high - low
-    own = np.repeat(np.arange(len(tokens)), counts)
+    low = low[met]
+    counts = np.searchsorted(ranked, tokens[met], side="right") - low
+    own = np.repeat(met, counts)
     there = order[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(len(own))]
     step = max(1, width // 8)
     band = (there - own) // step
-    by_band = np.argsort(band, kind="stable")
+    by_band = np.argsort(band)
     own, bands = own[by_band], band[by_band]
     names, begin = np.unique(bands, return_index=True)
     ends = np.append(begin[1:], len(bands))
