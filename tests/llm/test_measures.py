@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from courtlake.llm import quality, sharding, substring, token_counts
@@ -83,16 +84,37 @@ def test_bounded_ring_moves_little(spark):
     assert sum(b[i] != 40 for i in moved) < 0.035 * len(a)
 
 
-def test_sharding_against_a_walk_of_the_ring(docs, texts):
-    """Every row is in its own shard or in the next one clockwise with room, so only full shards are passed over."""
-    nodes = sharding.ring(7, 8)
-    got = sharding.shard_rows(docs, shards=7, virtual_nodes=8).collect()
-    sizes = Counter(r.shard for r in got)
-    limits = sharding.capacities(len(got), 7)
-    assert all(sizes[s] == limits[s] for s in range(7)) and len(nodes) <= 56
+@pytest.mark.parametrize(("shards", "virtual_nodes"), [(7, 8), (3, 1), (40, 64)])
+def test_sharding_against_a_walk_of_the_ring(docs, texts, shards, virtual_nodes):
+    """Row by row: own shard while it has room, then clockwise to the next with room; how many of each arc end where."""
+    nodes = sharding.ring(shards, virtual_nodes)
+    got = sharding.shard_rows(docs, shards=shards, virtual_nodes=virtual_nodes).collect()
     t = dict(texts)
     assert all(r.text_crc32 == zlib.crc32((t[r.doc_id] or "").encode()) for r in got)
 
+    def arc(doc_id):
+        cell = xxhash.xxh64((t[doc_id] or "").encode(), seed=42).intdigest() >> (64 - sharding.CELL_BITS)
+        return next((i for i, (c, _) in enumerate(nodes) if c >= cell), 0)
+
+    room = [len(got) // shards + (s < len(got) % shards) for s in range(shards)]
+    rows, want, left = sorted(arc(r.doc_id) for r in got), Counter(), []
+    for a in rows:
+        own = nodes[a][1]
+        if room[own]:
+            room[own] -= 1
+            want[a, own] += 1
+        else:
+            left.append(a)
+    for a in left:
+        at = a
+        while not room[nodes[at][1]]:
+            at = (at + 1) % len(nodes)
+        room[nodes[at][1]] -= 1
+        want[a, nodes[at][1]] += 1
+    assert Counter((arc(r.doc_id), r.shard) for r in got) == want
+    for s in range(shards):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
 
 def test_broadcast_is_bounded_by_bytes(spark):
     hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
@@ -107,7 +129,6 @@ def test_passages_leave_only_their_result_behind(spark, docs):
     folder = shared_folder(spark).removeprefix("file:")
     before = {x for x in os.listdir(folder) if x.startswith("llm-")}
     substring.repeated_passages(docs).count()
-    print(set(os.listdir(folder)) - before)
     assert len({x for x in os.listdir(folder) if x.startswith("llm-")} - before) <= 4
 
 
