@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from courtlake.operators import catalog, ledger, monitor
 from courtlake.plans import judgments, operations
-from courtlake.plans.registry import ORACLES, QUERIES, SQL_ATTEMPTS, SQL_FRAGS, attempts, frags, query, table
-from courtlake.sources import files
+from courtlake.plans.registry import ORACLES, QUERIES, SQL_ATTEMPTS, SQL_FRAGS, SQL_LISTED, attempts, frags, listed, query, table
+from courtlake.sources import bucketed, files
 from courtlake.sources.files import SUMMARY
 from courtlake.sources.scratch import new_folder
 from courtlake.streaming import archive, streams
@@ -123,3 +123,46 @@ def next_summaries(spark, sf_dir):
     a = attempts(spark, sf_dir)
     tiered = ledger.with_tier(catalog.summary_backlog(operations.judgment_table(spark, sf_dir)), operations.failures(a), operations.now(a))
     return catalog.newest(tiered.filter("tier <> 'blocked'"), 50, F.desc("priority")).select("id", "tier")
+
+
+@query(ORACLES["ledger_from_attempts"])
+def ledger_round_trip(spark, sf_dir):
+    """The ledger as failure maps, one JSON file for each of eight groups of ids, and read back."""
+    at = new_folder(spark, "ledger")
+    found = ledger.ledger_from_attempts(attempts(spark, sf_dir))
+    entry = F.struct(F.col("count").cast("int").alias("count"), "last_error", F.col("last_attempt").cast("string").alias("last_attempt"))
+    maps = found.groupBy(F.pmod(F.xxhash64("id"), F.lit(8)).alias("part")).agg(F.map_from_entries(F.collect_list(F.struct("id", entry))).alias("failures"))
+    maps.select("part", F.to_json(F.struct("failures")).alias("value")).repartition("part").write.partitionBy("part").text(at)
+    read = files.read_ledger(spark, at)
+    return read.select("id", F.col("count").cast("long").alias("count"), "last_error", F.col("last_attempt").cast("timestamp_ntz").alias("last_attempt"))
+
+
+@query(f"""WITH {SQL_FRAGS} SELECT judgment_id AS id, CAST(count(*) AS INTEGER) AS fragments, CAST(sum(length(content_text)) AS BIGINT) AS chars, CAST(max(ordinal) AS INTEGER) AS last, NULL AS reason
+FROM frags WHERE doc_id % 11 <> 4 GROUP BY judgment_id UNION ALL SELECT DISTINCT judgment_id, NULL, NULL, NULL, 'json' FROM frags WHERE doc_id % 11 = 4""")
+def archive_extractions(spark, sf_dir):
+    """Cached parses with their fragments as one JSON file each, every 11th cut short."""
+    at = new_folder(spark, "extractions")
+    f = frags(spark, sf_dir).select("judgment_id", "doc_id", "ordinal", "content_text")
+    rows = F.sort_array(F.collect_list(F.struct("ordinal", "content_text")))
+    parsed = f.groupBy("judgment_id", "doc_id").agg(rows.alias("fragments")).withColumn("whole", F.to_json(F.struct("judgment_id", "fragments")))
+    text = F.when(F.col("doc_id") % 11 == 4, F.substring("whole", 1, 30)).otherwise(F.col("whole"))
+    _deliver(parsed, F.col("judgment_id"), text, f"{at}/in")
+    archive.ingest_extractions(spark, f"{at}/in", f"{at}/out", name=r"/id=(\d+)/", glob="part-*")
+    each = F.aggregate("fragments", F.lit(0).cast("long"), lambda a, x: a + F.length(x["content_text"]))
+    good = archive.read_archive(spark, f"{at}/out", f"id string, {files.EXTRACTION}")
+    good = good.select("id", F.size("fragments").alias("fragments"), each.alias("chars"), F.array_max(F.transform("fragments", lambda x: x["ordinal"])).alias("last"), F.lit(None).cast("string").alias("reason"))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    bad = archive.read_corrupt(spark, f"{at}/out").select("id", none("int", "fragments"), none("long", "chars"), none("int", "last"), "reason")
+    return good.unionByName(bad)
+
+
+@query(f"""WITH {SQL_LISTED}, known AS (SELECT id FROM listed WHERE page_id % 3 = 0) SELECT 'total' AS kind, count(*) AS n FROM listed
+UNION ALL SELECT 'new', count(*) FROM listed WHERE id NOT IN (SELECT id FROM known) UNION ALL SELECT 'known', count(*) FROM listed WHERE id IN (SELECT id FROM known)""")
+def staging_counts(spark, sf_dir):
+    """New listing rows staged, with the counts that the write itself took."""
+    rows = listed(spark, sf_dir)
+    known = rows.filter("page_id % 3 = 0").select("id", F.lit(True).alias("known")).distinct()
+    marked = rows.join(known, "id", "left")
+    new = F.col("known").isNull()
+    counts = bucketed.write_counted(marked, new_folder(spark, "staged"), keep=new, total=F.count(F.lit(1)), new=F.count_if(new), known=F.count_if(~new))
+    return spark.createDataFrame(sorted(counts.items()), "kind string, n long")

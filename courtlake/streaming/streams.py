@@ -28,7 +28,9 @@ def stream_progress(log: DataFrame, window: str = "1 hour", late: str = "1 day")
 
 def stream_extract(pages: DataFrame, now: str, target: str, checkpoint: str, buckets: int = 64):
     """New pages (id, html) to fragments under `target`, a folder per bucket of judgments; a page that comes again adds
-    nothing."""
+    nothing, nor does a batch that is repeated.  What is known is read before the batch is written: one stream may write to a
+    target at a time.
+    """
 
     def write(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession

@@ -26,8 +26,8 @@ def test_attachment_and_headings(spark):
     assert f[0].has_table == 1 and f[0].content_text.startswith("One\n\n---table---")
     f, _ = extract(spark, '<div class="Judg-1">1&nbsp;One</div><img src="a.png" alt="x"><div class="Judg-1">2&nbsp;Two</div>')
     assert f[0].figure_src == ["a.png"] and f[0].figure_descriptions == ["x"] and f[1].figure_src is None
-    f, _ = extract(spark, '<p class="Judg-Heading-1">Background</p><p class="Judg-1">1 a</p><p class="Judg-Heading-1"></p><p class="Judg-2">b</p><p class="Judg-Heading-2">Analysis</p><p class="Judg-1">2 c</p><p class="Judg-EOF">x</p>')
-    assert [x.section_heading for x in f] == [None, "Background", None, "Background", None, "Analysis"]
+    f, _ = extract(spark, '<p class="Judg-Heading-1">How it came about</p><p class="Judg-1">1 a</p><p class="Judg-Heading-1"></p><p class="Judg-2">b</p><p class="Judg-Heading-2">On the lease</p><p class="Judg-1">2 c</p><p class="Judg-EOF">x</p>')
+    assert [x.section_heading for x in f] == [None, "How it came about", None, "How it came about", None, "On the lease"]
     assert [x.id for x in f] == [f"j_{i:04d}" for i in range(6)]
 
 
@@ -55,7 +55,7 @@ def test_sources(spark, tmp_path):
     cache = tmp_path / "cache"
     cache.mkdir()
     (cache / "a.json").write_text(json.dumps({"judgment_id": "a", "summary": "s", "frags_total": 3}, indent=1))
-    (cache / "b.json").write_text("{ not valid json")
+    (cache / "b.json").write_text('{"judgment_id": "b", "summ')
     good, bad = files.split_corrupt(files.read_summaries(spark, str(cache)))
     assert [r.judgment_id for r in good.collect()] == ["a"] and [r.file_name for r in bad.collect()] == ["b.json"]
     ledger = tmp_path / "ledger.json"
