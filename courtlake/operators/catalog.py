@@ -47,8 +47,9 @@ def new_items(items: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def first_occurrence(items: DataFrame, *order: str) -> DataFrame:
-    """The first row of each id by the given keys; among equal ones the smallest as JSON text."""
-    place = F.row_number().over(Window.partitionBy("id").orderBy(*order, F.to_json(F.struct(*items.columns))))
+    """The first row of each id by the given keys; among equal ones the one of the smallest hash."""
+    hashed = F.xxhash64(*(F.to_json(c) if "map<" in kind else F.col(c) for c, kind in items.dtypes))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(*order, hashed))
     return items.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
