@@ -8,6 +8,7 @@ terms only.  A batch of documents adds its own folders; document frequencies are
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,13 +56,20 @@ def add_to_index(texts: DataFrame, path: str, batch: str, id_col: str = "id", te
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
     """Blocks of the index: term, block, docs, n, most, least, and the folders' batch and bucket."""
-    return spark.read.option("basePath", f"{path}/postings").parquet(f"{path}/postings")
+    try:
+        return spark.read.option("basePath", f"{path}/postings").parquet(f"{path}/postings")
+    except AnalysisException as e:  # an index of documents without terms has no block
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        kind = dict(spark.read.parquet(f"{path}/raw").dtypes)["id"]
+        docs = f"array<struct<id:{kind},tf:bigint,terms:bigint>>"
+        return spark.createDataFrame([], f"term string, block int, docs {docs}, n long, most long, least long, batch string, bucket int")
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
     """One row: documents and their mean number of terms."""
     stored = spark.read.option("basePath", f"{path}/sizes").parquet(f"{path}/sizes")
-    return stored.agg(F.sum("documents").alias("n"), (F.sum("terms") / F.sum("documents")).alias("mean"))
+    return stored.agg(F.sum("documents").alias("n"), F.try_divide(F.sum("terms"), F.sum("documents")).alias("mean"))
 
 
 def _part(idf: Column, tf: Column, terms: Column, mean: Column) -> Column:

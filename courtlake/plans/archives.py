@@ -166,3 +166,19 @@ def staging_counts(spark, sf_dir):
     new = F.col("known").isNull()
     counts = bucketed.write_counted(marked, new_folder(spark, "staged"), keep=new, total=F.count(F.lit(1)), new=F.count_if(new), known=F.count_if(~new))
     return spark.createDataFrame(sorted(counts.items()), "kind string, n long")
+
+
+@query("""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS build, event_type AS name, user_id FROM events),
+n AS (SELECT build, name, count(*) AS records, count(DISTINCT user_id) AS users FROM e GROUP BY ALL)
+SELECT build, CASE WHEN max(records) OVER (PARTITION BY build) > 2 THEN 'success' ELSE 'partial' END AS build_status, name, CASE WHEN name = 'error' THEN 'failed' ELSE 'success' END AS status, records, users FROM n""")
+def build_reports(spark, sf_dir):
+    """A build report as one JSON file a day, with a resource for each type of event."""
+    at, e = new_folder(spark, "reports"), table(spark, sf_dir, "events")
+    counted = e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("build"), F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("user_id").alias("users"))
+    status = F.when(F.col("name") == "error", "failed").otherwise("success")
+    resource = F.struct("name", status.alias("status"), "records", F.create_map(F.lit("users"), "users").alias("extra_counts"))
+    builds = counted.groupBy("build").agg(F.collect_list(resource).alias("resources"), F.max("records").alias("most"))
+    report = F.struct(F.when(F.col("most") > 2, "success").otherwise("partial").alias("status"), "resources")
+    builds.select("build", F.to_json(report).alias("value")).repartition("build").write.partitionBy("build").text(at)
+    read = files.read_build_reports(spark, at, r"/build=([^/]+)/")
+    return read.select("build", "build_status", "name", "status", "records", F.col("extra_counts")["users"].alias("users"))

@@ -77,9 +77,11 @@ def read_token_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOKENS).json(path)
 
 
-def read_build_reports(spark: SparkSession, path: str) -> DataFrame:
-    """One row per build (file) and resource."""
-    builds = spark.read.schema(REPORT).option("multiLine", True).json(path).select(_stem(r"^(.*?)\.json$").alias("build"), F.col("status").alias("build_status"), "total_duration_s", "resources")
+def read_build_reports(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """One row per build (file) and resource.  A build is named by its file, or by the first group of `name` in its path."""
+    build = _stem(r"^(.*?)\.json$") if name is None else F.regexp_extract("_metadata.file_path", name, 1)
+    reader = spark.read.schema(REPORT).option("multiLine", True).option("recursiveFileLookup", name is not None)
+    builds = reader.json(path).select(build.alias("build"), F.col("status").alias("build_status"), "total_duration_s", "resources")
     return builds.select("build", "build_status", "total_duration_s", F.inline("resources"))
 
 

@@ -51,3 +51,11 @@ def test_batches_blocks_and_skipping_give_the_same_as_one_index(spark, tmp_path)
         assert sorted(map(tuple, found.collect())) == want
     # the plan reads what the search stored, not the index and not the documents
     assert all("/search-" in f or "/many/sizes" in f for f in found.inputFiles())
+
+
+def test_an_index_without_terms(spark, tmp_path):
+    asked = spark.createDataFrame([(1, "one")], "query_id long, text string")
+    for name, rows in (("none", []), ("blank", [(1, None), (2, "..")])):
+        docs = spark.createDataFrame(rows, "id long, content_text string")
+        search.add_to_index(docs, f"{tmp_path}/{name}", "b")
+        assert search.search_stored(spark, f"{tmp_path}/{name}", asked).collect() == []
