@@ -18,8 +18,10 @@ pattern table.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,15 @@ NODES = 20_000
 TAILS = (24, 48, 96)
 #: Ranges that each length is ranked in.
 SALTS = 64
-#: Distinct words that a task keeps with their ids.
+#: Distinct words that a Python worker keeps with their ids.
 CACHE_WORDS = 1_000_000
 
 #: Texts of these characters alone need no normalisation beyond lower case, and split the same way everywhere.
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+")
+#: The byte-level pre-tokenizer's letters for all bytes: printable Latin-1 stands for itself, the rest for letters from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: chr(b if b in _PRINTABLE else 256 + i) for i, b in enumerate(sorted(range(256), key=lambda b: (b in _PRINTABLE, b)))}
 
 
 class Encoder:
@@ -49,26 +54,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of a word of a plain text: nothing is left to normalise or to split, so the merges alone give them."""
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        missing = list(words.difference(self.known))
-        for a in range(0, len(missing), 2000):
-            part = missing[a:a + 2000]
-            # words joined by spaces are the same words again: one call for all, cut by their numbers
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            raw, sizes = np.array(found.ids, "<u4").tobytes(), np.bincount(found.word_ids, minlength=len(part))
-            if len(sizes) != len(part) or not sizes.all():
-                self.known.update((word, self.whole(word)) for word in part)
-                continue
-            ends = [0, *np.cumsum(4 * sizes).tolist()]
-            self.known.update((word, raw[x:y]) for word, x, y in zip(part, ends, ends[1:], strict=False))
+        self.known.update((word, self.word(word)) for word in words.difference(self.known))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_WORDS.findall(t.lower()) if _PLAIN.fullmatch(t) and not any(s in t for s in self.specials) else None for t in texts]
@@ -77,11 +79,17 @@ class Encoder:
         return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder a Python worker: the tasks that it runs share the words they have met."""
+    return Encoder(path)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encoder = Encoder(path)
+    encoder = _encoder(path)
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for a in range(0, batch.num_rows, 200):
