@@ -146,6 +146,27 @@ def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterat
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc_id", "l", "c", "r"])
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of their keys, those whose key at least two documents hold.
+
+    Kept back from batch to batch are only rows of one key and one document.
+    """
+    back, shared = None, None
+    for batch in batches:
+        batch = batch if back is None else pa.concat_batches([back, batch])
+        back = None
+        if not batch.num_rows:
+            continue
+        keys, docs = (batch.column(n).to_numpy() for n in ("key", "doc_id"))
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        two = np.minimum.reduceat(docs, begin) < np.maximum.reduceat(docs, begin)
+        two[0] |= shared is not None and keys[0] == shared
+        shared = keys[-1] if two[-1] else None
+        if shared is None:
+            back = batch.slice(begin[-1])
+        yield batch.filter(pa.array(np.repeat(two, np.diff(np.append(begin, len(keys))))))
+
+
 def joined_windows(
     docs: np.ndarray, keys: np.ndarray, left: np.ndarray, centre: np.ndarray, right: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,50 +228,94 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             yield _pair_batch(ids[own], sig, first, last)
 
 
-def aligned_hits(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> tuple[np.ndarray, np.ndarray]:
+class Places:
+    """The distinct tokens of a text in order, and where each occurs: made once for all texts that are compared with it."""
+
+    def __init__(self, tokens: np.ndarray):
+        self.order = np.argsort(tokens)
+        ranked = tokens[self.order]
+        self.first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[:len(ranked)])
+        self.counts = np.diff(np.append(self.first, len(ranked)))
+        self.names = ranked[self.first]
+
+
+def _sums(flags: np.ndarray) -> np.ndarray:
+    """Number of flags before each place and before the end."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of signature, document and place, those of other documents than the group's first, with the first
+    document and the block of its first place."""
+    sig, head = None, (0, 0)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sigs, docs, first = (batch.column(n).to_numpy() for n in ("sig", "doc_id", "first"))
+        new = np.append(True, sigs[1:] != sigs[:-1])
+        begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+        source, place = docs[begin], first[begin].astype(np.int64)
+        if sig is not None and sigs[0] == sig:
+            source[0], place[0] = head
+        sig, head = sigs[-1], (source[-1], place[-1])
+        other = docs != source[group]
+        columns = [*batch.filter(pa.array(other)).columns, pa.array(source[group[other]]), pa.array((place[group[other]] // BLOCK).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "source", "source_block"])
+
+
+def aligned_hits(tokens: np.ndarray, other: np.ndarray | Places, width: int, hits_needed: int) -> tuple[np.ndarray, np.ndarray]:
     """First tokens of ranges of `width` that agree with one place of `other`, and the tokens that agree there.
 
     A token at i agrees with an equal one at j; j - i says how far they are apart.  Of a range enough tokens must agree at
     distances that differ by less than a quarter of the width, so the agreeing tokens of `other` lie in one range too, as
     long as that or a quarter longer, in about the same order.
     """
-    good, agreeing = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
-    if len(tokens) < width:
+    other = other if isinstance(other, Places) else Places(other)
+    n = len(tokens)
+    good, agreeing = np.zeros(n, bool), np.zeros(n, bool)
+    if n < width or not len(other.names):
+        return np.flatnonzero(good), agreeing
+    at = other.names.searchsorted(tokens)
+    at[at == len(other.names)] = 0
+    met = np.flatnonzero(other.names[at] == tokens)
+    if len(met) < hits_needed:
         return np.flatnonzero(good), agreeing
-    enough = lambda hit: (sums := np.append(0, np.cumsum(hit)))[width:] - sums[:-width] >= hits_needed
-    order = np.argsort(other)
-    ranked = other[order]
-    low = np.searchsorted(ranked, tokens)
-    met = np.flatnonzero(ranked[np.minimum(low, len(ranked) - 1)] == tokens) if len(ranked) else np.empty(0, np.int64)
-    there = np.zeros(len(tokens), bool)
-    there[met] = True
-    if len(met) < hits_needed or not enough(there).any():
+    found = np.zeros(n, bool)
+    found[met] = True
+    sums = _sums(found)
+    if not (sums[width:] - sums[:-width] >= hits_needed).any():
         return np.flatnonzero(good), agreeing
-    low = low[met]
-    counts = np.searchsorted(ranked, tokens[met], side="right") - low
-    own = np.repeat(met, counts)
-    there = order[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(len(own))]
+    at = at[met]
+    counts, first = other.counts[at], other.first[at]
+    own = met
+    if counts.max() > 1:
+        own = np.repeat(met, counts)
+        first = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(len(own))
     step = max(1, width // 8)
-    band = (there - own) // step
+    band = (other.order[first] - own) // step
     by_band = np.argsort(band)
     own, bands = own[by_band], band[by_band]
-    names, begin = np.unique(bands, return_index=True)
-    ends = np.append(begin[1:], len(bands))
-    for k, (name, a, z) in enumerate(zip(names.tolist(), begin.tolist(), ends.tolist(), strict=True)):
+    begin = np.flatnonzero(np.append(True, bands[1:] != bands[:-1]))
+    names, begin = bands[begin].tolist(), [*begin.tolist(), len(bands)]
+    for k, name in enumerate(names):
+        a, z = begin[k], begin[k + 1]
         if k + 1 < len(names) and names[k + 1] == name + 1:  # a band and the one after it
-            z = int(ends[k + 1])
+            z = begin[k + 2]
         if z - a < hits_needed:
             continue
-        hit = np.zeros(len(tokens), bool)
+        hit = np.zeros(n, bool)
         hit[own[a:z]] = True
-        fits = np.flatnonzero(enough(hit))
-        if len(fits):
-            good[fits] = True
+        sums = _sums(hit)
+        fits = sums[width:] - sums[:-width] >= hits_needed
+        if fits.any():
+            good[:len(fits)] |= fits
             agreeing |= hit & _near(good, width)
     return np.flatnonzero(good), agreeing
 
 
-def passages(tokens: np.ndarray, other: np.ndarray, width: int, hits_needed: int) -> list[tuple[int, int, int, int]]:
+def passages(tokens: np.ndarray, other: np.ndarray | Places, width: int, hits_needed: int) -> list[tuple[int, int, int, int]]:
     """Unions of ranges of `width` tokens that agree with a range of `other`: interval [a, b) of `tokens`, ends trimmed, and the
     first and last start of its ranges."""
     good, hit = aligned_hits(tokens, other, width, hits_needed)
@@ -301,8 +366,12 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, width: int, hits_neede
         for a in range(0, batch.num_rows, 128):
             part = batch.slice(a, 128)
             names = (part.column(n).to_pylist() for n in ("doc_id", "at", "source"))
-            own, other = (_texts_tokens(part.column(n), size) for n in ("text", "source_text"))
-            for doc, at, source, x, y in zip(*names, own, other, strict=True):
+            # a text that meets many others is hashed and sorted once
+            texts = pa.chunked_array([part.column("text"), part.column("source_text")]).combine_chunks().dictionary_encode()
+            tokens, index = _texts_tokens(texts.dictionary, size), texts.indices.to_pylist()
+            places = {k: Places(tokens[k]) for k in set(index[part.num_rows:])}
+            for doc, at, source, i, j in zip(*names, index[:part.num_rows], index[part.num_rows:], strict=True):
+                x, y = tokens[i], places[j]
                 found = passages(x, y, width, hits_needed)
                 rows += [(doc, at + b, at + e + size - 1, source, at + first, at + last) for b, e, first, last in found]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
@@ -328,9 +397,10 @@ def _open_texts(batch: pa.RecordBatch, size: int, width: int) -> tuple[np.ndarra
 
 def _near(flags: np.ndarray, width: int) -> np.ndarray:
     """Tokens that are in a range that starts at a flag."""
-    sums = np.append(0, np.cumsum(flags))
-    ends = np.arange(1, len(flags) + 1)
-    return sums[ends] > sums[np.maximum(ends - width, 0)]
+    sums = _sums(flags)
+    out = sums[1:] > 0
+    out[width:] = sums[width + 1:] > sums[1:-width]
+    return out
 
 
 def _open_shingles(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -394,6 +464,16 @@ def _still_open(entries: DataFrame, spans: DataFrame, used: list[DataFrame]) ->
     return left.join(doubt, "sig")
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, as its number of words."""
+    for batch in batches:
+        counts = [np.empty(0, np.int64)]
+        for begin, end, data, offsets in w.chunks(batch.column("text")):
+            docs, _starts, _ends = w.segments(data, offsets, w.NOT_SPACE.view(np.uint8))
+            counts.append(w.word_counts(docs, end - begin))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(counts).astype(np.int64))], ["doc_id", "source", "n"])
+
+
 def _copies(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, print, source): documents whose text a document of smaller id has too."""
     prints = stored(docs.select("doc_id", "print").filter("print is not null"))
@@ -439,20 +519,15 @@ def repeated_passages(
     def block(column: str) -> Column:
         return F.expr(f"cast({column} div {BLOCK} as int)")
 
-    # windows are made twice: that costs less than keeping them all
+    # one shuffle by key serves both to find the keys that two documents hold and to keep their windows
     entries = unique.mapInArrow(lambda it: _entries(it, size, width), ENTRY)
-    known = stored(entries.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key"))
-    free_shuffles(spark)
-    held = stored(entries.join(known, "key"))
+    held = stored(entries.repartition("key").sortWithinPartitions("key").mapInArrow(_held, ENTRY))
     free_shuffles(spark)
     windows = held.groupBy("doc_id").agg(F.collect_list(F.struct("key", "l", "c", "r")).alias("windows"))
-    sigs = stored(windows.mapInArrow(lambda it: _signatures(it, width), PAIR))
-    drop_stored(known, held)
+    sigs = windows.mapInArrow(lambda it: _signatures(it, width), PAIR).repartition("sig").sortWithinPartitions("sig", "doc_id", "first")
+    met = stored(sigs.mapInArrow(_met, f"{PAIR}, source long, source_block int"))
+    drop_stored(held)
     free_shuffles(spark)
-    groups = sigs.groupBy("sig").agg(F.min(F.struct("doc_id", "first")).alias("head"), F.max("doc_id").alias("b"))
-    groups = groups.filter("head.doc_id < b").select("sig", F.col("head.doc_id").alias("source"), block("head.first").alias("source_block"))
-    met = stored(sigs.join(groups, "sig").filter("doc_id <> source"))
-    drop_stored(sigs)
     pairs = stored(met.select("doc_id", block("first").alias("block"), "source", "source_block").distinct())
     spans = compared(pairs)
     used = [copies, pairs, spans]
@@ -484,7 +559,8 @@ def repeated_passages(
         before, open_entries, leaders = open_entries, stored(rest), LEADERS * leaders
         drop_stored(before)
     drop_stored(open_entries)
-    whole = docs.join(broadcast_if_small(copies), ["doc_id", "print"]).select("doc_id", "source", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n"))
+    # counted behind a pass that no filter is pushed through: only copies are counted, and once
+    whole = docs.join(broadcast_if_small(copies), ["doc_id", "print"]).select("doc_id", "source", "text").mapInArrow(_word_counts, "doc_id long, source long, n long")
     whole = whole.filter(F.col("n") >= min_words).select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"), "source")
     found = _merged(spans.select("doc_id", "start_word", "end_word", "source").unionByName(whole))
     result = stored(found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), F.col("source").alias("source_doc_id")))

@@ -129,3 +129,62 @@ def test_aligned_hits_against_brute_force():
             fits = lambda low, high: sum(any(x[i] == y[j] for j in range(max(0, i + low), min(len(y), i + high + 1))) for i in range(p, p + width)) >= need  # noqa: E731, B023
             bands = range(-len(x) // step - 1, len(y) // step + 1)
             assert (p in got) == any(fits(b * step, b * step + 2 * step - 1) for b in bands)
+
+
+def test_keys_of_two_documents_are_kept_across_batches():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    for _ in range(200):
+        rows = sorted((rng.randint(0, 6), rng.randint(1, rng.choice((1, 2, 9)))) for _ in range(rng.randint(0, 40)))
+        batches, at = [], 0
+        while at < len(rows):
+            part = rows[at:at + rng.randint(0, 7)]
+            at += len(part)
+            batches.append(pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], pa.int64()) for k in (0, 1)], ["key", "doc_id"]))
+        got = [(r["key"], r["doc_id"]) for out in substring._held(iter(batches)) for r in out.to_pylist()]
+        assert got == [r for r in rows if len({d for k, d in rows if k == r[0]}) > 1]
+
+
+def test_words_are_counted_in_copies_only_and_equal_the_pattern(texts):
+    import re
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in texts]), pa.array([0] * len(texts)), pa.array([t for _, t in texts], pa.string())], ["doc_id", "source", "text"])
+    got = [r["n"] for out in substring._word_counts(iter([batch])) for r in out.to_pylist()]
+    assert got == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t in texts]
+
+
+def test_a_source_is_hashed_once_for_all_that_meet_it(monkeypatch):
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(200)]
+    own, source = [" ".join([*words[k:k + 60], f"x{k}"]) for k in range(9)], " ".join(words)
+    columns = {"doc_id": list(range(9)), "at": [0] * 9, "source": [99] * 9, "text": own, "source_text": [source] * 9}
+    hashed, tokens = [], substring._texts_tokens
+    monkeypatch.setattr(substring, "_texts_tokens", lambda column, size: hashed.extend(column.to_pylist()) or tokens(column, size))
+    found = [r for out in substring._verify(iter([pa.RecordBatch.from_pydict(columns)]), 5, 46, 41) for r in out.to_pylist()]
+    assert [(r["doc_id"], r["start_word"], r["end_word"]) for r in found] == [(k, 0, 60) for k in range(9)]
+    assert sorted(hashed) == sorted([*own, source])
+
+
+def test_others_meet_the_first_document_of_their_group_across_batches():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    for _ in range(200):
+        rows = sorted((rng.randint(0, 4), rng.randint(1, rng.choice((1, 2, 9))), rng.randint(0, 9000), 0) for _ in range(rng.randint(0, 40)))
+        batches, at = [], 0
+        while at < len(rows):
+            part = rows[at:at + rng.randint(0, 7)]
+            at += len(part)
+            columns = [pa.array([r[k] for r in part], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+            batches.append(pa.RecordBatch.from_arrays(columns, ["sig", "doc_id", "first", "last"]))
+        got = [tuple(r.values()) for out in substring._met(iter(batches)) for r in out.to_pylist()]
+        heads = {s: min((d, f) for own, d, f, _ in rows if own == s) for s, *_ in rows}
+        assert got == [(s, d, f, z, heads[s][0], heads[s][1] // substring.BLOCK) for s, d, f, z in rows if d != heads[s][0]]
