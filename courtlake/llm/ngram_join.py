@@ -112,11 +112,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     pairs = stored(pairs.distinct())
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi")
-    both = (
-        pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
-        .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
-        .select("u", "v", "text_u", "text_v")
-    )
+    # both sides take the same columns, so that Spark shuffles the texts once
+    both = pairs.alias("p").join(texts.alias("x"), F.expr("p.u = x.doc_id")).join(texts.alias("y"), F.expr("p.v = y.doc_id"))
+    both = both.select("p.u", "p.v", F.col("x.text").alias("text_u"), F.col("y.text").alias("text_v"))
     links = stored(both.mapInArrow(lambda it: _verify(it, size, percent), "u long, v long"))
     drop_stored(pairs)
     return links

@@ -42,7 +42,7 @@ LEADERS = 8
 BLOCK = 2048
 NONE = np.uint64(2**64 - 1)
 
-ENTRY = "key long, doc_id long, l int, c int, r int"
+ENTRY = "key long, doc_id long, place long"
 PAIR = "sig long, doc_id long, first int, last int"
 SPAN = "doc_id long, start_word long, end_word long, source long, lo long, hi long"
 
@@ -131,6 +131,24 @@ def _keys(hashes: np.ndarray, k: int) -> np.ndarray:
     return w.signed(hashes & ~np.uint64(7) | np.uint64(k))
 
 
+def pack_windows(centre: np.ndarray, left: np.ndarray, right: np.ndarray, width: int) -> np.ndarray:
+    """Centre, and tokens to its left and right, of each window in one number, which takes fewer bytes in a shuffle.
+
+    Sides are cut to width - 1 tokens, as no range of `width` tokens that holds the centre goes beyond.
+    """
+    bits = width.bit_length()
+    if len(centre) and int(centre.max()) >> (63 - 2 * bits):
+        raise OverflowError(f"a text of {int(centre.max())} words is too long for passages of {width}")
+    return (centre.astype(np.int64) << 2 * bits) | (np.minimum(left, width - 1) << bits) | np.minimum(right, width - 1)
+
+
+def unpack_windows(place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First token, centre and last token of windows made by pack_windows()."""
+    bits = width.bit_length()
+    centre, mask = place >> 2 * bits, (1 << bits) - 1
+    return centre - ((place >> bits) & mask), centre, centre + (place & mask)
+
+
 def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
     """Compact windows of every document under every hash function."""
     for batch in batches:
@@ -141,9 +159,8 @@ def _entries(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterat
             for k in range(HASHES):
                 hashes = w.mix(tokens ^ _seed(k))
                 at, left, right = compact_windows(slots, hashes, width)
-                c = place[at]
-                columns = [_keys(hashes[at], k), ids[begin + docs[at]], *((x).astype(np.int32) for x in (c - left, c, c + right))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc_id", "l", "c", "r"])
+                columns = [_keys(hashes[at], k), ids[begin + docs[at]], pack_windows(place[at], left, right, width)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "doc_id", "place"])
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +222,7 @@ def _pair_batch(docs: np.ndarray, sig: np.ndarray, first: np.ndarray, last: np.n
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "doc_id", "first", "last"])
 
 
-def _runs(sizes: np.ndarray, limit: int = 1 << 17) -> Iterator[tuple[int, int]]:
+def _runs(sizes: np.ndarray, limit: int = 1 << 15) -> Iterator[tuple[int, int]]:
     """Cut rows into runs of about `limit` in size, one row at least."""
     sums, first = np.cumsum(sizes), 0
     while first < len(sizes):
@@ -223,8 +240,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             ids, lists = part.column("doc_id").to_numpy(), part.column("windows")
             docs = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
             fields = lists.flatten()
-            key, left, centre, right = (fields.field(n).to_numpy().astype(np.int64) for n in ("key", "l", "c", "r"))
-            own, sig, first, last = joined_windows(docs, key, left, centre, right, width)
+            own, sig, first, last = joined_windows(docs, fields.field("key").to_numpy(), *unpack_windows(fields.field("place").to_numpy(), width), width)
             yield _pair_batch(ids[own], sig, first, last)
 
 
@@ -296,23 +312,35 @@ def aligned_hits(tokens: np.ndarray, other: np.ndarray | Places, width: int, hit
     step = max(1, width // 8)
     band = (other.order[first] - own) // step
     by_band = np.argsort(band)
-    own, bands = own[by_band], band[by_band]
-    begin = np.flatnonzero(np.append(True, bands[1:] != bands[:-1]))
-    names, begin = bands[begin].tolist(), [*begin.tolist(), len(bands)]
-    for k, name in enumerate(names):
-        a, z = begin[k], begin[k + 1]
-        if k + 1 < len(names) and names[k + 1] == name + 1:  # a band and the one after it
-            z = begin[k + 2]
-        if z - a < hits_needed:
-            continue
-        hit = np.zeros(n, bool)
-        hit[own[a:z]] = True
-        sums = _sums(hit)
-        fits = sums[width:] - sums[:-width] >= hits_needed
-        if fits.any():
-            good[:len(fits)] |= fits
-            agreeing |= hit & _near(good, width)
-    return np.flatnonzero(good), agreeing
+    own, band = own[by_band], band[by_band]
+    new = np.append(True, band[1:] != band[:-1])
+    names, index = band[new], np.cumsum(new) - 1
+    # all bands at once: group k is band k with the one after it, if that is a neighbour
+    follows = np.append(False, names[1:] == names[:-1] + 1)
+    sizes = np.bincount(index)
+    enough = sizes + np.append(sizes[1:] * follows[1:], 0) >= hits_needed
+    first, second = enough[index], (follows & np.append(False, enough[:-1]))[index]
+    keys = np.sort(np.concatenate([index[first] * n + own[first], (index[second] - 1) * n + own[second]]))
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+    if len(keys) < hits_needed:
+        return np.flatnonzero(good), agreeing
+    group, hit = np.divmod(keys, n)
+    # enough hits in a row that lie within `width` tokens: the ranges that hold them start from low to high
+    tight = np.flatnonzero((keys[hits_needed - 1:] - keys[:len(keys) - hits_needed + 1] < width) & (group[hits_needed - 1:] == group[:len(keys) - hits_needed + 1]))
+    if not len(tight):
+        return np.flatnonzero(good), agreeing
+    of, low, high = group[tight], np.maximum(hit[tight + hits_needed - 1] - width + 1, 0), np.minimum(hit[tight], n - width)
+    new = np.append(True, (of[1:] != of[:-1]) | (low[1:] > high[:-1] + 1))
+    low, high, of = low[new], high[np.append(new[1:], True)], of[new]
+    counts = high - low + 1
+    starts = np.arange(counts.sum()) + np.repeat(low - np.cumsum(counts) + counts, counts)
+    # the first group in which a range fits; a hit agrees if its own group or one before has a range around it
+    earliest = np.full(n + width - 1, len(names))
+    earliest[starts[::-1] + width - 1] = np.repeat(of, counts)[::-1]
+    fits = np.zeros(len(names), bool)
+    fits[of] = True
+    agreeing[hit[fits[group] & (window_minima(earliest, width)[hit] <= group)]] = True
+    return np.flatnonzero(earliest[width - 1:] < len(names)), agreeing
 
 
 def passages(tokens: np.ndarray, other: np.ndarray | Places, width: int, hits_needed: int) -> list[tuple[int, int, int, int]]:
@@ -509,8 +537,10 @@ def repeated_passages(
         texts = unique.join(broadcast_if_small(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
         blocks = texts.mapInArrow(lambda it: _blocks(it, size, width), "doc_id long, block int, at long, text string")
         blocks = blocks.join(wanted, ["doc_id", "block"], "left_semi")
-        other = blocks.select(F.col("doc_id").alias("source"), F.col("block").alias("source_block"), F.col("text").alias("source_text"))
-        both = pairs.join(blocks, ["doc_id", "block"]).join(other, ["source", "source_block"]).select("doc_id", "at", "source", "text", "source_text")
+        # both sides take the same columns, so that Spark makes and shuffles the blocks once
+        both = pairs.alias("p").join(blocks.alias("x"), F.expr("p.doc_id = x.doc_id and p.block = x.block"))
+        both = both.join(blocks.alias("y"), F.expr("p.source = y.doc_id and p.source_block = y.block"))
+        both = both.select("p.doc_id", "x.at", "p.source", "x.text", F.col("y.text").alias("source_text"), F.col("y.at").alias("source_at"))
         out = stored(both.mapInArrow(lambda it: _verify(it, size, width, hits_needed), SPAN))
         drop_stored(wanted)
         free_shuffles(spark)
@@ -523,7 +553,7 @@ def repeated_passages(
     entries = unique.mapInArrow(lambda it: _entries(it, size, width), ENTRY)
     held = stored(entries.repartition("key").sortWithinPartitions("key").mapInArrow(_held, ENTRY))
     free_shuffles(spark)
-    windows = held.groupBy("doc_id").agg(F.collect_list(F.struct("key", "l", "c", "r")).alias("windows"))
+    windows = held.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place")).alias("windows"))
     sigs = windows.mapInArrow(lambda it: _signatures(it, width), PAIR).repartition("sig").sortWithinPartitions("sig", "doc_id", "first")
     met = stored(sigs.mapInArrow(_met, f"{PAIR}, source long, source_block int"))
     drop_stored(held)

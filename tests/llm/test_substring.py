@@ -188,3 +188,42 @@ def test_others_meet_the_first_document_of_their_group_across_batches():
         got = [tuple(r.values()) for out in substring._met(iter(batches)) for r in out.to_pylist()]
         heads = {s: min((d, f) for own, d, f, _ in rows if own == s) for s, *_ in rows}
         assert got == [(s, d, f, z, heads[s][0], heads[s][1] // substring.BLOCK) for s, d, f, z in rows if d != heads[s][0]]
+
+
+def test_packed_windows_join_as_the_whole_ones():
+    rng = np.random.default_rng(11)
+    docs, tokens = np.repeat([0, 1], [400, 300]), rng.integers(1, 200, 700).astype(np.uint64)
+    hashes = [w.mix(tokens ^ substring._seed(k)) for k in range(substring.HASHES)]
+    parts = [substring.compact_windows(substring.Slots(docs), h, 46) for h in hashes]
+    keys = np.concatenate([substring._keys(h[c], k) for k, (h, (c, _, _)) in enumerate(zip(hashes, parts, strict=True))])
+    c, left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
+    packed = substring.unpack_windows(substring.pack_windows(c, left, right, 46), 46)
+    assert (packed[1] == c).all() and (packed[0] >= c - 45).all() and left.max() > 45
+    for a, b in zip(substring.joined_windows(docs[c], keys, c - left, c, c + right, 46), substring.joined_windows(docs[c], keys, *packed, 46), strict=True):
+        assert (a == b).all()
+
+
+def test_documents_are_joined_in_small_runs():
+    """A pass over the windows of many documents passes its rows on in parts, so that a worker's memory stays small."""
+    runs = list(substring._runs(np.full(1000, 100)))
+    assert [a for a, _ in runs[1:]] == [z for _, z in runs[:-1]] and runs[-1][1] == 1000
+    assert max(100 * (z - a) for a, z in runs) <= 1 << 15
+
+
+def test_texts_that_are_compared_are_shuffled_once(spark, docs, monkeypatch):
+    from courtlake.llm import ngram_join
+
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        for module, run in ((substring, substring.repeated_passages), (ngram_join, ngram_join.link_components)):
+            plans, real = [], module.stored
+            monkeypatch.setattr(module, "stored", lambda df, plans=plans, real=real: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+            run(docs)
+            compared = [p for p in plans if "source_text" in p or "text_v" in p]
+            assert compared and all("ReusedExchange [doc_id" in p for p in compared)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
