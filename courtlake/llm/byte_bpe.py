@@ -1,8 +1,9 @@
 """Byte-level BPE: encoding of whole documents by a file of ranks, and decoding.
 
 A text is split into words by a pattern; each word is encoded by itself.  Encoding folds ranked merges over the word's bytes
-with Spark's higher-order functions: the state is the array of pieces with the ranks of all neighbouring pairs, and a step merges
-the leftmost pair of lowest rank.  Ranks come from a literal map, dealt into buckets because Spark reads a map from front to back.
+with Spark's higher-order functions: the state is the array of pieces, each one number of its id, its place and the rank of the
+pair it begins; a step merges the leftmost pair of lowest rank.  Ranks of pairs of ids come from a literal array, a hash table with
+two places for each pair, because Spark reads a map from front to back.
 
 Each distinct word is folded once if it is frequent: distinct words are counted over all documents, the frequent ones (at most
 HEAD, whatever the corpus) are encoded and broadcast, and their occurrences are replaced by a lookup.  The other words of a
@@ -17,8 +18,8 @@ import base64
 import hashlib
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,10 @@ HEAD = 1 << 20
 LONG = 256
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 1 << 18
-BUCKETS = 1 << 14
+#: Bits of an id or a rank, and of a place in a word, in the state of a fold.
+ID_BITS, PLACE_BITS = 20, 9
+#: Rank of a pair that makes no token.
+NO_RANK = (1 << ID_BITS) - 1
 
 # Letters and numbers of Unicode 14 to 16, which the tokenizer knows and a Java of Unicode 13 doesn't.
 NEW_LETTERS = (
@@ -74,13 +78,50 @@ def split_words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """Ranks by the hex of a token: one literal array of small maps, since Spark reads a map from front to back."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, k in ranks.items():
-        name = token.hex().upper()
-        buckets[zlib.crc32(name.encode()) % BUCKETS][name] = k
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
+@dataclass
+class RankMap:
+    """Ranks of pairs of ids for a fold: `slots` has (pair << ID_BITS | rank) at pair % p or at p + pair % q, and -1 elsewhere."""
+
+    slots: Column
+    primes: tuple[int, int]
+    byte_ids: Column
+    #: Tokens, in hex, that the merges of their own bytes don't reach.
+    apart: dict[str, int]
+
+
+def _prime_above(n: int) -> int:
+    return next(k for k in range(n | 1, 2 * n + 4, 2) if all(k % d for d in range(3, int(k**0.5) + 1, 2)))
+
+
+def pair_slots(pairs: dict[int, int]) -> tuple[list[int], int, int]:
+    """Each pair with its rank at one of its two places; a newcomer moves who is there to the other one."""
+    p = _prime_above(max(64, len(pairs) * 4 // 3))
+    while True:
+        q = _prime_above(p + 2)
+        slots = [-1] * (p + q)
+        for pair, rank in pairs.items():
+            item, at = pair << ID_BITS | rank, pair % p
+            for _ in range(200):
+                item, slots[at] = slots[at], item
+                if item < 0:
+                    break
+                own = item >> ID_BITS
+                at = own % p if at >= p else p + own % q
+            else:
+                break  # no place was found: a larger table
+        else:
+            return slots, p, q
+        p = _prime_above(p * 5 // 4)
+
+
+def rank_map(ranks: dict[bytes, int]) -> RankMap:
+    if len(ranks) >= NO_RANK:
+        raise ValueError(f"more than {NO_RANK - 1} ranks")
+    cuts = ((ranks.get(t[:i]), ranks.get(t[i:]), k) for t, k in ranks.items() for i in range(1, len(t)))
+    slots, p, q = pair_slots({a << ID_BITS | b: k for a, b, k in cuts if a is not None and b is not None})
+    array = lambda x: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>")
+    apart = {t.hex().upper(): k for t, k in ranks.items() if len(t) <= LONG and merge_long(t, ranks) != [k]}
+    return RankMap(array(slots), (p, q), array([ranks[bytes([i])] for i in range(256)]), apart)
 
 
 def _let(value: Column, f) -> Column:
@@ -88,38 +129,51 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def fold_words(words: Column, table: Column) -> Column:
+def fold_words(words: Column, table: RankMap) -> Column:
     """Ids of each word of an array by a rank_map(); null for words of more than LONG bytes."""
-    return _let(table, lambda t: F.transform(words, lambda x: F.when(F.octet_length(x) <= LONG, _fold(F.hex(x), t))))
+    fold = lambda slots, ids: F.transform(words, lambda x: F.when(F.octet_length(x) <= LONG, _fold(x, slots, ids, table)))
+    return _let(table.slots, lambda slots: _let(table.byte_ids, lambda ids: fold(slots, ids)))
+
 
+def _fold(word: Column, slots: Column, byte_ids: Column, table: RankMap) -> Column:
+    """Ids of one word that isn't empty."""
+    p, q = table.primes
+    low, none = ID_BITS + PLACE_BITS, NO_RANK << (ID_BITS + PLACE_BITS)
+    id_of = lambda x: x.bitwiseAND(NO_RANK)
 
-def _fold(name: Column, table: Column) -> Column:
-    """Ids of one word, given in hex, that isn't empty."""
-    rank = lambda n: F.try_element_at(F.element_at(table, (F.crc32(n.cast("binary")) % BUCKETS + 1).cast("int")), n)
-    item = F.element_at
+    def rank(a: Column, b: Column) -> Column:
+        """Rank of a pair of ids, shifted to its place in the state."""
+        def look(pair: Column) -> Column:
+            one, two = F.get(slots, pair % p), F.get(slots, pair % q + p)
+            known = lambda x: F.shiftright(x, ID_BITS) == pair
+            return F.when(known(one), F.shiftleft(id_of(one), low)).when(known(two), F.shiftleft(id_of(two), low)).otherwise(F.lit(none))
 
-    def begin(parts: Column) -> Column:
-        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), lambda a, b: rank(F.concat(a, b)))
-        return F.struct(parts.alias("parts"), pairs.alias("ranks"))
+        return _let(F.shiftleft(a, ID_BITS) + b, look)
 
-    def merge(p: Column, r: Column, i: Column, new: Column) -> Column:
+    def begin(ids: Column) -> Column:
+        after = lambda x, y: F.when(y.isNull(), F.lit(none)).otherwise(rank(x, y))
+        return F.transform(ids, lambda x, i: after(x, F.get(ids, i + 1)) + F.shiftleft(i.cast("long"), ID_BITS) + x)
+
+    def merge(s: Column, least: Column, i: Column) -> Column:
         """The pieces with the pair at i made one, and the ranks of its pairs with its neighbours looked up anew."""
-        left = F.transform(F.slice(p, F.greatest(i - 1, F.lit(1)), F.least(i - 1, F.lit(1))), lambda a: F.concat(a, new))
-        right = F.transform(F.slice(p, i + 2, 1), lambda b: F.concat(new, b))
-        return F.struct(
-            F.concat(F.slice(p, 1, i - 1), F.array(new), F.slice(p, i + 2, F.size(p))).alias("parts"),
-            F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), F.transform(F.concat(left, right), rank), F.slice(r, i + 2, F.size(p))).alias("ranks"))
+        new, place = F.shiftright(least, low), least.bitwiseAND(((1 << PLACE_BITS) - 1) << ID_BITS)
+        left = F.transform(F.slice(s, F.greatest(i - 1, F.lit(1)), F.least(i - 1, F.lit(1))), lambda x: rank(id_of(x), new) + x.bitwiseAND((1 << low) - 1))
+        right = F.get(s, i + 1)
+        own = F.when(right.isNull(), F.lit(none)).otherwise(rank(new, id_of(right))) + place + new
+        return F.concat(F.slice(s, F.lit(1), F.greatest(i - 2, F.lit(0))), left, F.array(own), F.slice(s, i + 2, F.lit(LONG)))
 
     def step(state: Column, _: Column) -> Column:
-        p, r = state["parts"], state["ranks"]
-        at = F.array_position(r, F.array_min(r)).cast("int")
-        return F.when(F.array_min(r).isNull(), state).otherwise(_let(at, lambda i: _let(F.concat(item(p, i), item(p, i + 1)), lambda new: merge(p, r, i, new))))
-
-    def folded(parts: Column) -> Column:
-        return F.aggregate(F.slice(parts, 2, F.size(parts)), begin(parts), step, lambda s: F.transform(s["parts"], rank))
+        merged = lambda m: _let(F.array_position(state, m).cast("int"), lambda i: merge(state, m, i))
+        return _let(F.array_min(state), lambda m: F.when(m >= none, state).otherwise(merged(m)))
 
-    bytes_of = F.regexp_extract_all(name, F.lit(".."), F.lit(0))
-    return _let(rank(name), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(_let(bytes_of, folded)))
+    # as many steps as there are bytes but one
+    letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
+    ids = F.transform(letters, lambda x: F.get(byte_ids, F.ascii(x)))
+    folded = _let(ids, lambda own: F.aggregate(F.slice(own, 2, LONG), begin(own), step, lambda s: F.transform(s, lambda x: id_of(x).cast("int"))))
+    if not table.apart:
+        return folded
+    apart = F.from_json(F.lit(json.dumps(table.apart)), "map<string,int>")
+    return _let(F.try_element_at(apart, F.hex(word)), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(folded))
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -179,7 +233,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(joined(kept))
 
 
-def _dictionary(words: DataFrame, head: int, table: Column) -> pa.Table:
+def _dictionary(words: DataFrame, head: int, table: RankMap) -> pa.Table:
     """(hash, ids) of the words of most occurrences: as many whole classes of counts (by binary digits) as `head` holds."""
     counted = words.mapInArrow(_count_words, "hash long, word string, n long").groupBy("hash", "word").agg(F.sum("n").alias("n")).persist()
     try:

@@ -82,3 +82,20 @@ def test_unknown_ids_end_the_job_and_null_stays_null(spark):
     for bad in (len(ranks), -1, None):
         with pytest.raises(Exception, match="no token"):
             spark.createDataFrame([([0, bad],)], "ids array<int>").select(byte_bpe.decode(F.col("ids"), ranks)).collect()
+
+
+def test_pairs_have_two_places_and_odd_tokens_are_kept_apart(spark):
+    import random
+
+    rng = random.Random(2)
+    pairs = {rng.randrange(1 << 40): k for k in range(5000)}
+    slots, p, q = byte_bpe.pair_slots(pairs)
+    for pair, k in pairs.items():
+        assert (pair << byte_bpe.ID_BITS | k) in (slots[pair % p], slots[p + pair % q])
+    assert len(slots) == p + q and sum(x >= 0 for x in slots) == len(pairs)
+    # no pair of tokens makes "abc": only the whole word is that token
+    ranks = {bytes([i]): i for i in range(256)} | {b"abc": 256, b"xy": 257}
+    table = byte_bpe.rank_map(ranks)
+    assert table.apart == {"616263": 256}
+    row = spark.createDataFrame([(["abc", "abcd", "xyxy"],)], "words array<string>").select(byte_bpe.fold_words(F.col("words"), table).alias("ids")).first()
+    assert [list(x) for x in row.ids] == [[256], [97, 98, 99, 100], [257, 257]]
