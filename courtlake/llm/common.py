@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 #: Most rows and bytes of a table that is broadcast; beyond either a shuffled join is used.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-#: Bytes of an Arrow batch between Spark and Python where the session sets no limit of its own.
-BATCH_BYTES = 4 << 20
+#: Bytes of an Arrow batch between Spark and Python where the session sets no limit of its own.  Its buffers lie outside the JVM's
+#: heap, and what is freed of them stays with the executor; buffers of several megabytes leave much more there.
+BATCH_BYTES = 1 << 20
 
 
 def _bytes(value: Column, kind: T.DataType) -> Column:

@@ -36,8 +36,8 @@ NODES = 20_000
 TAILS = (24, 48, 96)
 #: Ranges that each length is ranked in.
 SALTS = 64
-#: Distinct words that a Python worker keeps with their ids.
-CACHE_WORDS = 1_000_000
+#: Distinct words that a Python worker keeps with their ids, at about 140 bytes each.
+CACHE_WORDS = 1 << 18
 
 #: Texts of these characters alone need no normalisation beyond lower case, and split the same way everywhere.
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")

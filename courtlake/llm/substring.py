@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtlake.llm import words as w
-from courtlake.llm.common import broadcast_if_small, drop_stored, free_shuffles, numbered, stored
+from courtlake.llm.common import BATCH_BYTES, broadcast_if_small, drop_stored, free_shuffles, numbered, stored
 
 SHINGLE = 5
 #: Hash functions; at most 8, as a key's last three bits name its function.
@@ -360,7 +360,7 @@ def passages(tokens: np.ndarray, other: np.ndarray | Places, width: int, hits_ne
 def _blocks(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
     """Overlapping blocks of each text: doc_id, block, index of its first word, its text."""
     for batch in batches:
-        rows: list[tuple] = []
+        rows, held = [], 0
         for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             raw = (value or "").encode()
             _docs, starts, ends = w.segments(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), w.NOT_SPACE.view(np.uint8))
@@ -368,9 +368,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterato
                 a, z = max(0, block * BLOCK - width), min(len(starts), (block + 1) * BLOCK + 2 * width + size)
                 if a < z:
                     rows.append((doc_id, block, a, raw[starts[a]:ends[z - 1]].decode()))
-            if len(rows) > 256:
-                yield _rows(rows)
-                rows = []
+                    held += ends[z - 1] - starts[a]
+                if held > BATCH_BYTES:
+                    yield _rows(rows)
+                    rows, held = [], 0
         yield _rows(rows)
 
 

@@ -27,6 +27,9 @@ FIT_ROWS = 20_000
 #: Documents above the lowest grade that must hold a feature.  Of m such features, one counts as telling if its
 #: likelihood-ratio statistic reaches 2 ln m, so that about one of all would by chance.
 LEAST_DOCUMENTS = 3
+#: Bytes of text that one pass takes features from: its work arrays are larger than those of words and shingles, and a Python
+#: worker keeps what they took for the operators that follow.
+FEATURE_BYTES = 1 << 16
 _LETTER = np.zeros(256, np.uint8)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
@@ -68,7 +71,7 @@ def _counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
         grades = batch.column("grade").to_numpy(zero_copy_only=False)
-        for first, last, data, offsets in w.chunks(batch.column("text")):
+        for first, last, data, offsets in w.chunks(batch.column("text"), FEATURE_BYTES):
             docs, features = text_features(data, offsets, bits)
             own = grades[first:last]
             for g in np.unique(own):
@@ -89,7 +92,7 @@ def _columns(features: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, last, data, offsets in w.chunks(batch.column("text")):
+        for first, last, data, offsets in w.chunks(batch.column("text"), FEATURE_BYTES):
             docs, own = text_features(data, offsets, bits)
             columns = _columns(features, own)
             keep = columns >= 0
@@ -190,7 +193,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model | None, threshold: float, bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, last, data, offsets in w.chunks(batch.column("text")):
+        for first, last, data, offsets in w.chunks(batch.column("text"), FEATURE_BYTES):
             n = last - first
             if model:
                 docs, features = text_features(data, offsets, bits)
