@@ -129,13 +129,37 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def fold_words(words: Column, table: RankMap) -> Column:
-    """Ids of each word of an array by a rank_map(); null for words of more than LONG bytes."""
-    fold = lambda slots, ids: F.transform(words, lambda x: F.when(F.octet_length(x) <= LONG, _fold(x, slots, ids, table)))
+def fold_words(words: Column, table: RankMap, states: Column | None = None) -> Column:
+    """Ids of each word of an array by a rank_map(); null for words of more than LONG bytes.
+
+    `states` may have the words' first_states(), so that the fold need not make them.
+    """
+    first = lambda i: None if states is None else F.get(states, i)
+    fold = lambda slots, ids: F.transform(words, lambda x, i: F.when(F.octet_length(x) <= LONG, _fold(x, slots, ids, table, first(i))))
     return _let(table.slots, lambda slots: _let(table.byte_ids, lambda ids: fold(slots, ids)))
 
 
-def _fold(word: Column, slots: Column, byte_ids: Column, table: RankMap) -> Column:
+def byte_pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of single bytes, and ranks of pairs of bytes."""
+    pairs = [ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]
+    return np.array([ranks[bytes([i])] for i in range(256)], np.int64), np.array(pairs, np.int64).reshape(256, 256)
+
+
+def first_states(words: pa.Array, byte_ids: np.ndarray, pair_ranks: np.ndarray) -> pa.ListArray:
+    """What a fold begins with: a piece for each byte of a word.  Words of more than LONG bytes have none."""
+    words = words.cast(pa.large_binary())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    sizes = np.diff(offsets)
+    sizes[sizes > LONG] = 0
+    edges = np.append(0, np.cumsum(sizes))
+    data = np.frombuffer(words.buffers()[2], np.uint8)[_ragged(offsets[:-1], sizes)] if edges[-1] else np.empty(0, np.uint8)
+    rank = np.append(pair_ranks[data[:-1], data[1:]], NO_RANK)[:len(data)]
+    rank[edges[1:][sizes > 0] - 1] = NO_RANK
+    place = np.arange(len(data)) - np.repeat(edges[:-1], sizes)
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array((rank << (ID_BITS + PLACE_BITS)) | (place << ID_BITS) | byte_ids[data]))
+
+
+def _fold(word: Column, slots: Column, byte_ids: Column, table: RankMap, state: Column | None = None) -> Column:
     """Ids of one word that isn't empty."""
     p, q = table.primes
     low, none = ID_BITS + PLACE_BITS, NO_RANK << (ID_BITS + PLACE_BITS)
@@ -166,10 +190,11 @@ def _fold(word: Column, slots: Column, byte_ids: Column, table: RankMap) -> Colu
         merged = lambda m: _let(F.array_position(state, m).cast("int"), lambda i: merge(state, m, i))
         return _let(F.array_min(state), lambda m: F.when(m >= none, state).otherwise(merged(m)))
 
+    if state is None:
+        letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
+        state = _let(F.transform(letters, lambda x: F.get(byte_ids, F.ascii(x))), begin)
     # as many steps as there are bytes but one
-    letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")
-    ids = F.transform(letters, lambda x: F.get(byte_ids, F.ascii(x)))
-    folded = _let(ids, lambda own: F.aggregate(F.slice(own, 2, LONG), begin(own), step, lambda s: F.transform(s, lambda x: id_of(x).cast("int"))))
+    folded = _let(state, lambda own: F.aggregate(F.slice(own, 2, LONG), own, step, lambda s: F.transform(s, lambda x: id_of(x).cast("int"))))
     if not table.apart:
         return folded
     apart = F.from_json(F.lit(json.dumps(table.apart)), "map<string,int>")
@@ -254,8 +279,8 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _look_up(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Ids of frequent words, -1 for each other word, and the other words."""
-    known, starts, ids = shared.value
+    """Ids of frequent words, -1 for each other word, the other words, and what their folds begin with."""
+    known, starts, ids, byte_ids, pair_ranks = shared.value
     for batch in batches:
         lists = batch.column(1)
         values, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -266,11 +291,12 @@ def _look_up(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
         out = ids[np.minimum(_ragged(np.where(found, starts[at], 0), sizes), max(len(ids) - 1, 0))] if len(known) else np.empty(len(hashes), np.int32)
         before = np.append(0, np.cumsum(sizes))
         out[before[:-1][~found]] = -1
-        missed = np.append(0, np.cumsum(~found))
+        missed = pa.array(np.append(0, np.cumsum(~found))[edges].astype(np.int32))
+        rare = values.filter(pa.array(~found))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.ListArray.from_arrays(pa.array(before[edges].astype(np.int32)), pa.array(out)),
-            pa.ListArray.from_arrays(pa.array(missed[edges].astype(np.int32)), values.filter(pa.array(~found))),
-        ], ["doc_id", "ids", "rare"])
+            pa.ListArray.from_arrays(missed, rare), pa.ListArray.from_arrays(missed, first_states(rare, byte_ids, pair_ranks)),
+        ], ["doc_id", "ids", "rare", "states"])
 
 
 def _splice(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -308,16 +334,18 @@ def encode(documents: DataFrame, path: str, pattern: str, head: int = HEAD, id_c
     rows; other columns are ignored.  `head` bounds the words that are broadcast and changes the work, not the result.
     """
     spark = documents.sparkSession
-    table = rank_map(read_ranks(path))
+    ranks = read_ranks(path)
+    table = rank_map(ranks)
     rows = numbered(documents, id_col, text_col).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
     folded = _dictionary(rows.select("words"), head, table)
     known = folded["hash"].to_numpy().view(np.uint64)
     order = np.argsort(known)
     ids = folded["ids"].combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.list_(pa.int32()))
-    shared = spark.sparkContext.broadcast((known[order], ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)))
+    shared = spark.sparkContext.broadcast((known[order], ids.offsets.to_numpy().astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), *byte_pairs(ranks)))
 
-    looked_up = rows.mapInArrow(lambda it: _look_up(it, shared), "doc_id long, ids array<int>, rare array<string>")
-    return looked_up.withColumn("coded", fold_words(F.col("rare"), table)).mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>, ids_sha256 string")
+    looked_up = rows.mapInArrow(lambda it: _look_up(it, shared), "doc_id long, ids array<int>, rare array<string>, states array<array<bigint>>")
+    coded = looked_up.select("doc_id", "ids", "rare", fold_words(F.col("rare"), table, F.col("states")).alias("coded"))
+    return coded.mapInArrow(lambda it: _splice(it, path), "doc_id long, ids array<int>, ids_sha256 string")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

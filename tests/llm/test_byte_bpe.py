@@ -99,3 +99,19 @@ def test_pairs_have_two_places_and_odd_tokens_are_kept_apart(spark):
     assert table.apart == {"616263": 256}
     row = spark.createDataFrame([(["abc", "abcd", "xyxy"],)], "words array<string>").select(byte_bpe.fold_words(F.col("words"), table).alias("ids")).first()
     assert [list(x) for x in row.ids] == [[256], [97, 98, 99, 100], [257, 257]]
+
+
+def test_a_fold_from_first_states_gives_the_ids_of_the_heap(spark):
+    import pyarrow as pa
+
+    ranks = byte_bpe.read_ranks(PATH)
+    words = ["unused", "a", " é", "日本語", "zxcvbnm" * 5, "x" * (byte_bpe.LONG + 1), " internationalisation", "y" * byte_bpe.LONG]
+    states = byte_bpe.first_states(pa.array(words)[1:], *byte_bpe.byte_pairs(ranks)).to_pylist()
+    for word, own in zip(words[1:], states, strict=True):
+        raw = word.encode() if len(word.encode()) <= byte_bpe.LONG else b""
+        pairs = [ranks.get(raw[i:i + 2], byte_bpe.NO_RANK) if i + 1 < len(raw) else byte_bpe.NO_RANK for i in range(len(raw))]
+        assert own == [(pairs[i] << byte_bpe.PLACE_BITS | i) << byte_bpe.ID_BITS | ranks[raw[i:i + 1]] for i in range(len(raw))]
+    assert byte_bpe.first_states(pa.array([], pa.string()), *byte_bpe.byte_pairs(ranks)).to_pylist() == []
+    folded = byte_bpe.fold_words(F.col("words"), byte_bpe.rank_map(ranks), F.col("states"))
+    row = spark.createDataFrame([(words[1:], states)], "words array<string>, states array<array<bigint>>").select(folded.alias("ids")).first()
+    assert row.ids == [byte_bpe.merge_long(x.encode(), ranks) if len(x.encode()) <= byte_bpe.LONG else None for x in words[1:]]
