@@ -14,8 +14,14 @@ from courtlake.streaming import archive, streams
 
 
 def _deliver(df, key, value, at):
-    """One compressed text file for each row, in a folder named after its key."""
-    df.select(key.alias("id"), value.alias("value")).write.mode("append").partitionBy("id").option("compression", "gzip").text(at)
+    """One compressed text file for each row, named after its key; rows of one key lie in one partition."""
+    files.write_each(df.select(key.alias("id"), value.alias("value")), at)
+
+
+def _dealt(df, key):
+    """Rows by a key over all tasks: a row costs a file however short it is, so Spark mustn't join partitions by their bytes."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), key)
 
 
 @query("""SELECT CAST(page_id AS VARCHAR) AS id, length(html) AS n_chars, CASE WHEN page_id % 10 = 3 THEN 1 ELSE 0 END AS batch, page_id % 10 = 3 AS late FROM pages WHERE html IS NOT NULL""")
@@ -23,17 +29,17 @@ def archive_pages(spark, sf_dir):
     """Pages as one compressed file each, in two deliveries; the second run reads the new files only."""
     p, at = table(spark, sf_dir, "pages").filter("html is not null"), new_folder(spark, "archive")
     key = F.col("page_id").cast("string")
-    name = r"/id=(\d+)/"
     runs = []
     for part in ("page_id % 10 <> 3", "page_id % 10 = 3"):
-        _deliver(p.filter(part), key, F.col("html"), f"{at}/in")
-        runs.append(archive.ingest_pages(spark, f"{at}/in", f"{at}/out", name=name, glob="part-*"))
+        _deliver(_dealt(p.filter(part), "page_id"), key, F.col("html"), f"{at}/in")
+        runs.append(archive.ingest_pages(spark, f"{at}/in", f"{at}/out", name=files.EACH_NAME, glob=files.EACH_GLOB))
     new = p.filter("page_id % 10 = 3").count()
     if runs[1]["files"] != new:
         raise ValueError(f"the second run read {runs[1]['files']} files, {new} are new")
     got = archive.read_archive(spark, f"{at}/out")
+    late = F.col("batch") >= runs[0]["batches"]  # it came in a batch of the second run
     # a text file ends with a line break
-    return got.select("id", (F.length("html") - 1).cast("long").alias("n_chars"), F.col("batch").cast("int").alias("batch"), (F.col("batch") == 1).alias("late"))
+    return got.select("id", (F.length("html") - 1).cast("long").alias("n_chars"), late.cast("int").alias("batch"), late.alias("late"))
 
 
 @query("""SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 7 <> 6 THEN substr(text, 1, 40) END AS summary, CASE WHEN doc_id % 7 <> 6 THEN CAST(doc_id % 100 AS INTEGER) END AS frags_total,
@@ -43,8 +49,8 @@ def archive_summaries(spark, sf_dir):
     d, at = table(spark, sf_dir, "documents").filter("text is not null"), new_folder(spark, "summaries")
     i = F.col("doc_id")
     whole = F.to_json(F.struct(i.cast("string").alias("judgment_id"), F.substring("text", 1, 40).alias("summary"), (i % 100).cast("int").alias("frags_total")))
-    _deliver(d, i.cast("string"), F.when(i % 7 == 6, F.substring(whole, 1, 20)).otherwise(whole), f"{at}/in")
-    archive.ingest_summaries(spark, f"{at}/in", f"{at}/out", name=r"/id=(\d+)/", glob="part-*", files=5000)
+    _deliver(_dealt(d.select(i, F.substring("text", 1, 40).alias("text")), "doc_id"), i.cast("string"), F.when(i % 7 == 6, F.substring(whole, 1, 20)).otherwise(whole), f"{at}/in")
+    archive.ingest_summaries(spark, f"{at}/in", f"{at}/out", name=files.EACH_NAME, glob=files.EACH_GLOB, files=5000)
     good = archive.read_archive(spark, f"{at}/out", f"id string, {SUMMARY}").select("id", "summary", "frags_total", F.lit(None).cast("string").alias("reason"))
     bad = archive.read_corrupt(spark, f"{at}/out").select("id", F.lit(None).cast("string").alias("summary"), F.lit(None).cast("int").alias("frags_total"), "reason")
     return good.unionByName(bad)
@@ -147,7 +153,7 @@ def archive_extractions(spark, sf_dir):
     parsed = f.groupBy("judgment_id", "doc_id").agg(rows.alias("fragments")).withColumn("whole", F.to_json(F.struct("judgment_id", "fragments")))
     text = F.when(F.col("doc_id") % 11 == 4, F.substring("whole", 1, 30)).otherwise(F.col("whole"))
     _deliver(parsed, F.col("judgment_id"), text, f"{at}/in")
-    archive.ingest_extractions(spark, f"{at}/in", f"{at}/out", name=r"/id=(\d+)/", glob="part-*")
+    archive.ingest_extractions(spark, f"{at}/in", f"{at}/out", name=files.EACH_NAME, glob=files.EACH_GLOB)
     each = F.aggregate("fragments", F.lit(0).cast("long"), lambda a, x: a + F.length(x["content_text"]))
     good = archive.read_archive(spark, f"{at}/out", f"id string, {files.EXTRACTION}")
     good = good.select("id", F.size("fragments").alias("fragments"), each.alias("chars"), F.array_max(F.transform("fragments", lambda x: x["ordinal"])).alias("last"), F.lit(None).cast("string").alias("reason"))

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
+import os
+import uuid
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +27,8 @@ TOKENS = "ts string, agent string, endpoint string, model string, prompt_tokens
 RESOURCE = "name:string,status:string,records:long,duration_s:double,error_message:string,traceback:string,fragments_records:long,skip_reason:string,skip_kind:string,warnings:array<string>,extra_counts:map<string,bigint>,notes:string"
 REPORT = f"status string, total_duration_s double, resources array<struct<{RESOURCE}>>, build_warnings array<string>, fts_error string, fatal_error string, post_hook struct<command:string,exit_code:int,stdout:string,stderr:string>"
 CORRUPT = "_corrupt_record"
+#: The id in the path of a file of write_each(), and the names of these files; they lie in so many folders.
+EACH_NAME, EACH_GLOB, EACH_FOLDERS = r"/id=([^/.]*)[/.]", "*.txt.gz", 256
 
 
 def _stem(pattern: str):
@@ -135,3 +145,39 @@ def write_payload(payload: DataFrame, path: str, **stamps) -> None:
 def write_audit_report(audited: DataFrame, path: str) -> None:
     """S12."""
     audited.write.mode("overwrite").json(path)
+
+
+def _each(folder: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, seen, attempt = set(), Counter(), uuid.uuid4().hex
+        for batch in batches:
+            for i, value in zip(*batch.columns, strict=True):
+                i, value = i.as_py() or "", value.as_py() or ""
+                at = f"{folder}/shard={zlib.crc32(i.encode()) % EACH_FOLDERS}"
+                if at not in made:
+                    os.makedirs(at, exist_ok=True)
+                    made.add(at)
+                with open(f"{at}/.{attempt}", "wb") as f:
+                    f.write(gzip.compress(f"{value}\n".encode(), 6, mtime=0))
+                os.replace(f.name, f"{at}/id={i}.{seen[i]}.txt.gz")  # whole or not at all, and the same if the task is repeated
+                seen[i] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([seen.total()], pa.int64())], ["n"])
+
+    return write
+
+
+def write_each(rows: DataFrame, path: str) -> None:
+    """Rows (id, value) as one compressed text file each, added to those in `path`; rows of one id lie in one partition.
+
+    Where the folder is one of the file system, shared or local, its files are written directly: Hadoop starts a process for the
+    rights of each file there, and moves the folders one by one in the driver.  In another store Spark writes a folder for each id.
+    """
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(hadoop).toUri()
+    dealt = rows.select(F.col("id").cast("string").alias("id"), F.col("value").cast("string").alias("value"))
+    if to.getScheme() == "file":
+        dealt.mapInArrow(_each(to.getPath()), "n long").write.format("noop").mode("overwrite").save()
+    else:
+        sharded = dealt.withColumn("shard", F.crc32(F.encode("id", "utf-8")) % EACH_FOLDERS)
+        sharded.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("shard", "id").option("compression", "gzip").text(path)

@@ -5,6 +5,9 @@ micro-batch writes one folder, ``batch=<n>``, of at most `buckets` files in plac
 it is repeated: a run that was cut off leaves neither gaps nor doubles.  Files that can't be read go to a side table with
 their name and the reason, and are not read again.
 
+A run reads in a session of its own, with settings for many small files: few tasks list them, and a task opens as many as fill
+it.  With Spark's own settings each path is listed by a task, and a task opens 32 files at most.
+
 A folder looks like this: ``<target>/good/batch=0/bucket=7/part-...`` and ``<target>/corrupt/batch=0/part-...``.
 """
 
@@ -24,22 +27,49 @@ from courtlake.sources.files import CORRUPT, EXTRACTION, SUMMARY
 PAGE_NAME = r"([^/]+?)\.html(?:\.gz)?$"
 JSON_NAME = r"([^/]+?)\.json(?:\.gz)?$"
 
+#: Files of one batch at most: the driver holds a few KB for each file of a batch, and a few hundred bytes for each other one.
+FILES = 32_000
+#: Characters of text that `_texts` holds before it passes them on.
+HELD = 4 << 20
+
+
+def _session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of `spark` but for those that many small files need."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", 4 * spark.sparkContext.defaultParallelism)
+    own.conf.set("spark.sql.files.openCostInBytes", "16k")
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1_000_000)  # all batches of a run are counted
+    return own
+
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contents as text: gzip undone where the name says so, with the reason where that or UTF-8 fails."""
     for batch in batches:
-        texts, reasons = [], []
-        for name, content in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-            raw, reason, text = content.as_py(), None, None
+        rows, held = [], 0
+        for name, size, content in zip(*batch.columns, strict=True):
+            name, raw, reason, text = name.as_py(), content.as_py(), None, None
             try:
                 text = (gzip.decompress(raw) if name.endswith(".gz") else raw).decode()
             except (OSError, EOFError, zlib.error) as e:
                 reason = f"gzip: {e}"
             except UnicodeDecodeError as e:
                 reason = f"utf-8: {e.reason}"
-            texts.append(text)
-            reasons.append(reason)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(reasons, pa.string())], ["file_name", "size", "text", "reason"])
+            rows.append((name, size.as_py(), text, reason))
+            held += len(text or "")
+            if held >= HELD:
+                yield _batch(rows)
+                rows, held = [], 0
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], ["file_name", "size", "text", "reason"])
 
 
 def _opened(files: DataFrame, name: str) -> DataFrame:
@@ -65,7 +95,7 @@ def _json(schema: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
 
 
 def _ingest(spark: SparkSession, source: str, target: str, name: str, split, buckets: int, files: int | None, glob: str) -> dict[str, int]:
-    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    reader = _session(spark).readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if files is not None:
         reader = reader.option("maxFilesPerTrigger", files)
 
@@ -74,8 +104,8 @@ def _ingest(spark: SparkSession, source: str, target: str, name: str, split, buc
         try:
             good, corrupt = split(opened)
             bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
-            good.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/good/batch={epoch}")
-            corrupt.write.mode("overwrite").parquet(f"{target}/corrupt/batch={epoch}")
+            good.withColumn("bucket", bucket).repartition(buckets, "bucket").sortWithinPartitions("bucket", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/good/batch={epoch}")
+            corrupt.repartition("id").write.mode("overwrite").parquet(f"{target}/corrupt/batch={epoch}")
         finally:
             opened.unpersist()
 
@@ -85,20 +115,21 @@ def _ingest(spark: SparkSession, source: str, target: str, name: str, split, buc
     return {"batches": len(done), "files": sum(p["numInputRows"] for p in done)}
 
 
-def ingest_pages(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = None, name: str = PAGE_NAME, glob: str = "*") -> dict[str, int]:
+def ingest_pages(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = FILES, name: str = PAGE_NAME, glob: str = "*") -> dict[str, int]:
     """New page files of an archive, plain or gzip, into `target`; how many batches and files the run read.
 
-    The first group of `name` in a file's path is the id.  `files` bounds the files of one batch.
+    The first group of `name` in a file's path is the id.  `files` bounds the files of one batch; None
+    makes one batch of them all.
     """
     return _ingest(spark, source, target, name, _pages, buckets, files, glob)
 
 
-def ingest_extractions(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = None, schema: str = EXTRACTION, name: str = JSON_NAME, glob: str = "*") -> dict[str, int]:
+def ingest_extractions(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = FILES, schema: str = EXTRACTION, name: str = JSON_NAME, glob: str = "*") -> dict[str, int]:
     """New cached parses, one JSON per id, likewise."""
     return _ingest(spark, source, target, name, _json(schema), buckets, files, glob)
 
 
-def ingest_summaries(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = None, schema: str = SUMMARY, name: str = JSON_NAME, glob: str = "*") -> dict[str, int]:
+def ingest_summaries(spark: SparkSession, source: str, target: str, buckets: int = 64, files: int | None = FILES, schema: str = SUMMARY, name: str = JSON_NAME, glob: str = "*") -> dict[str, int]:
     """S3: new cached summaries, one JSON per id, likewise."""
     return _ingest(spark, source, target, name, _json(schema), buckets, files, glob)
 

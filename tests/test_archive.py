@@ -3,6 +3,7 @@
 import gzip
 import json
 
+from courtlake.sources import files
 from courtlake.streaming import archive
 
 
@@ -62,3 +63,56 @@ def test_an_empty_archive(spark, tmp_path):
     (tmp_path / "in").mkdir()
     assert archive.ingest_pages(spark, str(tmp_path / "in"), str(tmp_path / "out")) == {"batches": 0, "files": 0}
     assert archive.read_archive(spark, str(tmp_path / "out")).count() == archive.read_corrupt(spark, str(tmp_path / "out")).count() == 0
+
+
+def test_few_tasks_open_many_files_and_corrupt_ones_share_a_file(spark, tmp_path, monkeypatch):
+    source, target, tasks, opened = tmp_path / "in", tmp_path / "out", [], archive._opened
+    source.mkdir()
+    for i in range(600):
+        page(source, i, broken=i % 9 == 0)
+    monkeypatch.setattr(archive, "_opened", lambda batch, name: tasks.append(batch.rdd.getNumPartitions()) or opened(batch, name))
+    assert archive.ingest_pages(spark, str(source), str(target), buckets=4) == {"batches": 1, "files": 600}
+    assert tasks[0] <= spark.sparkContext.defaultParallelism + 1
+    assert len(list(target.glob("corrupt/batch=0/*.parquet"))) == 1
+    assert archive.read_archive(spark, str(target)).count() == 533
+    assert archive.read_corrupt(spark, str(target)).count() == 67
+
+
+def test_each_row_is_a_file_of_its_own_in_any_store(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.each.link./at", f"file://{tmp_path}")
+    rows = spark.createDataFrame([(str(i), f"é {i}\nline") for i in range(300)], "id string, value string")
+    for at in (f"file://{tmp_path}/local", "viewfs://each/at/other"):
+        for part in ("id < 200", "id >= 200"):
+            files.write_each(rows.filter(part), at)
+        made = list((tmp_path / at.split("/")[-1]).glob("shard=*/**/*.gz"))
+        assert len(made) == 300
+        archive.ingest_pages(spark, at, f"{at}-out", buckets=4, name=files.EACH_NAME, glob=files.EACH_GLOB)
+        assert {r.id: r.html for r in archive.read_archive(spark, f"{at}-out").collect()} == {str(i): f"é {i}\nline\n" for i in range(300)}
+    assert len(list((tmp_path / "local").glob("shard=*/*.gz"))) == 300  # no folder for each id, no checksum files
+    assert not list((tmp_path / "local").glob("**/*.crc"))
+
+
+def test_rows_of_one_id_stay_apart_and_a_repeated_write_adds_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("7", "a"), ("8", "b"), ("7", "c")], "id string, value string")
+    for _ in range(2):
+        files.write_each(rows.repartition("id"), str(tmp_path / "in"))
+    got = sorted((f.name, gzip.decompress(f.read_bytes())) for f in (tmp_path / "in").glob("*/*.gz"))
+    assert [n for n, _ in got] == ["id=7.0.txt.gz", "id=7.1.txt.gz", "id=8.0.txt.gz"]
+    assert sorted(v for _, v in got) == [b"a\n", b"b\n", b"c\n"]
+
+
+def test_a_run_of_many_files_is_cut_into_batches_that_are_all_counted(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for i in range(30):
+        page(source, i)
+    bound = archive.ingest_pages.__defaults__[1]
+    assert bound is not None and bound <= 50_000
+    monkeypatch.setattr(archive.ingest_pages, "__defaults__", (64, 10, *archive.ingest_pages.__defaults__[2:]))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        assert archive.ingest_pages(spark, str(source), target, buckets=4) == {"batches": 3, "files": 30}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert archive.read_archive(spark, target).count() == 30
